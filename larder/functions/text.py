@@ -13,12 +13,17 @@ from larder import vocab
 
 def strip(c: Column) -> Column:
     """Drop blanks of every kind at both ends (``trim`` knows the plain space only)."""
-    return F.regexp_replace(c, r"(?U)\A[\s\x1c-\x1f]+|[\s\x1c-\x1f]+\z", "")
+    return F.regexp_replace(c, rf"\A[{vocab.BLANK}]+|[{vocab.BLANK}]+\z", "")
+
+
+def is_blank(c: Column) -> Column:
+    """No character but blanks; stops at the first one, however long the text."""
+    return ~c.rlike(f"[^{vocab.BLANK}]")
 
 
 def squeeze(c: Column) -> Column:
     """Runs of blanks become one space, none at the ends."""
-    return strip(F.regexp_replace(c, vocab.BLANKS, " "))
+    return F.trim(F.regexp_replace(c, vocab.BLANKS, " "))
 
 
 def normalize_name(name: Column) -> Column:
@@ -33,14 +38,11 @@ def family_word(name: Column, skip_containers: bool = False) -> Column:
     skipped = set(vocab.STOP_WORDS) | set(vocab.FORMAT_WORDS)
     if skip_containers:
         skipped |= set(vocab.CONTAINER_WORDS)
-    words = F.split(F.lower(normalize_name(F.coalesce(name, F.lit("")))), " ")
-    naming = F.filter(
-        words,
-        lambda w: (F.length(w) >= 3)
-        & ~w.rlike(r"^[\p{Nd}²³¹⁰⁴-⁹₀-₉]+$")
-        & ~w.isin(*sorted(skipped)),
-    )
-    return F.coalesce(F.get(naming, F.lit(0)), F.lit(""))
+    passed = "|".join([*sorted(skipped), r"[\p{Nd}²³¹⁰⁴-⁹₀-₉]+"])
+    # Leftmost word of three letters or more that is not, as a whole, one to pass over.
+    naming = rf"(?<![^ ])(?!(?:{passed})(?![^ ]))[^ ]{{3,}}"
+    words = F.lower(normalize_name(F.coalesce(name, F.lit(""))))
+    return F.regexp_extract(words, naming, 0)
 
 
 def family(name: Column) -> Column:

@@ -25,11 +25,13 @@ def rank_families(
     by key; the label is the most frequent spelling, the smaller one if tied.
     """
     times = F.sum(n) if n else F.count(F.lit(1))
-    spellings = df.where("word <> ''").groupBy(*group, "key", "word").agg(times.alias("n"))
+    spellings = df.groupBy(*group, "key", "word").agg(times.alias("n"))
     families = spellings.groupBy(*group, "key").agg(
         F.min_by("word", F.struct(-F.col("n"), F.col("word"))).alias("label"),
         F.sum("n").alias("n"),
     )
+    # Names without a family go only here: an earlier filter would work out every word twice.
+    families = families.where("label <> ''")
     best = W.partitionBy(*group).orderBy(F.desc("n"), F.asc("key"))
     return (
         families.withColumn("rank", F.row_number().over(best))

@@ -155,11 +155,15 @@ def read_replies(batches: DataFrame, label: Label) -> DataFrame:
     """
     found = batches.withColumn("found", replies.answers(F.col("reply")))
     items = found.select("found", F.posexplode("product_ids").alias("place", "product_id"))
-    value = label.read(replies.answer_for(F.col("found"), F.col("place") + 1))
-    failed = F.col("found").isNull()
+    items = items.select(
+        "product_id",
+        F.col("found").isNull().alias("failed"),
+        replies.answer_for(F.col("found"), F.col("place") + 1).alias("answer"),
+    )
+    failed = F.col("failed")
     return items.select(
         "product_id",
-        F.when(failed, label.fallback()).otherwise(value).alias("value"),
+        F.when(failed, label.fallback()).otherwise(label.read(F.col("answer"))).alias("value"),
         F.when(failed, "fallback").otherwise("model").alias("source"),
     )
 

@@ -1,36 +1,56 @@
-"""Exact median per group that never brings a whole group into one task."""
+"""Exact median per group that never brings an unbounded group into one task."""
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-# Buckets per factor e of the value. A group's histogram then has at most a few million
+# Rows up to which a group's median is one aggregate buffer (100 MB if all values differ).
+LARGE = 1_000_000
+# Buckets per factor e of the value. A large group's histogram then has at most a few million
 # buckets for any data, and prices to the cent share a bucket with few others.
 RESOLUTION = 4096
 
 
-def value_counts(df: DataFrame, keys: list[str], value: str) -> DataFrame:
-    """How often each value occurs in each group; equal rows combine before the shuffle."""
-    return df.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("n"))
+def group_sizes(df: DataFrame, keys: list[str]) -> DataFrame:
+    """(keys..., n): rows per group."""
+    return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
 
 
-def exact_median(df: DataFrame, keys: list[str], value: str, out: str) -> DataFrame:
+def exact_median(
+    df: DataFrame,
+    keys: list[str],
+    value: str,
+    out: str,
+    sizes: DataFrame | None = None,
+    large: int = LARGE,
+) -> DataFrame:
     """(keys..., out): median of the non-null values, mean of the two middles if even.
 
-    Groups without a value have no row. ``value`` must be a finite double.
+    Groups without a value have no row. ``value`` must be a finite double. Groups of up to
+    ``large`` rows go through the built-in aggregate. The others are told apart before any
+    row is shuffled to its group, and go through a histogram; without such groups that branch
+    is empty and adaptive execution drops it. ``sizes`` passes in known group sizes.
     """
-    rows = df.where(F.col(value).isNotNull())
-    return median_of_counts(value_counts(rows, keys, value), keys, value, out)
-
+    sizes = group_sizes(df, keys) if sizes is None else sizes
+    # At most one row per ``large`` rows of the input, hence safe to broadcast.
+    big = F.broadcast(
+        sizes.where(F.col("n") > large).select(*[F.col(k).alias(f"_of_{k}") for k in keys])
+    )
+    same = [F.col(k).eqNullSafe(F.col(f"_of_{k}")) for k in keys]
+    rows = df.where(F.col(value).isNotNull()).select(*keys, value)
+    small = rows.join(big, same, "left_anti").groupBy(*keys).agg(F.median(value).alias(out))
+    return small.unionByName(
+        _median_by_histogram(rows.join(big, same, "left_semi"), keys, value, out)
+    )
 
-def median_of_counts(counts: DataFrame, keys: list[str], value: str, out: str) -> DataFrame:
-    """Median from (keys..., value, n).
 
-    A histogram over monotone value buckets tells which bucket holds the middle; only the
-    values of that bucket are then ordered. A group with a third of all rows is spread by
-    its values, and no task ever orders more than one bucket of it.
+def _median_by_histogram(rows: DataFrame, keys: list[str], value: str, out: str) -> DataFrame:
+    """Equal values combine before the shuffle. A histogram over monotone value buckets tells which bucket holds the middle; only the
+    values of that bucket are then ordered. A group with a third of all rows is spread by its
+    values, and no task orders more than one bucket of it.
     """
-    counts = counts.where(F.col(value).isNotNull()).withColumn("_bucket", _bucket(F.col(value)))
+    counts = rows.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("n"))
+    counts = counts.withColumn("_bucket", _bucket(F.col(value)))
     histogram = counts.groupBy(*keys, "_bucket").agg(F.sum("n").alias("n"))
     group = W.partitionBy(*keys)
     running = group.orderBy("_bucket").rowsBetween(W.unboundedPreceding, W.currentRow)

@@ -4,6 +4,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from larder.functions.numbers import round_cents
+from larder.functions.text import is_blank
 from larder.operators.median import exact_median
 
 STORES = (
@@ -14,12 +15,10 @@ PRICE_RECORD = f"struct<product_id:string,stores:{STORES}>"
 
 def read_price_records(lines: DataFrame) -> DataFrame:
     """(product_id, stores, position) of price lines; a malformed line ends the job."""
-    parsed = lines.where(F.trim("value") != "").withColumn(
-        "r", F.from_json("value", PRICE_RECORD, {"mode": "FAILFAST"})
-    )
-    return parsed.select(
-        F.col("r.product_id").cast("bigint").alias("product_id"), "r.stores", "position"
-    )
+    record = F.from_json("value", PRICE_RECORD, {"mode": "FAILFAST"})
+    # A generator evaluates its input once; two field accesses would parse the line twice.
+    parsed = lines.where(~is_blank(F.col("value"))).select(F.inline(F.array(record)), "position")
+    return parsed.withColumn("product_id", F.col("product_id").cast("bigint"))
 
 
 def offers(store: Column) -> Column:
@@ -47,9 +46,30 @@ def flatten_prices(records: DataFrame, need_store: bool = True) -> DataFrame:
     return rows.where("store_id is not null") if need_store else rows
 
 
-def current_prices(records: DataFrame) -> DataFrame:
-    """All prices of each product's last line that has any."""
-    rows = flatten_prices(records, need_store=False)
+def price_counters(records: DataFrame) -> DataFrame:
+    """One row (total, entries, price_rows, skipped_no_price), counted without flattening.
+
+    An entry with several prices gives several rows, so the last number can be negative.
+    """
+    priced = F.transform(
+        F.filter("stores", lambda s: s["store_id"].isNotNull()),
+        lambda s: F.size(F.filter(offers(s), lambda p: p["price"].isNotNull())),
+    )
+    rows = F.aggregate(priced, F.lit(0), lambda n, m: n + F.greatest(m, F.lit(0)))
+    counted = records.select(F.size("stores").alias("entries"), rows.alias("rows"))
+    return counted.agg(
+        F.count(F.lit(1)).alias("total"),
+        F.coalesce(F.sum(F.greatest("entries", F.lit(0))), F.lit(0)).alias("entries"),
+        F.coalesce(F.sum("rows"), F.lit(0)).alias("price_rows"),
+    ).withColumn("skipped_no_price", F.col("entries") - F.col("price_rows"))
+
+
+def current_prices(rows: DataFrame) -> DataFrame:
+    """Prices of each product's last line that has any.
+
+    ``rows`` are flattened prices with their position. They are read twice, so hand in a
+    table or written rows rather than lines still to be parsed.
+    """
     last = rows.groupBy("product_id").agg(F.max("position").alias("position"))
     return rows.join(last, ["product_id", "position"], "left_semi")
 

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from larder import vocab
 from larder.operators.families import rank_families, with_family
-from larder.operators.median import median_of_counts, value_counts
+from larder.operators.median import exact_median, group_sizes
 from larder.operators.merge import update_matched
 
 CELL = ["store_id", "menu_step"]
@@ -36,9 +36,8 @@ def step_cells(prices: DataFrame, products: DataFrame) -> DataFrame:
             F.col("price"), F.col("persons"), F.col("menu_step"), F.col("dish_role")
         ).alias("ppp"),
     )
-    counts = value_counts(rows, CELL, "ppp")
-    sizes = counts.groupBy(*CELL).agg(F.sum("n").alias("n"))
-    return sizes.join(median_of_counts(counts, CELL, "ppp", "typical_cost"), CELL, "left")
+    sizes = group_sizes(rows, CELL)
+    return sizes.join(exact_median(rows, CELL, "ppp", "typical_cost", sizes), CELL, "left")
 
 
 def step_families(

@@ -19,6 +19,7 @@ from larder.operators import prices as R
 from larder.operators import reports, vectors
 from larder.plans import catalogue, documents, inputs, rules
 from larder.plans.inputs import load
+from larder.session import written
 from larder.sources import files
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -123,7 +124,8 @@ def price_ref(spark, sf):
 @query
 def price_index(spark, sf):
     records = R.read_price_records(inputs.price_lines(spark, sf))
-    return R.reference_prices(R.current_prices(records))
+    rows = written(R.flatten_prices(records, need_store=False), "price-rows")
+    return R.reference_prices(R.current_prices(rows))
 
 
 @query
@@ -146,16 +148,7 @@ def event_median(spark, sf):
 @query
 def run_counters(spark, sf):
     """Counters of a price run: lines, entries, rows, and entries that gave none."""
-    lines = inputs.price_lines(spark, sf)
-    records = R.read_price_records(lines)
-    entries = records.agg(
-        F.count(F.lit(1)).alias("total"), F.sum(F.size("stores")).cast("bigint").alias("entries")
-    )
-    rows = R.flatten_prices(records).agg(F.count(F.lit(1)).alias("price_rows"))
-    # One row on each side.
-    return entries.join(F.broadcast(rows)).withColumn(
-        "skipped_no_price", F.col("entries") - F.col("price_rows")
-    )
+    return R.price_counters(R.read_price_records(inputs.price_lines(spark, sf)))
 
 
 # --- tables ---------------------------------------------------------------------------

@@ -88,11 +88,8 @@ def ingest_prices(run: Run, lines: DataFrame) -> dict:
     batch = written(
         M.last_by_key(rows, ["product_id", "store_id"], "position").drop("position"), "prices"
     )
-    entries = records.agg(F.sum(F.size(F.coalesce("stores", F.array().cast(R.STORES))))).first()[0]
-    counts = _merge(run, "prices", batch, ["product_id", "store_id"])
-    return {
-        "total": lines.count(), "skipped_no_price": (entries or 0) - rows.count(), **counts
-    }
+    counters = R.price_counters(records).first().asDict()
+    return {**counters, **_merge(run, "prices", batch, ["product_id", "store_id"])}
 
 
 def label_products(
@@ -136,7 +133,8 @@ def ingest_products(
     parsed = files.parse_records(lines)
     records = documents.keyed(parsed, "product_id")
     labels = label_products(run, records, specs, call, force)
-    prices = R.reference_prices(R.current_prices(R.read_price_records(price_lines)))
+    rows = R.flatten_prices(R.read_price_records(price_lines), need_store=False)
+    prices = R.reference_prices(R.current_prices(written(rows, "price-rows")))
     shaped = documents.product_documents(
         records, prices, L.pivot_labels(labels, run.diet_source), run.now,
         run.image_base, run.piece_image_base, run.department_field,
