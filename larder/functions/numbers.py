@@ -38,16 +38,18 @@ def round_cents(value: Column) -> Column:
 
     ``round`` works on the shortest decimal form and so calls 2.675 a tie, although the
     stored double lies below it. Here the fraction is scaled by 2^52, which is exact, and
-    the cent is found in whole numbers.
+    the cent is found in whole numbers. Bits below that (of a value under 1) are added apart.
     """
     one = F.lit(1 << 52)
     size = F.abs(value)
     whole = F.floor(size).cast("bigint")
     scaled = (size - whole) * F.lit(float(1 << 52))
     fraction = F.floor(scaled).cast("bigint")
-    beyond = scaled > fraction
-    cents = F.call_function("div", fraction * 100, one)
-    rest = (fraction * 100) % one
+    low = (scaled - fraction) * F.lit(100.0)
+    hundredfold = fraction * 100 + F.floor(low).cast("bigint")
+    beyond = low > F.floor(low)
+    cents = F.call_function("div", hundredfold, one)
+    rest = hundredfold % one
     half = F.lit(1 << 51)
     odd = ((whole * 100 + cents) % 2) == 1
     up = (rest > half) | ((rest == half) & (beyond | odd))

@@ -30,14 +30,14 @@ def shared_folder(spark: SparkSession) -> str:
 
     Only a local master, where driver and executors share one disk, may go without it.
     """
-    folder = spark.conf.get("spark.checkpoint.dir", None)
+    context = spark.sparkContext
+    folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if folder:
         return folder
-    if not spark.sparkContext.master.startswith("local"):
+    if not context.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors can reach")
-    folder = tempfile.mkdtemp(prefix="larder-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    context.setCheckpointDir(tempfile.mkdtemp(prefix="larder-"))
+    return context.getCheckpointDir()
 
 
 def written(df: DataFrame, name: str, path: str | None = None) -> DataFrame:

@@ -3,7 +3,7 @@ from pathlib import Path
 
 import pytest
 
-sys.path.insert(0, str(Path(__file__).parent.parent))
+sys.path[:0] = [str(Path(__file__).parent.parent), str(Path(__file__).parent)]
 
 from larder.session import local_session
 
@@ -11,6 +11,6 @@ from larder.session import local_session
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
     session = local_session("tests", "8", 8)
-    session.conf.set("spark.checkpoint.dir", str(tmp_path_factory.mktemp("shared")))
+    session.sparkContext.setCheckpointDir(str(tmp_path_factory.mktemp("shared")))
     yield session
     session.stop()
