@@ -1,4 +1,4 @@
-"""Times the headline queries. Prints one JSON line; seconds are the best of two warm runs."""
+"""Times the headline queries. Prints one JSON line; seconds are the best of three runs."""
 
 import json
 import os
@@ -34,7 +34,7 @@ def main() -> None:
     print(
         json.dumps(
             {
-                "metric": "total seconds, best warm run per query",
+                "metric": "total seconds, best of three runs per query",
                 "value": round(sum(seconds.values()), 3),
                 "unit": "sec",
                 "queries": seconds,

@@ -38,12 +38,14 @@ def flatten_prices(records: DataFrame, need_store: bool = True) -> DataFrame:
     rows = entries.select(
         *rest, F.col("store.store_id").alias("store_id"), F.explode(offers(F.col("store"))).alias("p")
     )
-    rows = rows.select(
+    rows = rows.where("p.price is not null")
+    if need_store:
+        rows = rows.where("store_id is not null")
+    return rows.select(
         *rest,
         F.col("store_id").cast("bigint").alias("store_id"),
         F.col("p.price").cast("double").alias("price"),
-    ).where("price is not null")
-    return rows.where("store_id is not null") if need_store else rows
+    )
 
 
 def price_counters(records: DataFrame) -> DataFrame:

@@ -7,6 +7,8 @@ row, so no group is collected to make one.
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from larder.session import spread
+
 STEP = """case p_type when 'SMALL' then 'Plats' when 'PROMO' then 'Boissons'
     when 'ECONOMY' then 'Entrées' when 'LARGE' then 'Desserts' when 'MEDIUM' then 'Fromages' end"""
 ROLE = """case when p_type = 'SMALL' then case when p_brand in
@@ -17,9 +19,6 @@ NAME = """concat(case when p_size < 8 then 'Plateau de ' when p_size < 16 then '
     when p_size < 24 then 'Assortiment d''' when p_size < 30 then 'Crêpe '
     when p_size < 36 then 'crèpes ' when p_size < 40 then 'Duo (bio) ' else '' end,
     p_name, ' - ', p_size, ' pièces')"""
-PRODUCT = f"""p_partkey as product_id, concat('S', p_partkey) as sku, {NAME} as name,
-    {STATUS} as status, {STEP} as menu_step, {ROLE} as dish_role, {PERSONS} as persons"""
-PRICE = "l_partkey as product_id, l_suppkey as store_id, max(l_extendedprice) as price"
 
 
 def load(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -27,10 +26,10 @@ def load(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 
 def products(spark: SparkSession, folder: str) -> DataFrame:
-    rows = load(spark, folder, "part").selectExpr(f"p_partkey as product_id", "*")
-    return rows.selectExpr(
-        "product_id", "concat('S', p_partkey) as sku", f"{NAME} as name", f"{STATUS} as status",
-        f"{STEP} as menu_step", f"{ROLE} as dish_role", f"{PERSONS} as persons",
+    return load(spark, folder, "part").selectExpr(
+        "p_partkey as product_id", "concat('S', p_partkey) as sku", f"{NAME} as name",
+        f"{STATUS} as status", f"{STEP} as menu_step", f"{ROLE} as dish_role",
+        f"{PERSONS} as persons",
     )
 
 
@@ -44,7 +43,7 @@ def prices(spark: SparkSession, folder: str) -> DataFrame:
 
 def price_lines(spark: SparkSession, folder: str) -> DataFrame:
     """One export line per line item: both generations of price fields, and entries without."""
-    rows = load(spark, folder, "lineitem").selectExpr(
+    rows = spread(load(spark, folder, "lineitem")).selectExpr(
         """to_json(named_struct('product_id', cast(l_partkey as string), 'stores', array(
             named_struct('store_id', l_suppkey,
                 'prices', case when l_discount > 0 then array(
@@ -63,7 +62,7 @@ def price_lines(spark: SparkSession, folder: str) -> DataFrame:
 
 def product_lines(spark: SparkSession, folder: str) -> DataFrame:
     """One export line per part, with every field that changes type from row to row."""
-    rows = load(spark, folder, "part").withColumn("name", F.expr(NAME))
+    rows = spread(load(spark, folder, "part")).withColumn("name", F.expr(NAME))
     json = """concat('{"product_id":"', p_partkey, '","sku":"S', p_partkey, '","name":"', name,
         '","status":"', case when p_brand = 'Brand#25' then 'Désactivé' else 'Activé' end,
         '","type_id":"', case when p_size < 6 then ' Bundle ' else 'simple' end,

@@ -19,7 +19,7 @@ from larder.operators import prices as R
 from larder.operators import reports, vectors
 from larder.plans import catalogue, documents, inputs, rules
 from larder.plans.inputs import load
-from larder.session import written
+from larder.session import spread, written
 from larder.sources import files
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -103,7 +103,8 @@ def names_per_step(spark, sf):
 @query
 def line_families(spark, sf):
     """Families over every line of every document, per language."""
-    lines = load(spark, sf, "documents").select("lang", F.explode(F.split("text", "\n")).alias("name"))
+    docs = spread(load(spark, sf, "documents").select("lang", "text"))
+    lines = docs.select("lang", F.explode(F.split("text", "\n")).alias("name"))
     # Equal words combine first; their keys are worked out once per word, not per line.
     words = lines.select("lang", X.family_word(F.col("name")).alias("word"))
     counts = words.groupBy("lang", "word").agg(F.count(F.lit(1)).alias("times"))
@@ -322,7 +323,7 @@ def override_cascade(spark, sf):
 
 @query
 def html_clean(spark, sf):
-    pages = load(spark, sf, "pages")
+    pages = spread(load(spark, sf, "pages").select("page_id", "html"))
     return pages.select("page_id", X.clean_html(F.col("html"), max_chars=None).alias("text"))
 
 
@@ -359,7 +360,7 @@ def geo_bounds(spark, sf):
 @query
 def piece_summary(spark, sf):
     """Lines of a document as the pieces of an assortment."""
-    docs = load(spark, sf, "documents")
+    docs = spread(load(spark, sf, "documents").select("doc_id", "text"))
     return docs.select("doc_id", P.piece_summary(F.split("text", "\n")).alias("summary"))
 
 
@@ -624,7 +625,7 @@ def label_inject(spark, sf):
 
 def _items(spark, sf):
     """Every part as an item to label; parts of one brand have a cached label."""
-    return load(spark, sf, "part").select(
+    return spread(load(spark, sf, "part")).select(
         F.col("p_partkey").alias("product_id"),
         F.col("p_name").alias("name"),
         F.expr(inputs.STEP).alias("menu_step"),

@@ -40,6 +40,16 @@ def shared_folder(spark: SparkSession) -> str:
     return context.getCheckpointDir()
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Rows of a scan over all cores, when its files give fewer partitions than there are cores.
+
+    For costly work per row (parsing, markup, model calls) on few or unsplittable files. A scan
+    with enough partitions, as any large one has, is left as it is: no shuffle.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def written(df: DataFrame, name: str, path: str | None = None) -> DataFrame:
     """Write ``df`` once and read it back.
 
