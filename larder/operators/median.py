@@ -11,9 +11,10 @@ LARGE = 1_000_000
 RESOLUTION = 4096
 
 
-def group_sizes(df: DataFrame, keys: list[str]) -> DataFrame:
-    """(keys..., n): rows per group."""
-    return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
+def large_groups(df: DataFrame, keys: list[str], large: int = LARGE) -> DataFrame:
+    """(keys...) of groups with more than ``large`` rows: at most one per ``large`` rows of ``df``."""
+    sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
+    return sizes.where(F.col("_rows") > large).select(*keys)
 
 
 def exact_median(
@@ -21,36 +22,41 @@ def exact_median(
     keys: list[str],
     value: str,
     out: str,
-    sizes: DataFrame | None = None,
+    size: str | None = None,
+    big: DataFrame | None = None,
     large: int = LARGE,
 ) -> DataFrame:
     """(keys..., out): median of the non-null values, mean of the two middles if even.
 
-    Groups without a value have no row. ``value`` must be a finite double. Groups of up to
-    ``large`` rows go through the built-in aggregate. The others are told apart before any
-    row is shuffled to its group, and go through a histogram; without such groups that branch
-    is empty and adaptive execution drops it. ``sizes`` passes in known group sizes.
+    ``value`` must be a finite double. Groups without a value have no row, unless ``size`` names
+    a column for the number of rows, nulls included. Groups of up to ``large`` rows go through
+    the built-in aggregate. The others are told apart before any row is shuffled to its group
+    and go through a histogram; without such groups that branch is empty and adaptive
+    execution drops it. ``big`` passes in known large groups, by some of the keys.
     """
-    sizes = group_sizes(df, keys) if sizes is None else sizes
-    # At most one row per ``large`` rows of the input, hence safe to broadcast.
-    big = F.broadcast(
-        sizes.where(F.col("n") > large).select(*[F.col(k).alias(f"_of_{k}") for k in keys])
-    )
-    same = [F.col(k).eqNullSafe(F.col(f"_of_{k}")) for k in keys]
-    rows = df.where(F.col(value).isNotNull()).select(*keys, value)
-    small = rows.join(big, same, "left_anti").groupBy(*keys).agg(F.median(value).alias(out))
-    return small.unionByName(
-        _median_by_histogram(rows.join(big, same, "left_semi"), keys, value, out)
+    big = large_groups(df, keys, large) if big is None else big
+    same = [F.col(k).eqNullSafe(F.col(f"_big_{k}")) for k in big.columns]
+    # Bounded by the number of rows over ``large``, hence safe to broadcast.
+    big = F.broadcast(big.select(*[F.col(k).alias(f"_big_{k}") for k in big.columns]))
+    rows = df.select(*keys, value)
+    if size is None:
+        rows = rows.where(F.col(value).isNotNull())
+    counted = [F.count(F.lit(1)).alias(size)] if size else []
+    small = rows.join(big, same, "left_anti").groupBy(*keys)
+    return small.agg(*counted, F.median(value).alias(out)).unionByName(
+        _by_histogram(rows.join(big, same, "left_semi"), keys, value, out, size)
     )
 
 
-def _median_by_histogram(rows: DataFrame, keys: list[str], value: str, out: str) -> DataFrame:
-    """Equal values combine before the shuffle. A histogram over monotone value buckets tells which bucket holds the middle; only the
-    values of that bucket are then ordered. A group with a third of all rows is spread by its
-    values, and no task orders more than one bucket of it.
+def _by_histogram(
+    rows: DataFrame, keys: list[str], value: str, out: str, size: str | None
+) -> DataFrame:
+    """Equal values combine before the shuffle. A histogram over monotone value buckets tells
+    which bucket holds the middle; only the values of that bucket are then ordered. A group
+    with a third of all rows is spread by its values, and no task orders more than one bucket.
     """
-    counts = rows.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("n"))
-    counts = counts.withColumn("_bucket", _bucket(F.col(value)))
+    every = rows.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("n"))
+    counts = every.where(F.col(value).isNotNull()).withColumn("_bucket", _bucket(F.col(value)))
     histogram = counts.groupBy(*keys, "_bucket").agg(F.sum("n").alias("n"))
     group = W.partitionBy(*keys)
     running = group.orderBy("_bucket").rowsBetween(W.unboundedPreceding, W.currentRow)
@@ -60,26 +66,32 @@ def _median_by_histogram(rows: DataFrame, keys: list[str], value: str, out: str)
         .withColumn("_low", F.floor((total + 1) / 2))
         .withColumn("_high", F.floor(total / 2) + 1)
         .where(_holds_middle())
-        .select(
-            *[F.col(k).alias(f"_of_{k}") for k in [*keys, "_bucket"]],
-            (F.col("_upto") - F.col("n")).alias("_before"),
-            "_low",
-            "_high",
-        )
+        .withColumn("_before", F.col("_upto") - F.col("n"))
+    )
+    inside = _match(
+        counts, middle.select(*keys, "_bucket", "_before", "_low", "_high"), [*keys, "_bucket"]
     )
-    same = [F.col(k).eqNullSafe(F.col(f"_of_{k}")) for k in [*keys, "_bucket"]]
-    inside = counts.join(middle, same)
     running = (
         W.partitionBy(*keys, "_bucket")
         .orderBy(value)
         .rowsBetween(W.unboundedPreceding, W.currentRow)
     )
-    return (
+    found = (
         inside.withColumn("_upto", F.col("_before") + F.sum("n").over(running))
         .where(_holds_middle())
         .groupBy(*keys)
         .agg(((F.min(value) + F.max(value)) / 2).alias(out))
     )
+    if size is None:
+        return found
+    return _match(every.groupBy(*keys).agg(F.sum("n").alias(size)), found, keys, "left")
+
+
+def _match(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
+    """Join on keys that may be null, keeping the left side's."""
+    renamed = right.withColumnsRenamed({k: f"_of_{k}" for k in keys})
+    same = [F.col(k).eqNullSafe(F.col(f"_of_{k}")) for k in keys]
+    return left.join(renamed, same, how).drop(*[f"_of_{k}" for k in keys])
 
 
 def _bucket(value: Column) -> Column:

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from larder import vocab
-from larder.functions.text import strip
+from larder.functions.text import is_blank, strip
 from larder.session import written
 
 EMBEDDED = "product_id bigint, menu_step string, status string, values array<float>"
@@ -57,13 +57,19 @@ def embed(
 
 def embed_counts(products: DataFrame, embedded: DataFrame) -> DataFrame:
     """One row (eligible, blank_name, failed)."""
-    blank = strip(F.col("name")) == ""
-    left = embeddable(products).agg(
-        F.count(F.lit(1)).alias("eligible"), F.count_if(blank).alias("blank_name")
+    none = F.lit(0).cast("bigint")
+    named = embeddable(products).agg(
+        F.count(F.lit(1)).alias("eligible"),
+        F.count_if(is_blank(F.col("name"))).alias("blank_name"),
+        none.alias("failed"),
     )
-    right = embedded.agg(F.count_if(F.size(F.coalesce("values", F.array().cast("array<float>"))) == 0).alias("failed"))
-    # Both sides are single rows.
-    return left.join(F.broadcast(right))
+    lost = embedded.agg(
+        none.alias("eligible"),
+        none.alias("blank_name"),
+        F.count_if(F.coalesce(F.size("values") <= 0, F.lit(True))).alias("failed"),
+    )
+    both = named.unionByName(lost)
+    return both.agg(*[F.sum(c).alias(c) for c in both.columns])
 
 
 def vector_records(embedded: DataFrame) -> DataFrame:

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from larder import vocab
 from larder.operators.families import rank_families, with_family
-from larder.operators.median import exact_median, group_sizes
+from larder.operators.median import LARGE, exact_median, large_groups
 from larder.operators.merge import update_matched
 
 CELL = ["store_id", "menu_step"]
@@ -28,7 +28,7 @@ def price_per_person(price: Column, persons: Column, step: Column, role: Column)
     return F.when((persons > 0) & (price > 0) & ~side, price / persons)
 
 
-def step_cells(prices: DataFrame, products: DataFrame) -> DataFrame:
+def step_cells(prices: DataFrame, products: DataFrame, large: int = LARGE) -> DataFrame:
     """(store_id, menu_step, n, typical_cost): product count and median price per guest."""
     rows = prices.join(listed(products), "product_id").select(
         *CELL,
@@ -36,8 +36,9 @@ def step_cells(prices: DataFrame, products: DataFrame) -> DataFrame:
             F.col("price"), F.col("persons"), F.col("menu_step"), F.col("dish_role")
         ).alias("ppp"),
     )
-    sizes = group_sizes(rows, CELL)
-    return sizes.join(exact_median(rows, CELL, "ppp", "typical_cost", sizes), CELL, "left")
+    # Told from the prices alone: a store with few prices has no large step.
+    big = large_groups(prices, ["store_id"], large)
+    return exact_median(rows, CELL, "ppp", "typical_cost", size="n", big=big)
 
 
 def step_families(
