@@ -7,14 +7,29 @@ from larder import vocab
 from larder.functions import product as P
 from larder.functions import variants as V
 from larder.functions.numbers import persons, safe_int, volume_ml
-from larder.functions.text import clean_html, family
+from larder.functions.text import clean_html, family, is_blank
 from larder.operators.merge import last_by_key
 
 
-def keyed(records: DataFrame, key: str) -> DataFrame:
-    """Records with their whole-number key as a column; of a repeated key the last line."""
-    rows = records.withColumn(key, V.text(F.col("record"), f"$.{key}").cast("bigint"))
-    return last_by_key(rows, [key], "position")
+def keyed_lines(lines: DataFrame, key: str) -> DataFrame:
+    """(key, raw): export lines by their whole-number key; of a repeated key the last line.
+
+    Only the text is shuffled, once, to its key; it is parsed after that, and later joins on
+    the key find it in place. A line without the key ends the job.
+    """
+    found = F.get_json_object("value", f"$.{key}")
+    missing = F.raise_error(F.concat(F.lit(f"no {key} in line: "), F.left("value", F.lit(200))))
+    rows = lines.where(~is_blank(F.col("value"))).select(
+        F.coalesce(found, missing.cast("string")).cast("bigint").alias(key),
+        F.col("value").alias("raw"),
+        "position",
+    )
+    return last_by_key(rows, [key], "position").drop("position")
+
+
+def parsed(rows: DataFrame) -> DataFrame:
+    """Adds the parsed ``record`` of each ``raw`` line; text that is no JSON ends the job."""
+    return rows.withColumn("record", F.parse_json("raw"))
 
 
 def product_documents(

@@ -380,7 +380,7 @@ def prompt_lines(spark, sf):
 
 
 def _records(spark, sf):
-    return documents.keyed(files.parse_records(inputs.product_lines(spark, sf)), "product_id")
+    return documents.parsed(documents.keyed_lines(inputs.product_lines(spark, sf), "product_id"))
 
 
 @query
@@ -466,7 +466,7 @@ def product_document(spark, sf):
 
 @query
 def store_document(spark, sf):
-    records = documents.keyed(files.parse_records(inputs.store_lines(spark, sf)), "store_id")
+    records = documents.parsed(documents.keyed_lines(inputs.store_lines(spark, sf), "store_id"))
     concepts = load(spark, sf, "supplier").where("s_acctbal > 5000").selectExpr(
         "s_suppkey as store_id", "array('Boucherie', 'Pain') as curated_concepts"
     )

@@ -10,6 +10,8 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from larder import vocab
+from larder.functions.text import is_blank
 from larder.operators import concepts as C
 from larder.operators import labels as L
 from larder.operators import merge as M
@@ -67,7 +69,7 @@ def _merge(run: Run, name: str, batch: DataFrame, keys: list[str], status=None)
 
 def ingest_stores(run: Run, lines: DataFrame, concepts_csv: str | None = None) -> dict:
     """Stores of an export, with curated concepts from the wide CSV if there is one."""
-    records = documents.keyed(files.parse_records(lines), "store_id")
+    records = documents.parsed(documents.keyed_lines(lines, "store_id"))
     wide = files.read_wide_csv(run.spark, concepts_csv) if concepts_csv else None
     if wide is None:
         sets = run.spark.createDataFrame([], CONCEPTS)
@@ -88,7 +90,7 @@ def ingest_prices(run: Run, lines: DataFrame) -> dict:
     batch = written(
         M.last_by_key(rows, ["product_id", "store_id"], "position").drop("position"), "prices"
     )
-    counters = R.price_counters(records).first().asDict()
+    counters = {**R.price_counters(records).first().asDict(), "total": lines.count()}
     return {**counters, **_merge(run, "prices", batch, ["product_id", "store_id"])}
 
 
@@ -103,7 +105,9 @@ def label_products(
     cache = run.load("labels")
     if cache is None:
         cache = run.spark.createDataFrame([], L.LABEL_SCHEMA)
-    items = documents.label_items(records, run.department_field)
+    # Names are cleaned and lines are made once, not once per label.
+    items = written(documents.label_items(records, run.department_field), "items")
+    diets = written(documents.diet_items(records), "diet-items")
     steps = L.enrich(items, specs["menu_step"], call, cache, run.model, force)
     stepped = items.join(
         steps.select("product_id", F.col("value").alias("menu_step")), "product_id", "left"
@@ -111,7 +115,6 @@ def label_products(
     found = [steps]
     for name in ("dish_role", "could_fit_event", "drink_role"):
         found.append(L.enrich(stepped, specs[name], call, cache, run.model, force))
-    diets = documents.diet_items(records)
     found.append(L.enrich(diets, specs["predicted_diet"], call, cache, run.model, force))
     fresh = written(files.union_all(found), "labels")
     files.save_version(M.upsert(cache, fresh, ["product_id", "field"]), run.table("labels"))
@@ -130,8 +133,9 @@ def ingest_products(
 
     Products that cannot be recommended are not stored, hence go inactive if they were.
     """
-    parsed = files.parse_records(lines)
-    records = documents.keyed(parsed, "product_id")
+    records = documents.parsed(
+        written(documents.keyed_lines(lines, "product_id"), "product-lines")
+    )
     labels = label_products(run, records, specs, call, force)
     rows = R.flatten_prices(R.read_price_records(price_lines), need_store=False)
     prices = R.reference_prices(R.current_prices(written(rows, "price-rows")))
@@ -142,7 +146,8 @@ def ingest_products(
     batch = written(shaped.where("recommendable"), "products")
     counts = _merge(run, "products", batch, ["product_id"], ("status", "inactive"))
     steps = reports.label_distribution(batch, F.col("menu_step"))
-    return {"total": parsed.count(), **counts, "steps": {r["label"]: r["n"] for r in steps.collect()}}
+    total = lines.where(~is_blank(F.col("value"))).count()
+    return {"total": total, **counts, "steps": {r["label"]: r["n"] for r in steps.collect()}}
 
 
 def build_catalogue(run: Run) -> dict:
@@ -164,3 +169,52 @@ def build_vectors(run: Run, embedder: Callable, reset: bool = False) -> dict:
     old = None if reset else run.load("vectors")
     files.save_version(batch if old is None else M.upsert(old, batch, ["id"]), run.table("vectors"))
     return vectors.embed_counts(products, found).first().asDict()
+
+
+# --- maintenance ----------------------------------------------------------------------
+
+
+def report_gaps(run: Run, path: str) -> dict:
+    """Write the products without a portion count, one folder per step; counts per step."""
+    gaps = reports.missing_portions(run.load("products"))
+    reports.write_gap_report(gaps, path)
+    ranked = reports.gap_summary(gaps).orderBy("position")
+    return {r["step"]: r["n"] for r in ranked.collect()}
+
+
+def drop_retired_fields(
+    run: Run, fields: tuple[str, ...] = vocab.RETIRED_FIELDS, apply: bool = False
+) -> dict:
+    """Count the rows that hold each retired field; drop the fields only if ``apply`` is set."""
+    products = run.load("products")
+    counts = {r["field"]: r["n"] for r in reports.field_presence(products, fields).collect()}
+    touched = reports.any_field(products, fields).count()
+    if apply and touched:
+        files.save_version(M.drop_fields(products, fields), run.table("products"))
+    return {"fields": counts, "rows": touched}
+
+
+def repair_steps(
+    run: Run,
+    label: L.Label,
+    call: Callable[[str], str],
+    stale: tuple[str, ...] = vocab.STALE_STEPS,
+    apply: bool = False,
+) -> dict:
+    """Ask again for products under a retired step, stored ones that left the export too."""
+    products = run.load("products")
+    counts = {r["step"]: r["n"] for r in reports.stale_steps(products, stale).collect()}
+    if not apply or not counts:
+        return {"stale": counts}
+    old = documents.parsed(products.where(F.col("menu_step").isin(*stale)))
+    items = documents.label_items(old, run.department_field)
+    none = run.spark.createDataFrame([], L.LABEL_SCHEMA)
+    fresh = written(L.enrich(items, label, call, none, run.model, force=True), "repaired")
+    cache = run.load("labels")
+    if cache is not None:
+        fresh_labels = M.upsert(cache, fresh, ["product_id", "field"])
+        files.save_version(fresh_labels, run.table("labels"))
+    steps = fresh.select("product_id", F.col("value").alias("menu_step"))
+    files.save_version(M.update_matched(products, steps, ["product_id"]), run.table("products"))
+    now = reports.label_distribution(steps, F.col("menu_step"))
+    return {"stale": counts, "now": {r["label"]: r["n"] for r in now.collect()}}

@@ -67,7 +67,7 @@ def test_run(spark, tmp_path):
     assert got == {"total": 6, "upserted": 5, "modified": 0, "soft_deleted": 0}
     got = stages.ingest_prices(run, price_lines)
     # Two prices for one store: two rows, one stored.
-    assert got == {"total": 5, "entries": 7, "price_rows": 7, "skipped_no_price": 0, "upserted": 6, "modified": 0}
+    assert got == {"total": 6, "entries": 7, "price_rows": 7, "skipped_no_price": 0, "upserted": 6, "modified": 0}
     got = stages.ingest_products(run, lines("products.jsonl", PRODUCTS), price_lines, SPECS, answer)
     assert got == {
         "total": 8, "upserted": 6, "modified": 0, "soft_deleted": 0,
@@ -124,7 +124,8 @@ def test_run(spark, tmp_path):
 
 
 def test_labels_in_the_table_are_known_ones(spark, tmp_path):
-    records = stages.documents.keyed(files.parse_records(files.read_lines(spark, write(tmp_path, "p.jsonl", PRODUCTS))), "product_id")
+    lines = files.read_lines(spark, write(tmp_path, "p.jsonl", PRODUCTS))
+    records = stages.documents.parsed(stages.documents.keyed_lines(lines, "product_id"))
     run = stages.Run(spark, str(tmp_path / "t"))
     found = stages.label_products(run, records, SPECS, answer)
     for r in found.collect():
@@ -132,3 +133,39 @@ def test_labels_in_the_table_are_known_ones(spark, tmp_path):
             assert r.value in vocab.STEPS
         if r.field == "drink_role":
             assert r.value in vocab.DRINK_ROLES
+
+
+def test_maintenance(spark, tmp_path):
+    run = stages.Run(spark, str(tmp_path / "t"))
+    rows = spark.createDataFrame(
+        [
+            (1, "1", "active", "Plateaux", None, '{"name":"ring"}', "x"),
+            (2, "2", "inactive", "À côté", None, '{"name":"plate"}', None),
+            (3, "3", "active", "Pains", None, '{"name":"rod"}', None),
+            (4, "4", "active", "Pains", 2, '{"name":"rod"}', None),
+        ],
+        "product_id long, sku string, status string, menu_step string, persons int, raw string, is_food string",
+    )
+    files.save_version(rows, run.table("products"))
+    assert stages.report_gaps(run, str(tmp_path / "gaps")) == {"Pains": 1, "Plateaux": 1}
+    dry = stages.drop_retired_fields(run)
+    assert (dry["rows"], dry["fields"]["is_food"], "is_food" in run.load("products").columns) == (1, 1, True)
+    stages.drop_retired_fields(run, apply=True)
+    assert "is_food" not in run.load("products").columns
+    assert stages.repair_steps(run, SPECS["menu_step"], answer) == {"stale": {"Plateaux": 1, "À côté": 1}}
+    done = stages.repair_steps(run, SPECS["menu_step"], answer, apply=True)
+    assert done["now"] == {"Desserts": 1, "Plats": 1}
+    steps = {r.product_id: r.menu_step for r in run.load("products").collect()}
+    assert steps == {1: "Desserts", 2: "Plats", 3: "Pains", 4: "Pains"}
+
+
+def test_line_without_key_ends_the_job(spark, tmp_path):
+    for bad in ('{"sku":"1"}', "{oops"):
+        (tmp_path / "bad.jsonl").write_text('{"product_id":1}\n' + bad + "\n")
+        lines = files.read_lines(spark, str(tmp_path / "bad.jsonl"))
+        try:
+            stages.documents.keyed_lines(lines, "product_id").collect()
+        except Exception as e:
+            assert "no product_id in line" in str(e)
+        else:
+            raise AssertionError
