@@ -117,9 +117,10 @@ def ask(
 ) -> DataFrame:
     """(product_ids, reply) per batch of items (product_id, line); null reply = failed call.
 
-    Batches form inside each partition, without a shuffle; ``parallel`` sets how many
-    partitions call at once. Replies are written before anything reads them, so no later
-    step can repeat a call.
+    Batches form inside each partition. ``parallel`` is the number of partitions, one per core
+    by default: left to adaptive execution, the few bytes of the items would end up in one
+    partition and every call in one task. Replies are written before anything reads them, so
+    no later step can repeat a call.
     """
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -141,9 +142,8 @@ def ask(
         if waiting:
             yield answer(waiting)
 
-    rows = items.select("product_id", "line")
-    if parallel:
-        rows = rows.repartition(parallel)
+    parallel = parallel or items.sparkSession.sparkContext.defaultParallelism
+    rows = items.select("product_id", "line").repartition(parallel)
     return written(rows.mapInPandas(run, REPLY_SCHEMA), "replies", path)
 
 

@@ -33,7 +33,8 @@ def embed(
 ) -> DataFrame:
     """(product_id, menu_step, status, values); a failed batch gives null values.
 
-    Batches form inside each partition. The result is written, so the embedder runs once.
+    Batches form inside each partition, of which there are ``parallel``, one per core by
+    default. The result is written, so the embedder runs once.
     """
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -49,9 +50,8 @@ def embed(
     rows = embeddable(products).select(
         "product_id", "menu_step", "status", strip(F.col("name")).alias("text")
     )
-    rows = rows.where("text <> ''")
-    if parallel:
-        rows = rows.repartition(parallel)
+    parallel = parallel or products.sparkSession.sparkContext.defaultParallelism
+    rows = rows.where("text <> ''").repartition(parallel)
     return written(rows.mapInPandas(run, EMBEDDED), "vectors", path)
 
 

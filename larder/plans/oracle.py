@@ -94,7 +94,9 @@ def _squeeze(t: str) -> str:
 
 
 def _unescape(t: str) -> str:
-    return f"replace(replace(replace(replace({t}, '&middot;', '·'), '&copy;', '©'), '&quot;', '\"'), '&amp;', '&')"
+    for entity, char in (("middot", "·"), ("copy", "©"), ("quot", '"'), ("amp", "&")):
+        t = f"regexp_replace({t}, '&{entity};?', '{char}', 'g')"
+    return t
 
 
 _ITEMS = f"""items as (select p_partkey as product_id, p_name as name, p_brand, {_STEP} as menu_step from part)"""
@@ -111,13 +113,13 @@ def _enriched(value: str, cached: str, where: str = "true", missing: str | None
 
 ORACLE: dict[str, str] = {
     "catalogue_step_cost": f"""with {_PRODUCTS}, {_PRICES}, {_LISTED}
-        select store_id, menu_step, count(*) as n, round(median({_PPP}), 6) as typical_cost from listed group by all""",
+        select store_id, menu_step, count(*) as n, round(median({_PPP}), 8) as typical_cost from listed group by all""",
     "catalogue_rollup": f"""with {_PRODUCTS}, {_PRICES}, {_LISTED}, {_FAMILIES},
         cells as (select store_id, menu_step, count(*) as n, median({_PPP}) as cost from listed group by all),
         labels_per as (select store_id, menu_step, string_agg(label, '|' order by rank) as labels from families group by all)
         select store_id, string_agg(menu_step || ':' || n, ',' order by menu_step) as step_catalogue,
             coalesce(string_agg(menu_step || ':' || labels, ',' order by menu_step), '') as step_families,
-            coalesce(string_agg(menu_step || ':' || cast(round(cost * 100) as bigint), ',' order by menu_step), '') as step_typical_cost
+            coalesce(string_agg(menu_step || ':' || cast(round(cost * 100000000) as bigint), ',' order by menu_step), '') as step_typical_cost
         from cells left join labels_per using (store_id, menu_step) group by all""",
     "catalogue_fill_empty": f"""with {_DEAR}
         select s_suppkey as store_id, s_acctbal >= 2000 as is_active,
@@ -339,7 +341,7 @@ ORACLE: dict[str, str] = {
         from products where status = 'active' and persons is null""",
     "gap_report": f"""with {_PRODUCTS}, t as (select menu_step, count(*) as n from products where status = 'active' and persons is null group by all)
         select row_number() over (order by n desc, menu_step nulls first) as position, coalesce(menu_step, 'Non classé') as step, n from t""",
-    "stale_steps": """select p_type as step, case p_type when 'SMALL' then 1 else 2 end as position, count(*) as n
+    "stale_steps": """select p_type as step, cast(case p_type when 'SMALL' then 1 else 2 end as bigint) as position, count(*) as n
         from part where p_type in ('SMALL', 'LARGE', 'HUGE') group by all""",
     "field_presence": """with c as (select count(*) filter (p_size < 10) as f, count(*) filter (p_type = 'SMALL') as e from part)
         select unnest(['persons_estimated', 'category_tags', 'allergens', 'allergen_tags', 'embed_text', 'is_food', 'curated_concept']) as field,
@@ -361,6 +363,6 @@ ORACLE: dict[str, str] = {
         cast(length(name) - length(replace(name, ' ', '')) + 1 as double) as words,
         cast(length(name) - length(replace(name, 'e', '')) as double) as e
         from products where status = 'active' and menu_step not in ('Fromages', 'Desserts')""",
-    "embed_counters": f"""with {_PRODUCTS} select count(*) as eligible, count(*) filter (menu_step = 'Desserts') as blank_name, 0 as failed
+    "embed_counters": f"""with {_PRODUCTS} select count(*) as eligible, count(*) filter (menu_step = 'Desserts') as blank_name, cast(0 as bigint) as failed
         from products where status = 'active' and menu_step <> 'Fromages'""",
 }

@@ -40,7 +40,7 @@ PIECES = "https://img.example"
 @query
 def catalogue_step_cost(spark, sf):
     cells = catalogue.step_cells(inputs.prices(spark, sf), inputs.products(spark, sf))
-    return cells.select("store_id", "menu_step", "n", F.round("typical_cost", 6).alias("typical_cost"))
+    return cells.select("store_id", "menu_step", "n", F.round("typical_cost", 8).alias("typical_cost"))
 
 
 @query
@@ -57,7 +57,7 @@ def catalogue_rollup(spark, sf):
         "store_id",
         joined("step_catalogue", lambda n: n.cast("string")),
         joined("step_families", lambda labels: F.array_join(labels, "|")),
-        joined("step_typical_cost", lambda v: F.round(v * 100).cast("bigint").cast("string")),
+        joined("step_typical_cost", lambda v: F.round(v * 100_000_000).cast("bigint").cast("string")),
     )
 
 
@@ -625,7 +625,7 @@ def label_inject(spark, sf):
 
 def _items(spark, sf):
     """Every part as an item to label; parts of one brand have a cached label."""
-    return spread(load(spark, sf, "part")).select(
+    return load(spark, sf, "part").select(
         F.col("p_partkey").alias("product_id"),
         F.col("p_name").alias("name"),
         F.expr(inputs.STEP).alias("menu_step"),
