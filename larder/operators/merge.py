@@ -28,17 +28,59 @@ def upsert_counts(
     old: DataFrame, batch: DataFrame, keys: list[str], ignore: tuple[str, ...] = ()
 ) -> DataFrame:
     """One row (upserted, modified): new keys, and matched rows the batch really changes."""
-    fields = [c for c in batch.columns if c not in keys and c not in ignore]
+    change = _change(old, [c for c in batch.columns if c not in keys and c not in ignore])
+    return _matched(old, batch, keys).agg(
+        F.count_if(change == "upserted").alias("upserted"),
+        F.count_if(change == "modified").alias("modified"),
+    )
+
+
+def merge_export(
+    old: DataFrame,
+    batch: DataFrame,
+    keys: list[str],
+    now: Column,
+    status: tuple[str, object] | None = None,
+) -> DataFrame:
+    """Upsert and soft delete in the same join, with a ``change`` column per row.
+
+    The batch is the whole export, so the join also tells which rows it lacks. ``change`` is
+    "upserted", "modified", "removed" or null. Without ``status`` nothing is removed.
+    """
+    if status and "removed_at" not in old.columns:
+        old = old.withColumn("removed_at", F.lit(None).cast("timestamp"))
+    joined = _matched(old, batch, keys)
+    columns = [*old.columns, *[c for c in batch.columns if c not in old.columns]]
+    shaped = {c: _merged(c, old, batch, keys) for c in columns}
+    change = _change(old, [c for c in batch.columns if c not in keys])
+    if status:
+        field, inactive = status
+        absent = F.col("new._here").isNull()
+        gone = absent & ~F.col(f"old.{field}").eqNullSafe(F.lit(inactive))
+        shaped[field] = F.when(gone, F.lit(inactive)).otherwise(shaped[field])
+        shaped["removed_at"] = F.when(gone, now).when(absent, F.col("old.removed_at"))
+        change = F.when(gone, "removed").otherwise(change)
+    return joined.select(*[shaped[c].alias(c) for c in columns], change.alias("change"))
+
+
+def check_removals(merged: DataFrame, status: tuple[str, object], max_ratio: float) -> None:
+    """Stop the run when an export, an empty one say, would remove too many active rows."""
+    gone = F.col("change").eqNullSafe(F.lit("removed"))
+    old = ~F.col("change").eqNullSafe(F.lit("upserted"))
+    active = old & (gone | ~F.col(status[0]).eqNullSafe(F.lit(status[1])))
+    n = merged.agg(F.count_if(gone).alias("gone"), F.count_if(active).alias("active")).first()
+    if n.active and n.gone / n.active > max_ratio:
+        raise ValueError(f"{n.gone} of {n.active} active rows would be removed")
+
+
+def _change(old: DataFrame, fields: list[str]) -> Column:
+    """What the batch does to a row of the join with it, null when nothing."""
     changed = F.lit(False)
     for c in fields:
-        changed = changed | (~F.col(f"new.{c}").eqNullSafe(F.col(f"old.{c}")) if c in old.columns else F.col(f"new.{c}").isNotNull())
-    joined = _matched(old, batch, keys)
-    return joined.agg(
-        F.count_if(F.col("new._here").isNotNull() & F.col("old._here").isNull()).alias("upserted"),
-        F.count_if(
-            F.col("new._here").isNotNull() & F.col("old._here").isNotNull() & changed
-        ).alias("modified"),
-    )
+        before = F.col(f"old.{c}") if c in old.columns else F.lit(None)
+        changed = changed | ~F.col(f"new.{c}").eqNullSafe(before)
+    there = F.col("new._here").isNotNull()
+    return F.when(there & F.col("old._here").isNull(), "upserted").when(there & changed, "modified")
 
 
 def _matched(old: DataFrame, batch: DataFrame, keys: list[str]) -> DataFrame:

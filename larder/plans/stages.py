@@ -7,7 +7,7 @@ the export and writes the next one, so a stage can be run again at any time.
 from collections.abc import Callable
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from larder import vocab
@@ -46,25 +46,23 @@ class Run:
 
 
 def _merge(run: Run, name: str, batch: DataFrame, keys: list[str], status=None) -> dict:
-    """Upsert a written batch into a table, soft-delete what it lacks, save, count."""
+    """Merge a written batch into a table and save it: one join, counted while it is written."""
     old = run.load(name)
-    counts = {}
     if old is None:
-        merged = batch
-        counts = {"upserted": batch.count(), "modified": 0}
-    else:
-        merged = M.upsert(old, batch, keys)
-        counts = M.upsert_counts(old, batch, keys).first().asDict()
-    if status:
-        column, inactive = status
-        before = merged
-        merged = M.soft_delete(
-            before, batch, keys, column, inactive, run.now, run.max_delete_ratio
-        )
-        gone = before.join(batch.select(*keys), keys, "left_anti")
-        counts["soft_deleted"] = gone.where(~F.col(column).eqNullSafe(F.lit(inactive))).count()
-    files.save_version(merged, run.table(name))
-    return counts
+        old = run.spark.createDataFrame([], batch.schema)
+    merged = M.merge_export(old, batch, keys, run.now, status)
+    if status and run.max_delete_ratio is not None:
+        M.check_removals(merged, status, run.max_delete_ratio)
+    kinds = {"upserted": "upserted", "modified": "modified", "soft_deleted": "removed"}
+    if not status:
+        kinds.pop("soft_deleted")
+    # Last step before the write, so a task that is run again is not counted twice.
+    counts = Observation(f"merge {name}")
+    observed = merged.observe(
+        counts, *[F.count_if(F.col("change") == kind).alias(c) for c, kind in kinds.items()]
+    )
+    files.save_version(observed.drop("change"), run.table(name))
+    return dict(counts.get)
 
 
 def ingest_stores(run: Run, lines: DataFrame, concepts_csv: str | None = None) -> dict:

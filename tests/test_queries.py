@@ -6,6 +6,7 @@ import pytest
 
 import __spark_entry__ as entry
 from compare import compare, connect
+from larder.plans import catalogue, inputs
 
 FOLDER = os.environ.get("LARDER_TEST_DATA", "/root/testdata/sf0.001")
 QUERIES, ORACLE = entry.queries(), entry.oracle_sql()
@@ -56,3 +57,10 @@ def test_medians_never_window_over_a_whole_group_without_need(spark):
     df.collect()
     final = plan(df).split("Initial Plan")[0]
     assert "Window" not in final
+
+
+def test_cells_of_large_stores_are_the_same(spark):
+    prices, products = inputs.prices(spark, FOLDER), inputs.products(spark, FOLDER)
+    plain = catalogue.step_cells(prices, products)
+    split = catalogue.step_cells(prices, products, large=30)
+    assert plain.exceptAll(split).count() == split.exceptAll(plain).count() == 0
