@@ -10,6 +10,7 @@ from dataclasses import dataclass
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from larder import vocab
@@ -88,14 +89,14 @@ def uncached(items: DataFrame, cache: DataFrame, field: str, force: bool = False
     return items.join(settled, "product_id", "left_anti")
 
 
-def numbered_batches(df: DataFrame, key: str, size: int = vocab.LABEL_BATCH, span: int = 3200) -> DataFrame:
+def numbered_batches(
+    df: DataFrame, key: str, size: int = vocab.LABEL_BATCH, span: int = 3200
+) -> DataFrame:
     """Adds (bucket, batch, number): batches of at most ``size``, numbered from 1 within.
 
     Each window partition is a range of ``span`` keys, so with a unique whole-number key no
     task orders more than ``span`` rows, and the numbers are the same in every run.
     """
-    from pyspark.sql import Window as W
-
     by_key = W.partitionBy("bucket").orderBy(key)
     place = F.row_number().over(by_key) - 1
     return (
@@ -178,11 +179,13 @@ def settle(items: DataFrame, read: DataFrame, label: Label) -> DataFrame:
         by_name = label.name_rule(F.coalesce("name", F.lit("")))
     joined = joined.withColumn("_forced", by_name).withColumn("answer", F.col("value"))
     value = F.coalesce("_forced", "value", *([label.fallback()] if label.fill_missing else []))
+    forced = F.col("_forced").isNotNull()
+    source = F.when(forced, "name").otherwise(F.coalesce("source", F.lit("model")))
     return joined.select(
         "product_id",
         value.alias("value"),
-        F.when(F.col("_forced").isNotNull(), "name").otherwise(F.coalesce("source", F.lit("model"))).alias("source"),
-        (F.col("_forced").isNotNull() & ~F.col("_forced").eqNullSafe(F.col("answer"))).alias("overridden"),
+        source.alias("source"),
+        (forced & ~F.col("_forced").eqNullSafe(F.col("answer"))).alias("overridden"),
     ).where("value is not null")
 
 

@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 from larder import vocab
 from larder.functions import numbers as N
 from larder.functions import product as P
-from larder.functions import replies as A
 from larder.functions import text as X
 from larder.operators import concepts as C
 from larder.operators import families as FA
