@@ -4,8 +4,8 @@ Each document of a source would be taken ``target / source size`` times. Whole c
 fractional rest is rounded by the pivotal method: two documents meet, and a random amount of *words* moves from one to the other until
 one of them has a whole number of copies. The mass in words stays the same at every meeting, and each document's
 expected copies stay as they were. A task does this along its documents and hands on the one that is left with a fraction; those meet again,
-``FAN_IN`` at a time, level by level, until one per source is left, which alone is rounded by chance.
-So a source misses its target by less than one document.
+``FAN_IN`` at a time, level by level, until one per source is left, which alone is rounded to the nearest.
+So a source misses its target by half of one document at most.
 
 Random numbers are hashes of the document and the level: reruns agree, whatever the partitions.
 """
@@ -94,12 +94,13 @@ def _rounder(level: int, last: bool):
 
 
 def _round(rows: pd.DataFrame, level: int, last: bool) -> pd.DataFrame:
-    rows = rows.sort_values(["order", "doc_id"], kind="stable").reset_index(drop=True)
+    # Long documents first: the one left over is then more often a short one.
+    rows = rows.sort_values(["size", "order", "doc_id"], ascending=[False, True, True], kind="stable").reset_index(drop=True)
     chance = _chance(rows["order"].to_numpy(np.int64).copy(), level)
     copies, left = pivot(rows["copies"].to_numpy(), rows["size"].to_numpy(), chance)
     if last and left >= 0:
         base = np.floor(copies[left])
-        copies[left], left = base + (chance[left] < copies[left] - base), -1
+        copies[left], left = base + (copies[left] - base > 0.5), -1
     rows["copies"] = copies
     rows["open"] = np.arange(len(rows)) == left
     return rows
