@@ -40,8 +40,8 @@ HOT = 32  # a block sketch shared by more documents is hot
 TILE = 4096
 #: Shingles per block for a document at the top of its band, coarsest first; 0 gives every shingle its own.
 PER_BLOCK = (2.0, 1.5, 1.0, 0.5, 0.25, 0.1, 0.0)
-BUCKET_KEYS = 4_000_000
-FLUSH_KEYS = 3_000_000
+BUCKET_KEYS = 1_500_000
+FLUSH_KEYS = 1_000_000
 BROADCAST_ROWS = 500_000
 
 
@@ -260,6 +260,7 @@ def _keys(levels_of: dict[int, int], buckets: int):
                 if parcels.held > FLUSH_KEYS:
                     yield from parcels.send()
         yield from parcels.send()
+        pa.default_memory_pool().release_unused()
 
     return run
 
@@ -334,6 +335,7 @@ def _meet(table: pa.Table) -> pa.Table:
                 new = np.ones(len(a), bool)
                 new[1:] = (a[1:] != a[:-1]) | (b[1:] != b[:-1])
                 out.append(_met({"kind": np.zeros(int(new.sum()), np.int8), "a": a[new], "b": b[new]}))
+    pa.default_memory_pool().release_unused()
     return pa.concat_tables(out) if out else _MET.empty_table()
 
 
