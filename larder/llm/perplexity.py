@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from larder.llm import arrays as A
-from larder.llm.shared import stored
+from larder.llm.shared import small, stored
 
 ORDER = 4
 SLOT_BITS = 22
@@ -270,7 +270,8 @@ def judge(docs: DataFrame, reach: float = 8.0, least: int = 100) -> DataFrame:
     limits = bands(rows.where(~F.col("base_failed")), reach, least)
     every = limits.where(F.col("lang").isNull()).select(F.col("low").alias("all_low"), F.col("high").alias("all_high")).first()
     low, high = (F.lit(x).cast("double") for x in (every or (None, None)))
-    rows = rows.join(limits.where(F.col("lang").isNotNull()), "lang", "left")
+    own = limits.where(F.col("lang").isNotNull()).withColumnRenamed("lang", "own_lang")
+    rows = rows.join(small(own), F.col("lang") == F.col("own_lang"), "left")
     rows = rows.withColumn("low", F.coalesce("low", low)).withColumn("high", F.coalesce("high", high))
     kept = ~F.col("base_failed") & F.coalesce(F.col("score").between(F.col("low"), F.col("high")), F.lit(False))
     return rows.select(
