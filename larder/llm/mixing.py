@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from larder.llm.shared import small, stored
 
-GROUP_ROWS = 20_000
+GROUP_ROWS = 2_000
 FAN_IN = 64
 WEIGHTS = (5.0, 2.0, 1.0)
 _EDGE = 1e-9
