@@ -62,8 +62,11 @@ def _training_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
             )
 
 
-def choose(keys: np.ndarray, doc: np.ndarray, toxic: np.ndarray, vocabulary: int, least: float) -> np.ndarray:
-    """Features whose share of toxic documents differs from that of clean ones by ``least`` standard errors or more."""
+def choose(keys: np.ndarray, doc: np.ndarray, toxic: np.ndarray, vocabulary: int, least: float) -> tuple[np.ndarray, np.ndarray]:
+    """Features whose share of toxic documents differs from that of clean ones by ``least`` standard errors or more.
+
+    Also their scales, the difference in standard errors against the largest one: chance finds count for little.
+    """
     unique, place = np.unique(keys, return_inverse=True)
     in_toxic, in_all = np.bincount(place, toxic[doc], len(unique)), np.bincount(place, minlength=len(unique))
     n1, n = max(toxic.sum(), 1), len(toxic)
@@ -71,13 +74,20 @@ def choose(keys: np.ndarray, doc: np.ndarray, toxic: np.ndarray, vocabulary: int
     error = np.sqrt(np.maximum(share * (1 - share), 1e-12) * (1 / n1 + 1 / max(n - n1, 1)))
     z = np.abs(in_toxic / n1 - (in_all - in_toxic) / max(n - n1, 1)) / error
     good = np.flatnonzero((z >= least) & (in_all >= 4))
-    return np.sort(unique[good[np.lexsort((unique[good], -z[good]))][:vocabulary]])
+    good = np.sort(good[np.lexsort((unique[good], -z[good]))][:vocabulary])
+    return unique[good], z[good] / z.max(initial=1e-9)
 
 
-def fit_ordinal(rows: np.ndarray, columns: np.ndarray, grade: np.ndarray, n_columns: int, n_grades: int, steps: int = 300, l2: float = 1e-4) -> tuple[np.ndarray, np.ndarray]:
-    """Shared weights and ascending thresholds of the cumulative-link model, for a sparse 0/1 matrix."""
-    n, k = len(grade), n_grades - 1
-    at_most = np.cumsum(np.bincount(grade, minlength=n_grades))[:k] / n
+def fit_ordinal(
+    rows: np.ndarray, columns: np.ndarray, grade: np.ndarray, scale: np.ndarray, n_grades: int, steps: int = 500, l2: float = 1e-4
+) -> tuple[np.ndarray, np.ndarray]:
+    """Shared weights and ascending thresholds of the cumulative-link model, for a sparse 0/1 matrix with scaled columns.
+
+    Clean and toxic documents weigh alike as a whole, so a chance of one half does not depend on how rare toxic ones are.
+    """
+    n, k, n_columns = len(grade), n_grades - 1, len(scale)
+    weigh = np.where(grade > 0, 0.5 / max((grade > 0).sum(), 1), 0.5 / max((grade == 0).sum(), 1))
+    at_most = np.cumsum(np.bincount(grade, weigh, n_grades))[:k]
     at_most = np.clip(at_most, 1e-3, 1 - 1e-3)
     first = np.log(at_most / (1 - at_most))
     weights = np.zeros(n_columns)
@@ -87,21 +97,21 @@ def fit_ordinal(rows: np.ndarray, columns: np.ndarray, grade: np.ndarray, n_colu
     each = np.arange(n)
     for t in range(1, steps + 1):
         theta = np.concatenate([cuts[:1], cuts[0] + np.cumsum(np.exp(cuts[1:]))])
-        f = np.bincount(rows, weights[columns], n)
+        f = np.bincount(rows, (weights * scale)[columns], n)
         below = np.concatenate([np.zeros((n, 1)), 1 / (1 + np.exp(np.clip(f[:, None] - theta, -30, 30))), np.ones((n, 1))], axis=1)
         slope = below * (1 - below)
         chance = np.maximum(below[each, grade + 1] - below[each, grade], 1e-9)
-        d_f = (slope[each, grade + 1] - slope[each, grade]) / chance / n
+        d_f = (slope[each, grade + 1] - slope[each, grade]) / chance * weigh
         d_theta = np.zeros(k + 2)
-        np.add.at(d_theta, grade + 1, -slope[each, grade + 1] / chance / n)
-        np.add.at(d_theta, grade, slope[each, grade] / chance / n)
+        np.add.at(d_theta, grade + 1, -slope[each, grade + 1] / chance * weigh)
+        np.add.at(d_theta, grade, slope[each, grade] / chance * weigh)
         d_theta = d_theta[1:-1]
         d_cuts = np.concatenate([[d_theta.sum()], [np.exp(cuts[j]) * d_theta[j:].sum() for j in range(1, k)]])
-        g = np.concatenate([np.bincount(columns, d_f[rows], n_columns) + l2 * weights, d_cuts])
+        g = np.concatenate([scale * np.bincount(columns, d_f[rows], n_columns) + l2 * weights, d_cuts])
         m, v = 0.9 * m + 0.1 * g, 0.999 * v + 0.001 * g * g
         move = 0.1 * (m / (1 - 0.9**t)) / (np.sqrt(v / (1 - 0.999**t)) + 1e-9)
         weights, cuts = weights - move[:n_columns], cuts - move[n_columns:]
-    return weights, np.concatenate([cuts[:1], cuts[0] + np.cumsum(np.exp(cuts[1:]))])
+    return weights * scale, np.concatenate([cuts[:1], cuts[0] + np.cumsum(np.exp(cuts[1:]))])
 
 
 def labelled(docs: DataFrame, labels: DataFrame, sample: int) -> DataFrame:
@@ -115,7 +125,7 @@ def labelled(docs: DataFrame, labels: DataFrame, sample: int) -> DataFrame:
     return rows.select("text", "grade")
 
 
-def fit(rows: DataFrame, vocabulary: int = 50_000, least: float = 5.0, split: bool = False) -> Grades:
+def fit(rows: DataFrame, vocabulary: int = 50_000, least: float = 4.0, split: bool = False) -> Grades:
     """Fit to (text, grade), grades 0, 1, ... in ascending severity. Without a row above 0 nothing is ever toxic."""
     table = rows.mapInArrow(_training_rows, "grade int, keys binary").toArrow()
     grade = table["grade"].to_numpy().astype(np.int64)
@@ -126,16 +136,16 @@ def fit(rows: DataFrame, vocabulary: int = 50_000, least: float = 5.0, split: bo
     if n_grades < 2:
         return Grades(np.zeros(0, np.uint64), np.zeros(0), np.full(1, 30.0))
     keys, doc = np.concatenate(parts), np.repeat(np.arange(len(parts)), [len(p) for p in parts])
-    kept = choose(keys, doc, (grade > 0).astype(float), vocabulary, least)
+    kept, scale = choose(keys, doc, (grade > 0).astype(float), vocabulary, least)
     if not len(kept):
         return Grades(kept, np.zeros(0), np.full(n_grades - 1, 30.0))
     at = np.minimum(np.searchsorted(kept, keys), len(kept) - 1)
     hit = kept[at] == keys
     if split:
-        density = np.bincount(doc[hit], minlength=len(grade)) / np.maximum(np.bincount(doc, minlength=len(grade)), 1)
+        density = np.bincount(doc[hit], scale[at[hit]], len(grade)) / np.maximum(np.bincount(doc, minlength=len(grade)), 1)
         grade = np.where(grade == 0, 0, 1 + (density > np.median(density[grade > 0])))
         n_grades = int(grade.max()) + 1
-    weights, thresholds = fit_ordinal(doc[hit], at[hit], grade, len(kept), n_grades)
+    weights, thresholds = fit_ordinal(doc[hit], at[hit], grade, scale, n_grades)
     return Grades(kept, weights, thresholds)
 
 
@@ -161,7 +171,7 @@ def assess(text: Column, model: Broadcast) -> Column:
     return run(text)
 
 
-def fit_binary(rows: DataFrame, vocabulary: int = 50_000, least: float = 5.0) -> Grades:
+def fit_binary(rows: DataFrame, vocabulary: int = 50_000, least: float = 4.0) -> Grades:
     """Fit to (text, grade) with grades 0 and 1 only, splitting the toxic ones into mild and severe.
 
     Labels that only say toxic or not hold no severity, so it is taken from how dense the marks are: a toxic
@@ -170,13 +180,15 @@ def fit_binary(rows: DataFrame, vocabulary: int = 50_000, least: float = 5.0) ->
     return fit(rows, vocabulary, least, split=True)
 
 
-def learned(docs: DataFrame, labels: DataFrame, sample: int = 10_000) -> Broadcast:
+def learned(docs: DataFrame, labels: DataFrame, sample: int = 6_000) -> Broadcast:
     """The model of 0/1 labels (doc_id, toxic), ready for ``assess``."""
     rows = labelled(docs, labels.where("toxic IN (0, 1)").select("doc_id", F.col("toxic").alias("grade")), sample)
-    return docs.sparkSession.sparkContext.broadcast(fit_binary(rows))
+    model = fit_binary(rows)
+    A.tidy()
+    return docs.sparkSession.sparkContext.broadcast(model)
 
 
-def report(docs: DataFrame, labels: DataFrame, sample: int = 10_000, limit: float = 0.5) -> DataFrame:
+def report(docs: DataFrame, labels: DataFrame, sample: int = 6_000, limit: float = 0.5) -> DataFrame:
     """doc_id, expected severity, grade, p_toxic and toxic (p_toxic of ``limit`` or more) of every document."""
     model = learned(docs, labels, sample)
     rows = docs.select("doc_id", assess(F.col("text"), model).alias("s"))
