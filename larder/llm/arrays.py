@@ -4,6 +4,7 @@ An Arrow string column already holds its texts as one run of UTF-8 bytes. All wo
 treat bytes of 0x80 and above alike, so words can be found and hashed on bytes. Hashes have 64 bits.
 """
 
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
@@ -21,7 +22,7 @@ _random = np.random.default_rng(20250101)
 _VALUE = _random.integers(1, 2**63, 256, dtype=np.uint64) | np.uint64(1)
 _PLACE = _random.integers(1, 2**63, 4096, dtype=np.uint64) | np.uint64(1)
 _STEP = np.uint64(0x9E3779B97F4A7C15)
-SLICE_BYTES = 1 << 21
+SLICE_BYTES = 1 << 20
 
 
 def mix(x: np.ndarray, seed: int = 0) -> np.ndarray:
@@ -32,6 +33,14 @@ def mix(x: np.ndarray, seed: int = 0) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+def tidy() -> None:
+    """Give freed memory back to the system: Python workers live on between tasks and stages."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
 def slices(column: pa.Array, limit: int = SLICE_BYTES) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     """Runs of whole texts of about ``limit`` bytes (one longer text alone): first row, bytes, offsets. Null is empty."""
     if isinstance(column, pa.ChunkedArray):
@@ -49,6 +58,7 @@ def slices(column: pa.Array, limit: int = SLICE_BYTES) -> Iterator[tuple[int, np
         stop = min(max(stop, at + 1), rows)
         yield at, whole[offsets[at] : offsets[stop]], offsets[at : stop + 1] - offsets[at]
         at = stop
+    tidy()
 
 
 def words(data: np.ndarray, offsets: np.ndarray, kind: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:

@@ -260,7 +260,7 @@ def _keys(levels_of: dict[int, int], buckets: int):
                 if parcels.held > FLUSH_KEYS:
                     yield from parcels.send()
         yield from parcels.send()
-        pa.default_memory_pool().release_unused()
+        A.tidy()
 
     return run
 
@@ -335,7 +335,7 @@ def _meet(table: pa.Table) -> pa.Table:
                 new = np.ones(len(a), bool)
                 new[1:] = (a[1:] != a[:-1]) | (b[1:] != b[:-1])
                 out.append(_met({"kind": np.zeros(int(new.sum()), np.int8), "a": a[new], "b": b[new]}))
-    pa.default_memory_pool().release_unused()
+    A.tidy()
     return pa.concat_tables(out) if out else _MET.empty_table()
 
 

@@ -26,9 +26,11 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from larder.llm import arrays as A
+
 BLOCK_IDS = 1 << 14
 STRIPE_IDS = 1 << 18
-CACHE_WORDS = 700_000
+CACHE_WORDS = 150_000  # words of a generation; two are kept
 
 _BLOCK = pa.struct([("first", pa.int64()), ("n_ids", pa.int32()), ("offset", pa.int64()), ("planes", pa.list_(pa.int32())), ("crc32", pa.int64())])
 STRIPES = pa.schema(
@@ -122,10 +124,11 @@ class WordEncoder:
         self.by_word = steps == _STEPS and cut[0].get("pattern") == {"Regex": _CUT} and [x.get("type") for x in cut] == ["Split", "ByteLevel"]
         self.model = self.tokenizer.model
         self.words: dict[str, bytes] = {}
-        self.letters: dict[str, bytes] = {}
+        self.before: dict[str, bytes] = {}
         if self.by_word:
             level = ByteLevel(add_prefix_space=False, use_regex=False)
             latin = [chr(c) for c in range(0xC0, 0x100)]
+            self.marks: dict[str, bytes] = {}
             self.spelled = str.maketrans({c: level.pre_tokenize_str(c)[0][0] for c in latin})
 
     def _whole(self, text: str) -> bytes:
@@ -136,27 +139,25 @@ class WordEncoder:
         if not m:
             return self._whole(word)
         low = m[1].lower()
-        ids = self.letters.get(low)
-        if ids is None:
-            spelled = low if low.isascii() else low.translate(self.spelled)
-            ids = struct.pack(f"<{len(t := self.model.tokenize(spelled))}I", *[x.id for x in t])
-            self.letters[low] = ids
+        spelled = low if low.isascii() else low.translate(self.spelled)
+        ids = struct.pack(f"<{len(t := self.model.tokenize(spelled))}I", *[x.id for x in t])
         if not m[2]:
             return ids
-        marks = self.letters.get(m[2])
-        if marks is None:
-            marks = self.letters[m[2]] = self._whole(m[2])
-        return ids + marks
+        if m[2] not in self.marks:
+            self.marks[m[2]] = self._whole(m[2])
+        return ids + self.marks[m[2]]
 
     def __call__(self, texts: list[str]) -> list[bytes]:
         if not self.by_word:
             return [self._whole(t) for t in texts]
         pieces = [t.split(" ") if "\n" not in t else t.replace("\n", " ").split(" ") for t in texts]
-        for known in (self.words, self.letters):
-            if len(known) > CACHE_WORDS:
-                known.clear()
+        if len(self.words) > CACHE_WORDS:  # words in use move on to the next generation
+            self.words, self.before = {}, self.words
+        if len(self.marks) > CACHE_WORDS:
+            self.marks.clear()
         for word in set(chain.from_iterable(pieces)).difference(self.words):
-            self.words[word] = self._word(word)
+            ids = self.before.get(word)
+            self.words[word] = self._word(word) if ids is None else ids
         get = self.words.__getitem__
         return [b"".join(map(get, p)) for p in pieces]
 
@@ -198,6 +199,7 @@ def write(docs: DataFrame, path: str, tokenizer: str, end_id: int, kind: str = "
                         number, first, held, ids, parts = number + 1, first + held, 0, [], []
         if ids:
             yield _stripe(shard, number, first, ids, parts, kind)
+        A.tidy()
 
     # The hash of the text parts rows that share an id, or have none, into ranges as well.
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), F.xxhash64("text").alias("tie"))
