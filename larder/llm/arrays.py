@@ -45,7 +45,9 @@ def slices(column: pa.Array, limit: int = SLICE_BYTES) -> Iterator[tuple[int, np
     """Runs of whole texts of about ``limit`` bytes (one longer text alone): first row, bytes, offsets. Null is empty."""
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
-    column = column.cast(pa.large_string()).fill_null("")
+    column = column.cast(pa.large_string())
+    if column.null_count:
+        column = column.fill_null("")
     rows = len(column)
     if not rows:
         return

@@ -40,8 +40,8 @@ HOT = 32  # a block sketch shared by more documents is hot
 TILE = 4096
 #: Shingles per block for a document at the top of its band, coarsest first; 0 gives every shingle its own.
 PER_BLOCK = (2.0, 1.5, 1.0, 0.5, 0.25, 0.1, 0.0)
-BUCKET_KEYS = 1_500_000
-FLUSH_KEYS = 1_000_000
+BUCKET_KEYS = 600_000
+FLUSH_KEYS = 600_000
 BROADCAST_ROWS = 500_000
 
 
@@ -303,9 +303,10 @@ def _meet(table: pa.Table) -> pa.Table:
         slacks.append(slack[doc])
     if keys:
         key, node, own, n, slack = (np.concatenate(x) for x in (keys, nodes, owns, sizes, slacks))
-        order = np.argsort(key, kind="stable")
-        many, _ = A.repeated(key)
-        order = order[many[order]]
+        order = np.argsort(key)
+        lone = np.ones(len(key) + 1, bool)
+        lone[1:-1] = key[order[1:]] != key[order[:-1]]
+        order = order[~(lone[1:] & lone[:-1])]  # a key met once pairs nothing
         order = order[np.lexsort((node[order], key[order]))]
         key, node, own, n, slack = key[order], node[order], own[order], n[order], slack[order]
         new = np.ones(len(key), bool)

@@ -30,7 +30,7 @@ from larder.llm import arrays as A
 
 BLOCK_IDS = 1 << 14
 STRIPE_IDS = 1 << 18
-CACHE_WORDS = 150_000  # words of a generation; two are kept
+CACHE_WORDS = 80_000  # words of a generation; two are kept
 
 _BLOCK = pa.struct([("first", pa.int64()), ("n_ids", pa.int32()), ("offset", pa.int64()), ("planes", pa.list_(pa.int32())), ("crc32", pa.int64())])
 STRIPES = pa.schema(
