@@ -1,5 +1,6 @@
 """Text column expressions."""
 
+import sys
 import unicodedata
 from functools import cache
 
@@ -55,13 +56,12 @@ def _fold_tables() -> tuple[str, str, dict[str, str]]:
     """Compatibility decomposition without marks, generated from the Unicode database.
 
     Returns the characters to translate, what they become (characters past its end are
-    deleted), and the characters that expand to several. Hangul composes by rule and has
-    neither accents nor plurals, so it is left alone.
+    deleted), and the characters that expand to several. All planes of Unicode are covered.
     """
     single, marks, several = {}, [], {}
-    for code in range(0x80, 0x10000):
+    for code in range(0x80, sys.maxunicode + 1):
         char = chr(code)
-        if 0xAC00 <= code <= 0xD7A3 or 0xD800 <= code <= 0xDFFF:
+        if 0xD800 <= code <= 0xDFFF:
             continue
         if unicodedata.combining(char):
             marks.append(char)

@@ -5,6 +5,7 @@ as JSON text. The source is ``model``, ``name`` (decided by the name alone) or `
 (the call failed); fallbacks are not cached, so the next run asks again.
 """
 
+import json
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
@@ -108,6 +109,9 @@ def numbered_batches(
     )
 
 
+BATCHES_PER_TASK = 20
+
+
 def ask(
     items: DataFrame,
     heading: str,
@@ -115,22 +119,27 @@ def ask(
     batch: int = vocab.LABEL_BATCH,
     parallel: int | None = None,
     path: str | None = None,
+    attempts: int = 3,
 ) -> DataFrame:
     """(product_ids, reply) per batch of items (product_id, line); null reply = failed call.
 
-    Batches form inside each partition. ``parallel`` is the number of partitions, one per core
-    by default: left to adaptive execution, the few bytes of the items would end up in one
-    partition and every call in one task. Replies are written before anything reads them, so
+    A batch is asked again, up to ``attempts`` times, if the call fails or its reply holds no JSON object.
+    Batches form inside each partition, in the order of the keys. ``parallel`` is the number of partitions, by default as many as
+    give each ``BATCHES_PER_TASK`` batches: neither the prompts nor what a lost task repeats depend on the cluster. Replies are written before anything reads them, so
     no later step can repeat a call.
     """
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         def answer(rows: list) -> pd.DataFrame:
             lines = "\n".join(f"{i}. {line}" for i, (_, line) in enumerate(rows, start=1))
-            try:
-                reply = call(f"{heading}\n{lines}")
-            except Exception:
-                reply = None
+            reply = None
+            for _ in range(attempts):
+                try:
+                    reply = call(f"{heading}\n{lines}")
+                    json.loads(reply[reply.index("{") : reply.rindex("}") + 1])
+                    break
+                except Exception:  # the last reply, if any, is read as far as it can be
+                    continue
             return pd.DataFrame({"product_ids": [[pid for pid, _ in rows]], "reply": [reply]})
 
         waiting: list = []
@@ -143,8 +152,9 @@ def ask(
         if waiting:
             yield answer(waiting)
 
-    parallel = parallel or items.sparkSession.sparkContext.defaultParallelism
-    rows = items.select("product_id", "line").repartition(parallel)
+    if parallel is None:
+        parallel = max(1, -(-items.count() // (batch * BATCHES_PER_TASK)))
+    rows = items.select("product_id", "line").repartition(parallel, "product_id").sortWithinPartitions("product_id")
     return written(rows.mapInPandas(run, REPLY_SCHEMA), "replies", path)
 
 

@@ -74,16 +74,17 @@ _LINES = """lines as (select l_partkey as product_id, l_suppkey, l_linenumber, l
         union all select product_id, l_linenumber, l_extendedprice, l_shipdate, l_orderkey, l_linenumber from lines where l_tax > 0
         union all select product_id, null, l_quantity, l_shipdate, l_orderkey, l_linenumber from lines where l_returnflag = 'A')"""
 
-_EARLY_LATE = """early as (select l_partkey as product_id, max(l_extendedprice) as price, max(l_quantity) as quantity,
-        max(l_tax) as tax from lineitem where l_shipdate < timestamp '1995-04-01' group by all),
-    late as (select l_partkey as product_id, max(l_extendedprice) as price, nullif(max(l_quantity), 50) as quantity,
-        max(l_discount) as discount from lineitem where l_shipdate >= timestamp '2001-06-01' group by all)"""
+_EARLY_LATE = """early as (select l_orderkey as product_id, max(l_extendedprice) as price, max(l_quantity) as quantity,
+        max(l_tax) as tax from lineitem where l_shipdate < timestamp '1998-06-01' group by all),
+    late as (select l_orderkey as product_id, max(l_extendedprice) as price, nullif(max(l_quantity), 50) as quantity,
+        max(l_discount) as discount from lineitem where l_shipdate >= timestamp '1998-06-01' group by all)"""
 
 _DEAR = f"""{_PRODUCTS}, {_PRICES}, cells as (select store_id, menu_step, count(*) as n,
         count(distinct nullif({_word('name')}, '')) as words
         from prices join products using (product_id)
-        where status = 'active' and menu_step is not null and price > 104400 group by all),
-    sold as (select store_id, count(*) as steps, count(*) filter (words > 0) as named from cells group by all)"""
+        where status = 'active' and menu_step is not null group by all),
+    sold as (select store_id, count(*) as steps, count(*) filter (words > 0) as named from cells group by all),
+    shops as (select s_suppkey, s_acctbal from supplier union all select -c_custkey, c_acctbal from customer)"""
 
 _BATCH = """batches as (select *, unnest([1, 2, 3]) as place from part)"""
 _FLAGGED = """labels_of as (select doc_id, case quality when 1 then 'Plats' else 'Sauces' end as step, toxic from labels)"""
@@ -125,11 +126,11 @@ ORACLE: dict[str, str] = {
         select s_suppkey as store_id, s_acctbal >= 2000 as is_active,
             coalesce(steps, case when s_acctbal >= 2000 then 0 end) as n_steps,
             coalesce(named, case when s_acctbal >= 2000 then 0 end) as n_families
-        from supplier left join sold on s_suppkey = store_id""",
+        from shops left join sold on s_suppkey = store_id""",
     "catalogue_counters": f"""with {_DEAR}
         select count(*) filter (steps is not null) as stores_updated,
             count(*) filter (steps is null and s_acctbal >= 2000) as empty_catalogue
-        from supplier left join sold on s_suppkey = store_id""",
+        from shops left join sold on s_suppkey = store_id""",
     "families_per_step": f"""with {_PRODUCTS}, {_PRICES}, {_LISTED}, {_FAMILIES}
         select store_id, menu_step, rank, label, n from families""",
     "names_per_step": f"""with {_PRODUCTS}, {_PRICES}, {_LISTED}

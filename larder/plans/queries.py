@@ -60,14 +60,18 @@ def catalogue_rollup(spark, sf):
     )
 
 
+def _stores(spark, sf):
+    """Suppliers sell; customers, with negative numbers, are stores without prices."""
+    selling = load(spark, sf, "supplier").selectExpr("s_suppkey as store_id", "s_acctbal >= 2000 as is_active")
+    idle = load(spark, sf, "customer").selectExpr("-c_custkey as store_id", "c_acctbal >= 2000 as is_active")
+    return selling.unionByName(idle)
+
+
 @query
 def catalogue_fill_empty(spark, sf):
-    """Only dear prices are listed, so some stores sell nothing."""
-    stores = load(spark, sf, "supplier").selectExpr(
-        "s_suppkey as store_id", "s_acctbal >= 2000 as is_active", "1 as step_floor"
-    )
-    dear = inputs.prices(spark, sf).where("price > 104400")
-    summary = catalogue.build_store_catalogue(dear, inputs.products(spark, sf))
+    """Customers stand in for stores that sell nothing."""
+    stores = _stores(spark, sf).withColumn("step_floor", F.lit(1))
+    summary = catalogue.build_store_catalogue(inputs.prices(spark, sf), inputs.products(spark, sf))
     filled = catalogue.apply_catalogue(stores, summary)
     return filled.select(
         "store_id",
@@ -79,11 +83,8 @@ def catalogue_fill_empty(spark, sf):
 
 @query
 def catalogue_counters(spark, sf):
-    stores = load(spark, sf, "supplier").selectExpr(
-        "s_suppkey as store_id", "s_acctbal >= 2000 as is_active"
-    )
-    dear = inputs.prices(spark, sf).where("price > 104400")
-    cells = catalogue.step_cells(dear, inputs.products(spark, sf))
+    stores = _stores(spark, sf)
+    cells = catalogue.step_cells(inputs.prices(spark, sf), inputs.products(spark, sf))
     return catalogue.catalogue_counts(stores, cells.select("store_id").distinct())
 
 
@@ -156,12 +157,10 @@ def run_counters(spark, sf):
 
 def _early_late(spark, sf):
     lines = load(spark, sf, "lineitem")
-    early = lines.where("l_shipdate < timestamp_ntz '1995-04-01'").groupBy(
-        F.col("l_partkey").alias("product_id")
-    )
-    late = lines.where("l_shipdate >= timestamp_ntz '2001-06-01'").groupBy(
-        F.col("l_partkey").alias("product_id")
-    )
+    # Lines before and from one day on: keys on either side alone, and on both.
+    key = F.col("l_orderkey").alias("product_id")
+    early = lines.where("l_shipdate < timestamp_ntz '1998-06-01'").groupBy(key)
+    late = lines.where("l_shipdate >= timestamp_ntz '1998-06-01'").groupBy(key)
     old = early.agg(
         F.max("l_extendedprice").alias("price"), F.max("l_quantity").alias("quantity"),
         F.max("l_tax").alias("tax"),
