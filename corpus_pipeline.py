@@ -9,14 +9,15 @@ from pyspark.sql import functions as F
 
 from larder.llm import decontaminate, mixing, near_duplicates, planes, severity
 from larder.llm.queries import TOKENIZER
-from larder.llm.shared import fresh, stored
+from larder.llm.shared import free, fresh, stored
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose chance of any toxic grade is below one half. Null and empty texts stay."""
     model = severity.learned(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    rows = docs.withColumn("_assessed", severity.assess(F.col("text"), model))
-    return rows.where("_assessed.p_toxic < 0.5").select(*docs.columns)
+    name = free(docs, "_assessed")
+    rows = docs.withColumn(name, severity.assess(F.col("text"), model))
+    return rows.where(F.col(name)["p_toxic"] < 0.5).select(*docs.columns)
 
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from larder.llm import arrays as A
+from larder.llm.shared import free
 
 SIZE = 13
 SHARD_WORDS = 400_000
@@ -200,7 +201,8 @@ def find(text, model: Broadcast):
                 items.append(sorted({names[i] for w in windows for i in w[2] if names[i] is not None}))
         return pa.StructArray.from_arrays([pa.array(n, pa.int64()), pa.array(spans, _SPANS), pa.array(items, pa.list_(pa.string()))], names=["n_words", "spans", "items"])
 
-    return run(text)
+    # Not to be run anew for the filter and for each column made from it.
+    return run.asNondeterministic()(text)
 
 
 def automata(benchmark: DataFrame, size: int = SIZE, shard_words: int = SHARD_WORDS) -> Iterator[tuple[Automaton, list[str]]]:
@@ -233,19 +235,19 @@ def automata(benchmark: DataFrame, size: int = SIZE, shard_words: int = SHARD_WO
     yield build(items, size), names
 
 
-def _overlaps(docs: DataFrame, benchmark: DataFrame, size: int) -> DataFrame:
+def _overlaps(docs: DataFrame, benchmark: DataFrame, size: int, name: str) -> DataFrame:
     """``docs`` with a column of what was found. One pass per automaton; with several, spans and items are united in place."""
-    context = docs.sparkSession.sparkContext
-    out = None
+    context, out = docs.sparkSession.sparkContext, docs
+    more = free(docs, "_more")
     for k, model in enumerate(automata(benchmark, size)):
         found = find(F.col("text"), context.broadcast(model))
-        out = docs.withColumn("_found", found) if out is None else out.withColumn(f"_more{k}", found)
-    more = [c for c in out.columns if c.startswith("_more")]
-    for c in more:
-        united = F.struct(
-            F.col("_found.n_words").alias("n_words"), F.concat("_found.spans", f"{c}.spans").alias("spans"), F.array_union("_found.items", f"{c}.items").alias("items")
-        )
-        out = out.withColumn("_found", united).drop(c)
+        if k == 0:
+            out = out.withColumn(name, found)
+            continue
+        out = out.withColumn(more, found)
+        f, g = F.col(name), F.col(more)
+        united = F.struct(f["n_words"].alias("n_words"), F.concat(f["spans"], g["spans"]).alias("spans"), F.array_union(f["items"], g["items"]).alias("items"))
+        out = out.withColumn(name, united).drop(more)
     return out
 
 
@@ -259,12 +261,12 @@ def _n_hit(found):
     return F.aggregate(spans, start, step, lambda s: s["n"])
 
 
-def measured(docs: DataFrame, benchmark: DataFrame, size: int = SIZE) -> DataFrame:
-    """``docs`` (text and any other columns) with n_words, n_hit, items and spans under ``_found``."""
-    out = _overlaps(docs, benchmark, size)
-    f = F.col("_found")
+def measured(docs: DataFrame, benchmark: DataFrame, size: int = SIZE, name: str = "_found") -> DataFrame:
+    """``docs`` (text and any other columns) with n_words, n_hit, items and spans under ``name``."""
+    out = _overlaps(docs, benchmark, size, name)
+    f = F.col(name)
     items = F.array_sort(F.filter(f["items"], lambda x: x.isNotNull()))
-    return out.withColumn("_found", F.struct(f["n_words"].alias("n_words"), _n_hit(f).alias("n_hit"), items.alias("items"), f["spans"].alias("spans")))
+    return out.withColumn(name, F.struct(f["n_words"].alias("n_words"), _n_hit(f).alias("n_hit"), items.alias("items"), f["spans"].alias("spans")))
 
 
 def contaminated(found, coverage: float = 0.05):
@@ -280,9 +282,11 @@ def clean(docs: DataFrame, benchmark: DataFrame, size: int = SIZE, coverage: flo
     texts that were cut.
     """
     columns = docs.columns
-    rows = measured(docs, benchmark, size).where(~contaminated(F.col("_found"), coverage) | F.col("text").isNull())
-    hit = F.size("_found.spans") > 0
-    rows = rows.withColumn("text", F.when(hit, cut_words(F.col("text"), F.col("_found.spans"))).otherwise(F.col("text")))
+    name = free(docs, "_found")
+    found = F.col(name)
+    rows = measured(docs, benchmark, size, name).where(~contaminated(found, coverage) | F.col("text").isNull())
+    hit = F.size(found["spans"]) > 0
+    rows = rows.withColumn("text", F.when(hit, cut_words(F.col("text"), found["spans"])).otherwise(F.col("text")))
     if "n_chars" in columns:
         rows = rows.withColumn("n_chars", F.when(hit, F.length("text").cast("long")).otherwise(F.col("n_chars")))
     return rows.select(*columns)

@@ -15,7 +15,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from larder.llm.shared import small, stored
+from larder.llm.shared import free, small, stored
 
 GROUP_ROWS = 2_000
 FAN_IN = 64
@@ -159,10 +159,10 @@ def mixed(docs: DataFrame, share: float = 1.5, most: float = 2.0, weights: tuple
 
 def mix(docs: DataFrame) -> DataFrame:
     """``docs`` with each row as often as the mix takes it; columns stay as they are. Rows that repeat in full are taken equally often."""
-    times = mixed(docs).where("copies > 0").groupBy("order").agg(F.max("copies").cast("int").alias("_times"))
-    keyed = docs.withColumn("_order", key(F.col("doc_id"), F.col("text")))
-    taken = keyed.join(small(times.withColumnRenamed("order", "_key")), F.col("_order") == F.col("_key"))
-    return taken.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_times")))).select(*docs.columns)
+    order, same, times, copy = (free(docs, x) for x in ("_order", "_key", "_times", "_copy"))
+    often = mixed(docs).where("copies > 0").groupBy(F.col("order").alias(same)).agg(F.max("copies").cast("int").alias(times))
+    taken = docs.withColumn(order, key(F.col("doc_id"), F.col("text"))).join(small(often), F.col(order) == F.col(same))
+    return taken.withColumn(copy, F.explode(F.sequence(F.lit(1), F.col(times)))).select(*docs.columns)
 
 
 def report(docs: DataFrame) -> DataFrame:

@@ -4,7 +4,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from larder.llm import parity_join
-from larder.llm.shared import small, stored
+from larder.llm.shared import free, small, stored
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
@@ -13,14 +13,15 @@ def keep_one(docs: DataFrame) -> DataFrame:
     Rows that share a doc_id are one document, of which the row with the least hash of its text stays. Rows without a doc_id cannot be
     named and stay, and so do documents without words, which link with nothing.
     """
+    gone_id, again_id, tie, least, first_id = (free(docs, x) for x in ("_gone", "_again", "_tie", "_least", "_id"))
     classes = stored(parity_join.classes(docs).where("doc_id IS NOT NULL"), "classes")
-    gone = classes.where("doc_id <> component_id").select(F.col("doc_id").alias("_gone")).distinct()
-    kept = docs.join(small(gone), F.col("doc_id") == F.col("_gone"), "left_anti")
-    again = small(classes.groupBy("doc_id").count().where("count > 1").select(F.col("doc_id").alias("_again")))
-    once = kept.join(again, F.col("doc_id") == F.col("_again"), "left_anti")
+    gone = classes.where("doc_id <> component_id").select(F.col("doc_id").alias(gone_id)).distinct()
+    kept = docs.join(small(gone), F.col("doc_id") == F.col(gone_id), "left_anti")
+    again = small(classes.groupBy("doc_id").count().where("count > 1").select(F.col("doc_id").alias(again_id)))
+    once = kept.join(again, F.col("doc_id") == F.col(again_id), "left_anti")
     if again.isEmpty():
         return kept
-    repeats = kept.join(again, F.col("doc_id") == F.col("_again"), "left_semi").withColumn("_tie", F.xxhash64("text"))
-    first = repeats.groupBy("doc_id").agg(F.min("_tie").alias("_least")).withColumnRenamed("doc_id", "_id")
-    repeats = repeats.join(first, (F.col("doc_id") == F.col("_id")) & (F.col("_tie") == F.col("_least"))).dropDuplicates(["doc_id"])
+    repeats = kept.join(again, F.col("doc_id") == F.col(again_id), "left_semi").withColumn(tie, F.xxhash64("text"))
+    first = repeats.groupBy("doc_id").agg(F.min(tie).alias(least)).withColumnRenamed("doc_id", first_id)
+    repeats = repeats.join(first, (F.col("doc_id") == F.col(first_id)) & (F.col(tie) == F.col(least))).dropDuplicates(["doc_id"])
     return once.unionByName(repeats.select(*docs.columns))

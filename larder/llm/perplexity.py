@@ -202,7 +202,8 @@ def log_probability(model: dict, gram: np.ndarray, order: int = ORDER) -> np.nda
     if len(missing):
         rest = gram[missing]
         if order == 1:
-            out[missing] = np.float32(-np.log(256))
+            _, weight = _found(model, "b1", np.zeros(1, np.uint32))
+            out[missing] = weight - np.float32(np.log(256))
         else:
             seen, weight = _found(model, f"b{order}", rest >> np.uint32(8))
             lower = log_probability(model, rest & np.uint32((1 << (8 * (order - 1))) - 1), order - 1)

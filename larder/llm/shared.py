@@ -29,6 +29,14 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def free(df: DataFrame, name: str) -> str:
+    """``name``, or with underscores behind it if ``df`` has such a column."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def small(df: DataFrame, rows: int = 500_000) -> DataFrame:
     """Marked for broadcast if it has at most ``rows`` (narrow) rows; else left to Spark, which joins by shuffling.
 
