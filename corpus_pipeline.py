@@ -9,11 +9,12 @@ from pyspark.sql import functions as F
 
 from larder.llm import decontaminate, mixing, near_duplicates, planes, severity
 from larder.llm.queries import TOKENIZER
-from larder.llm.shared import free, fresh, stored
+from larder.llm.shared import free, fresh, lean, stored
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose chance of any toxic grade is below one half. Null and empty texts stay."""
+    lean(spark)
     model = severity.learned(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
     name = free(docs, "_assessed")
     rows = docs.withColumn(name, severity.assess(F.col("text"), model))
@@ -22,21 +23,25 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document with the smallest id of each class of near duplicates."""
+    lean(spark)
     return near_duplicates.keep_one(docs)
 
 
 def drop_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents of which less than a twentieth is benchmark text, without the spans that are."""
+    lean(spark)
     return decontaminate.clean(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each document as often as the target weights of its source ask for: not at all, once or twice."""
+    lean(spark)
     return mixing.mix(docs)
 
 
 def write_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids in bit-plane files under the shared folder; one row per document written, read back from them."""
+    lean(spark)
     return planes.report(docs, fresh(spark, "token-planes"), TOKENIZER)
 
 

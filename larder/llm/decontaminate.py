@@ -182,24 +182,37 @@ def _merged(windows: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return out
 
 
-_FOUND = "struct<n_words:bigint,spans:array<struct<start:bigint,end:bigint>>,items:array<string>>"
+def _without(raw: bytes, spans: list[tuple[int, int]]) -> str:
+    """A text without the words of disjoint spans and what lies between those words."""
+    data = np.frombuffer(raw, np.uint8)
+    starts, ends, _ = A.words(data, np.array([0, len(data)]), A.ALNUM)
+    parts, at = [], 0
+    for a, b in spans:
+        parts.append(raw[at : starts[a]])
+        at = ends[b - 1]
+    return b"".join([*parts, raw[at:]]).decode()
+
+
+_FOUND = "struct<n_words:bigint,spans:array<struct<start:bigint,end:bigint>>,items:array<string>,rest:string>"
 _SPANS = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
 
 
 def find(text, model: Broadcast):
-    """n_words; hit spans in words; ids (as text) of the items with windows in it."""
+    """n_words; hit spans in words; ids (as text) of the items with windows in it; and, if hit, the text without the spans."""
 
     @F.arrow_udf(_FOUND)
     def run(column: pa.Array) -> pa.Array:
         made, names = model.value
-        n, spans, items = [], [], []
+        n, spans, items, rest = [], [], [], []
         for _, data, offsets in A.slices(column):
             n_words, found = hits(made, data, offsets)
             n += n_words.tolist()
-            for windows in found:
-                spans.append([{"start": a, "end": b} for a, b in _merged([w[:2] for w in windows])])
+            for k, windows in enumerate(found):
+                whole = _merged([w[:2] for w in windows])
+                spans.append([{"start": a, "end": b} for a, b in whole])
+                rest.append(_without(data[offsets[k] : offsets[k + 1]].tobytes(), whole) if whole else None)
                 items.append(sorted({names[i] for w in windows for i in w[2] if names[i] is not None}))
-        return pa.StructArray.from_arrays([pa.array(n, pa.int64()), pa.array(spans, _SPANS), pa.array(items, pa.list_(pa.string()))], names=["n_words", "spans", "items"])
+        return pa.StructArray.from_arrays([pa.array(n, pa.int64()), pa.array(spans, _SPANS), pa.array(items, pa.list_(pa.string())), pa.array(rest, pa.string())], names=["n_words", "spans", "items", "rest"])
 
     # Not to be run anew for the filter and for each column made from it.
     return run.asNondeterministic()(text)
@@ -246,7 +259,7 @@ def _overlaps(docs: DataFrame, benchmark: DataFrame, size: int, name: str) -> Da
             continue
         out = out.withColumn(more, found)
         f, g = F.col(name), F.col(more)
-        united = F.struct(f["n_words"].alias("n_words"), F.concat(f["spans"], g["spans"]).alias("spans"), F.array_union(f["items"], g["items"]).alias("items"))
+        united = F.struct(f["n_words"].alias("n_words"), F.concat(f["spans"], g["spans"]).alias("spans"), F.array_union(f["items"], g["items"]).alias("items"), F.lit(None).cast("string").alias("rest"), F.lit(True).alias("several"))
         out = out.withColumn(name, united).drop(more)
     return out
 
@@ -265,8 +278,9 @@ def measured(docs: DataFrame, benchmark: DataFrame, size: int = SIZE, name: str
     """``docs`` (text and any other columns) with n_words, n_hit, items and spans under ``name``."""
     out = _overlaps(docs, benchmark, size, name)
     f = F.col(name)
+    marks = [f[x.name].alias(x.name) for x in out.schema[name].dataType.fields if x.name == "several"]
     items = F.array_sort(F.filter(f["items"], lambda x: x.isNotNull()))
-    return out.withColumn(name, F.struct(f["n_words"].alias("n_words"), _n_hit(f).alias("n_hit"), items.alias("items"), f["spans"].alias("spans")))
+    return out.withColumn(name, F.struct(f["n_words"].alias("n_words"), _n_hit(f).alias("n_hit"), items.alias("items"), f["spans"].alias("spans"), f["rest"].alias("rest"), *marks))
 
 
 def contaminated(found, coverage: float = 0.05):
@@ -284,9 +298,15 @@ def clean(docs: DataFrame, benchmark: DataFrame, size: int = SIZE, coverage: flo
     columns = docs.columns
     name = free(docs, "_found")
     found = F.col(name)
-    rows = measured(docs, benchmark, size, name).where(~contaminated(found, coverage) | F.col("text").isNull())
+    rows = measured(docs, benchmark, size, name)
+    several = any(f.name == "several" for f in rows.schema[name].dataType.fields)
+    rows = rows.where(~contaminated(found, coverage) | F.col("text").isNull())
     hit = F.size(found["spans"]) > 0
-    rows = rows.withColumn("text", F.when(hit, cut_words(F.col("text"), found["spans"])).otherwise(F.col("text")))
+    # Several automata may each have found a part: their spans are cut out together.
+    united = found["rest"].isNull() & hit
+    if several:
+        rows = rows.withColumn("text", F.when(united, cut_words(F.col("text"), found["spans"])).otherwise(F.col("text")))
+    rows = rows.withColumn("text", F.when(hit, F.coalesce(found["rest"], F.col("text"))).otherwise(F.col("text")))
     if "n_chars" in columns:
         rows = rows.withColumn("n_chars", F.when(hit, F.length("text").cast("long")).otherwise(F.col("n_chars")))
     return rows.select(*columns)
@@ -302,14 +322,7 @@ def cut_words(text, spans):
             if not text or not spans:
                 out.append(text)
                 continue
-            raw = text.encode()
-            data = np.frombuffer(raw, np.uint8)
-            starts, ends, _ = A.words(data, np.array([0, len(data)]), A.ALNUM)
-            parts, at = [], 0
-            for a, b in _merged([(s["start"], s["end"]) for s in spans]):
-                parts.append(raw[at : starts[a]])
-                at = ends[b - 1]
-            out.append(b"".join([*parts, raw[at:]]).decode())
+            out.append(_without(text.encode(), _merged([(s["start"], s["end"]) for s in spans])))
         return pa.array(out, pa.string())
 
     return run(text, spans)

@@ -22,6 +22,13 @@ def fresh(spark: SparkSession, name: str) -> str:
     return f"{folder(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+def lean(spark: SparkSession, rows: int = 2_000) -> None:
+    """Arrow batches of at most ``rows`` rows: texts are long, and several Python workers share an executor's memory."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if int(spark.conf.get(key)) > rows:
+        spark.conf.set(key, str(rows))
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Written once and read back, so that costly work is neither repeated nor lost with an executor."""
     path = fresh(df.sparkSession, name)
