@@ -9,8 +9,11 @@ Two sets of sizes a and b with a Jaccard similarity of 0.75 or more differ in at
   with more than d blocks that are not empty thus shares one of them, with all it holds, with each partner not larger than itself. k is chosen for each
   band so that this holds for *every* document in it; the coarsest of a few block sizes that does is used.
 * **Blocks that many documents share** (a passage copied into them) are *hot*. Where a document has more than d blocks that are not hot,
-  its pairs meet in one of those, and its hot blocks are not needed. The few documents left (a large group of near copies, mostly) are
+  its pairs meet in one of those, and its hot blocks are not needed. The others need so many of their rarest hot blocks that the sum is more
+  than d. These few documents (a large group of near copies, mostly) are
   compared with a leader of each hot block, then with another one; what is still unconnected is compared with the block in tiles.
+* **Counting.** A link spoils at most d of the larger document's blocks, so the pair shares the others. Pairs that share fewer
+  (a passage, mostly) go before any sketch is sent.
 * **Verification.** Candidates whose sketches are too far apart are dropped; of the rest the whole sets are compared.
 
 Documents with equal sets are one node from the start; a task drops repeats of a node before it sends anything.
@@ -27,7 +30,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType
 
@@ -265,8 +268,8 @@ def _keys(levels_of: dict[int, int], buckets: int):
     return run
 
 
-_MET = pa.schema([("kind", pa.int8()), ("a", pa.int64()), ("b", pa.int64()), ("c", pa.int64()), ("keys", pa.binary()), ("nodes", pa.binary()), ("own", pa.binary())])
-_MET_DDL = "kind byte, a long, b long, c long, keys binary, nodes binary, own binary"
+_MET = pa.schema([("kind", pa.int8()), ("a", pa.int64()), ("b", pa.int64()), ("c", pa.int64()), ("spare", pa.int64()), ("keys", pa.binary()), ("nodes", pa.binary()), ("own", pa.binary())])
+_MET_DDL = "kind byte, a long, b long, c long, spare long, keys binary, nodes binary, own binary"
 
 
 def _met(columns: dict) -> pa.Table:
@@ -280,7 +283,7 @@ def _hot_rows(key, node, own, slack) -> list[pa.Table]:
     nodes, place = np.unique(node[mine], return_inverse=True)
     spare = np.zeros(len(nodes), np.int64)
     spare[place] = slack[mine]
-    out = [_met({"kind": np.full(len(nodes), 1, np.int8), "a": nodes, "b": np.bincount(place, minlength=len(nodes)), "c": spare})]
+    out = [_met({"kind": np.full(len(nodes), 1, np.int8), "a": nodes, "c": np.bincount(place, minlength=len(nodes)), "spare": spare})]
     for at in range(0, len(key), 65_536):
         part = slice(at, at + 65_536)
         out.append(_met({"kind": [2], "keys": [key[part].astype(np.int64).tobytes()], "nodes": [node[part].tobytes()], "own": [own[part].tobytes()]}))
@@ -318,24 +321,26 @@ def _meet(table: pa.Table) -> pa.Table:
             hot = np.repeat(run > HOT, run)
             if hot.any():
                 out += _hot_rows(key[hot], node[hot], own[hot], slack[hot])
-            key, node, own, n = key[~hot], node[~hot], own[~hot], n[~hot]
-            a, b = [], []
+            key, node, own, n, slack = key[~hot], node[~hot], own[~hot], n[~hot], slack[~hot]
+            a, b, spare = [], [], []
             for step in range(1, min(HOT, len(key))):
                 low = np.flatnonzero(key[step:] == key[:-step])
                 if not len(low):
                     break
                 high = low + step
                 close = (4 * np.minimum(n[low], n[high]) >= 3 * np.maximum(n[low], n[high])) & ((own[low] | own[high]) > 0)
-                a.append(node[low[close]])
-                b.append(node[high[close]])
+                low, high = low[close], high[close]
+                # The larger one first; of two of one size, that with the smaller number.
+                x = np.where((n[low] > n[high]) | ((n[low] == n[high]) & (node[low] < node[high])), low, high)
+                a.append(node[x])
+                b.append(node[low + high - x])
+                spare.append(slack[x])
             if a:
-                a, b = np.concatenate(a), np.concatenate(b)
-                a, b = np.minimum(a, b), np.maximum(a, b)
+                a, b, spare = np.concatenate(a), np.concatenate(b), np.concatenate(spare)
                 order = np.lexsort((b, a))
-                a, b = a[order], b[order]
-                new = np.ones(len(a), bool)
-                new[1:] = (a[1:] != a[:-1]) | (b[1:] != b[:-1])
-                out.append(_met({"kind": np.zeros(int(new.sum()), np.int8), "a": a[new], "b": b[new]}))
+                a, b, spare = a[order], b[order], spare[order]
+                first = np.flatnonzero(np.concatenate([[True], (a[1:] != a[:-1]) | (b[1:] != b[:-1])])) if len(a) else np.zeros(0, np.int64)
+                out.append(_met({"kind": np.zeros(len(first), np.int8), "a": a[first], "b": b[first], "c": np.diff(np.append(first, len(a))), "spare": spare[first]}))
     A.tidy()
     return pa.concat_tables(out) if out else _MET.empty_table()
 
@@ -429,15 +434,38 @@ def _tiles(table: pa.Table) -> pa.Table:
     return pa.table([pa.array(both[:, 0]), pa.array(both[:, 1])], names=["a", "b"])
 
 
-def _hot_links(met: DataFrame, reps: DataFrame, verifier: _Verifier, links: DataFrame) -> DataFrame:
-    """Links that only hot blocks can show, added to ``links``."""
-    counts = met.where("kind = 1").groupBy("a").agg(F.sum("b").alias("hot"), F.max("c").alias("slack"))
-    depend = stored(counts.where("hot > slack").select(F.col("a").alias("node")), "depend")
+def _hot_counts(met: DataFrame) -> DataFrame:
+    """Hot blocks of each document that has any (repeats of a document may count twice), and how many blocks it can do without."""
+    counts = met.where("kind = 1").groupBy("a").agg(F.sum("c").alias("hot"), F.max("spare").alias("slack"))
+    return stored(counts.select(F.col("a").alias("node"), "hot", "slack"), "hot")
+
+
+def _cold_pairs(met: DataFrame, hot: DataFrame) -> DataFrame:
+    """Pairs (a, b) that share as many blocks that are not hot as a link asks of the larger one, a.
+
+    A link leaves more than ``slack`` of its blocks whole, of which the hot ones are not counted here. Two blocks of a document whose keys
+    are equal by chance count once, so a tenth and two blocks may be missing.
+    """
+    pairs = met.where("kind = 0").groupBy("a", "b").agg(F.sum("c").alias("shared"), F.max("spare").alias("slack"))
+    pairs = pairs.join(hot.select(F.col("node").alias("a"), "hot"), "a", "left")
+    return pairs.where(10 * (F.col("shared") + 2) > 9 * (F.col("slack") - F.coalesce("hot", F.lit(0)))).select("a", "b")
+
+
+def _hot_links(met: DataFrame, hot: DataFrame, reps: DataFrame, verifier: _Verifier, links: DataFrame) -> DataFrame:
+    """Links that only hot blocks can show, added to ``links``.
+
+    A document that depends on hot blocks needs ``hot - slack`` of them: with those that are not hot they are more than a link can spoil.
+    The rarest are taken, by an order that is the same for all, so that near copies mostly take the same ones.
+    """
+    depend = stored(hot.where("hot > slack").select("node", (F.col("hot") - F.col("slack")).alias("ask")), "depend")
     if depend.isEmpty():
         return links
     members = met.where("kind = 2").select("keys", "nodes", "own").mapInArrow(_members, "key long, node long, own boolean").distinct()
     members = stored(members, "members")
-    wanted = members.where("own").join(depend, "node", "left_semi").select("key").distinct()
+    common = members.groupBy("key").agg(F.count(F.lit(1)).alias("m"))
+    asked = members.where("own").join(depend, "node").join(common, "key")
+    asked = asked.withColumn("nth", F.row_number().over(Window.partitionBy("node").orderBy("m", "key")))
+    wanted = asked.where("nth <= ask").select("key").distinct()
     members = stored(members.join(wanted, "key", "left_semi").select("key", "node").distinct(), "members")
     rank = F.struct(F.xxhash64("node").alias("h"), "node")
     leaders = members.groupBy("key").agg(F.min(rank)["node"].alias("leader"))
@@ -481,8 +509,9 @@ def classes(docs: DataFrame) -> DataFrame:
     keys = docs.select("text").mapInArrow(_keys({r["band"]: r["level"] for r in bands}, buckets), _PARCEL_DDL)
     met = stored(keys.repartition(buckets, "bucket").groupBy("bucket").applyInArrow(_meet, _MET_DDL), "met")
     verifier = _Verifier(docs, reps)
-    links = verifier.links(met.where("kind = 0").select("a", "b"))
-    links = _hot_links(met, reps, verifier, links)
+    hot = _hot_counts(met)
+    links = verifier.links(_cold_pairs(met, hot))
+    links = _hot_links(met, hot, reps, verifier, links)
     named = reps.select("node", "rep").join(components(links), "node", "left").select("node", "rep", F.coalesce("root", "node").alias("root"))
     least = named.groupBy("root").agg(F.min("rep").alias("component_id"))
     found = stored(named.join(least, "root").select("node", "component_id"), "classes")
