@@ -6,15 +6,18 @@ from pyspark.sql import functions as F
 from larder.llm.shared import stored
 
 
-def _star(links: DataFrame, large: bool) -> DataFrame:
-    """Hang each node's larger (or not larger) neighbours on its smallest one."""
+LINKS_PER_TASK = 100_000
+
+
+def _star(links: DataFrame, large: bool, tasks: int) -> DataFrame:
+    """Hang each node's larger (or not larger) neighbours on its smallest one. ``tasks`` grows with the links: few links need no more."""
     both = links.unionByName(links.select(F.col("v").alias("u"), F.col("u").alias("v")))
     least = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
     around = both.where("v > u") if large else both.where("v < u")
     moved = around.join(least, "u").select(F.col("v").alias("x"), "m")
     if not large:  # the node itself hangs on its smallest neighbour too
         moved = moved.unionByName(least.select(F.col("u").alias("x"), "m"))
-    return moved.where("x <> m").select(F.col("m").alias("u"), F.col("x").alias("v")).distinct()
+    return moved.where("x <> m").select(F.col("m").alias("u"), F.col("x").alias("v")).coalesce(tasks).distinct().coalesce(tasks)
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -31,6 +34,7 @@ def components(links: DataFrame) -> DataFrame:
         if now == before:
             break
         before = now
-        links = stored(_star(_star(links, True), False), "links")
+        tasks = 1 + now[0] // LINKS_PER_TASK
+        links = stored(_star(_star(links, True, tasks), False, tasks), "links")
     # Settled links all lead from a root to a node.
     return links.select(F.col("v").alias("node"), F.col("u").alias("root")).unionByName(links.select(F.col("u").alias("node"), F.col("u").alias("root")).distinct())
