@@ -10,8 +10,8 @@ Two sets of sizes a and b with a Jaccard similarity of 0.75 or more differ in at
   band so that this holds for *every* document in it; the coarsest of a few block sizes that does is used.
 * **Blocks that many documents share** (a passage copied into them) are *hot*. Where a document has more than d blocks that are not hot,
   its pairs meet in one of those, and its hot blocks are not needed. The others need so many of their rarest hot blocks that the sum is more
-  than d. These few documents (a large group of near copies, mostly) are
-  compared with a leader of each hot block, then with another one; what is still unconnected is compared with the block in tiles.
+  than d, and their partners bring as few, by the same order (prefixes on both sides). These few documents (a large group of near copies,
+  mostly) are compared with a leader of each hot block; what is still unconnected is compared with the block in tiles.
 * **Counting.** A link spoils at most d of the larger document's blocks, so the pair shares the others. Pairs that share fewer
   (a passage, mostly) go before any sketch is sent.
 * **Verification.** Candidates whose sketches are too far apart are dropped; of the rest the whole sets are compared.
@@ -419,7 +419,7 @@ class _Verifier:
 
 def _tiles(table: pa.Table) -> pa.Table:
     """Pairs of a tile of stragglers and a tile of members of one hot block that may link and are not connected yet."""
-    side = table["straggler"].to_numpy(zero_copy_only=False)
+    side, asks = (table[c].to_numpy(zero_copy_only=False) for c in ("straggler", "asks"))
     node, root, n = (table[c].to_numpy() for c in ("node", "root", "n"))
     sketches = [np.frombuffer(x, np.uint64) for x in table["sketch"].to_pylist()]
     size = min(map(len, sketches))
@@ -428,7 +428,7 @@ def _tiles(table: pa.Table) -> pa.Table:
     out = []
     for i in np.flatnonzero(side):
         far = np.bitwise_count(flat[members] ^ flat[i]).sum(axis=1)
-        fit = members[(root[members] != root[i]) & (far <= (n[members] + n[i]) // 7) & (4 * np.minimum(n[members], n[i]) >= 3 * np.maximum(n[members], n[i]))]
+        fit = members[(asks[members] | asks[i]) & (root[members] != root[i]) & (far <= (n[members] + n[i]) // 7) & (4 * np.minimum(n[members], n[i]) >= 3 * np.maximum(n[members], n[i]))]
         out.append(np.stack([np.minimum(node[fit], node[i]), np.maximum(node[fit], node[i])], axis=1))
     both = np.unique(np.concatenate(out), axis=0) if out else np.zeros((0, 2), np.int64)
     return pa.table([pa.array(both[:, 0]), pa.array(both[:, 1])], names=["a", "b"])
@@ -451,45 +451,51 @@ def _cold_pairs(met: DataFrame, hot: DataFrame) -> DataFrame:
     return pairs.where(10 * (F.col("shared") + 2) > 9 * (F.col("slack") - F.coalesce("hot", F.lit(0)))).select("a", "b")
 
 
-def _hot_links(met: DataFrame, hot: DataFrame, reps: DataFrame, verifier: _Verifier, links: DataFrame) -> DataFrame:
-    """Links that only hot blocks can show, added to ``links``.
+def _hot_members(met: DataFrame, hot: DataFrame, reps: DataFrame) -> DataFrame:
+    """(key, node, asks) of the hot blocks in which pairs must meet that share no other block.
 
-    A document that depends on hot blocks needs ``hot - slack`` of them: with those that are not hot they are more than a link can spoil.
-    The rarest are taken, by an order that is the same for all, so that near copies mostly take the same ones.
+    Such a pair shares more than ``slack`` hot blocks, by the larger one's count, and by the smaller one's all of its blocks but a third of its
+    size. Taken in one order for all, rarest first, the first shared block is thus among the first ``ask`` of the larger one and among the
+    first ``give`` of the smaller one, if that is in its own band; no others are kept. Documents with no block to give are in no such pair.
     """
-    depend = stored(hot.where("hot > slack").select("node", (F.col("hot") - F.col("slack")).alias("ask")), "depend")
-    if depend.isEmpty():
-        return links
+    n = F.col("n")
+    ask, give = F.col("hot") - F.col("slack"), F.col("hot") - F.col("slack") - F.floor(2 * n / 7) + F.floor(n / 3)
+    roles = hot.join(reps.select("node", "n"), "node").select("node", "n", ask.alias("ask"), give.alias("give")).where("give > 0")
     members = met.where("kind = 2").select("keys", "nodes", "own").mapInArrow(_members, "key long, node long, own boolean").distinct()
     members = stored(members, "members")
     common = members.groupBy("key").agg(F.count(F.lit(1)).alias("m"))
-    asked = members.where("own").join(depend, "node").join(common, "key")
-    asked = asked.withColumn("nth", F.row_number().over(Window.partitionBy("node").orderBy("m", "key")))
-    wanted = asked.where("nth <= ask").select("key").distinct()
-    members = stored(members.join(wanted, "key", "left_semi").select("key", "node").distinct(), "members")
+    first = members.where("own").join(roles, "node").join(common, "key")
+    first = first.withColumn("nth", F.row_number().over(Window.partitionBy("node").orderBy("m", "key"))).where("nth <= give")
+    first = stored(first.select("key", "node", "n", (F.col("nth") <= F.col("ask")).alias("asks")), "first")
+    # Sizes of the documents that ask for a block: partners are not larger, nor less than three quarters.
+    asked = stored(first.where("asks").groupBy("key").agg(F.min("n").alias("low"), F.max("n").alias("high")), "asked")
+    below = members.where("NOT own").join(asked.select("key"), "key", "left_semi").join(reps.select("node", "n"), "node")
+    every = first.unionByName(below.select("key", "node", "n", F.lit(False).alias("asks")))
+    return stored(every.join(asked, "key").where("n <= high AND 4 * n >= 3 * low").select("key", "node", "asks"), "members")
+
+
+def _hot_links(met: DataFrame, hot: DataFrame, reps: DataFrame, verifier: _Verifier, links: DataFrame) -> DataFrame:
+    """Links that only hot blocks can show, added to what ``links`` connects."""
+    if hot.where("hot > slack").isEmpty():
+        return links
+    members = _hot_members(met, hot, reps)
     rank = F.struct(F.xxhash64("node").alias("h"), "node")
     leaders = members.groupBy("key").agg(F.min(rank)["node"].alias("leader"))
-    for turn in range(3):
-        pairs = members.join(leaders, "key").where("node <> leader")
-        pairs = pairs.select(F.least("node", "leader").alias("a"), F.greatest("node", "leader").alias("b"))
-        links = stored(links.unionByName(verifier.links(pairs)).distinct(), "linked")
-        roots = components(links)
-        rooted = members.join(roots, "node", "left").select("key", "node", F.coalesce("root", "node").alias("root"))
-        per = rooted.groupBy("key", "root").agg(F.count(F.lit(1)).alias("m"), F.min(rank).alias("first"))
-        main = per.groupBy("key").agg(F.max(F.struct("m", "root"))["root"].alias("main"), F.sum("m").alias("all"), F.count(F.lit(1)).alias("roots"), F.max("m").alias("m"))
-        main = main.where("roots > 1")
-        loose = stored(per.join(main.select("key", "main"), "key").where("root <> main"), "loose")
-        if loose.isEmpty():
-            return links
-        if turn == 1:
-            break
-        leaders = loose.groupBy("key").agg(F.min("first")["node"].alias("leader"))
-    parts = main.select("key", "main", F.ceil(F.col("all") / TILE).alias("tiles"), F.ceil((F.col("all") - F.col("m")) / TILE).alias("loose_tiles"))
+    pairs = members.join(leaders, "key").where("node <> leader")
+    pairs = pairs.select(F.least("node", "leader").alias("a"), F.greatest("node", "leader").alias("b"))
+    roots = stored(components(links.unionByName(verifier.links(pairs))), "roots")
+    links = roots.where("node <> root").select(F.col("root").alias("u"), F.col("node").alias("v"))
+    rooted = stored(members.join(roots, "node", "left").select("key", "node", "asks", F.coalesce("root", "node").alias("root")), "rooted")
+    per = rooted.groupBy("key", "root").agg(F.count(F.lit(1)).alias("m"))
+    main = per.groupBy("key").agg(F.max(F.struct("m", "root"))["root"].alias("main"), F.sum("m").alias("all"), F.count(F.lit(1)).alias("roots"), F.max("m").alias("m"))
+    parts = stored(main.where("roots > 1").select("key", "main", F.ceil(F.col("all") / TILE).alias("tiles"), F.ceil((F.col("all") - F.col("m")) / TILE).alias("loose_tiles")), "parts")
+    if parts.isEmpty():
+        return links
     rows = rooted.join(parts, "key").join(reps.select("node", "n", "sketch"), "node")
     spread = lambda n: F.sequence(F.lit(0).cast("long"), n - 1)
     tile = rows.withColumn("t", F.pmod(F.xxhash64("node"), "tiles")).withColumn("s", F.explode(spread(F.col("loose_tiles")))).withColumn("straggler", F.lit(False))
     single = rows.where("root <> main").withColumn("s", F.pmod(F.xxhash64("node"), "loose_tiles")).withColumn("t", F.explode(spread(F.col("tiles")))).withColumn("straggler", F.lit(True))
-    tiles = tile.unionByName(single).select("key", "t", "s", "straggler", "node", "root", "n", "sketch")
+    tiles = tile.unionByName(single).select("key", "t", "s", "straggler", "asks", "node", "root", "n", "sketch")
     pairs = tiles.groupBy("key", "t", "s").applyInArrow(_tiles, "a long, b long")
     return stored(links.unionByName(verifier.links(pairs)).distinct(), "linked")
 
