@@ -9,7 +9,7 @@ Two sets of sizes a and b with a Jaccard similarity of 0.75 or more differ in at
   with more than d blocks that are not empty thus shares one of them, with all it holds, with each partner not larger than itself. k is chosen for each
   band so that this holds for *every* document in it; the coarsest of a few block sizes that does is used.
 * **Blocks that many documents share** (a passage copied into them) are *hot*. Where a document has more than d blocks that are not hot,
-  its pairs meet in one of those, and its hot blocks are not needed. The others need so many of their rarest hot blocks that the sum is more
+  its pairs meet in one of those, and its hot blocks are not needed. The others need so many of their hot blocks that the sum is more
   than d, and their partners bring as few, by the same order (prefixes on both sides). These few documents (a large group of near copies,
   mostly) are compared with a leader of each hot block; what is still unconnected is compared with the block in tiles.
 * **Counting.** A link spoils at most d of the larger document's blocks, so the pair shares the others. Pairs that share fewer
@@ -30,7 +30,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType
 
@@ -422,12 +422,14 @@ def _tiles(table: pa.Table) -> pa.Table:
     side, asks = (table[c].to_numpy(zero_copy_only=False) for c in ("straggler", "asks"))
     node, root, n = (table[c].to_numpy() for c in ("node", "root", "n"))
     sketches = [np.frombuffer(x, np.uint64) for x in table["sketch"].to_pylist()]
-    size = min(map(len, sketches))
-    flat = np.stack([_folded(x, size) for x in sketches])
-    members = np.flatnonzero(~side)
+    width = np.array([len(x) for x in sketches])
+    # Members by the width of their sketches, folded to each width that is met.
+    kinds = [x for x in (np.flatnonzero(~side & (width == w)) for w in np.unique(width)) if len(x)]
+    flat = {(k, w): np.stack([_folded(sketches[j], w) for j in at]) for k, at in enumerate(kinds) for w in np.unique(width) if w <= width[at[0]]}
     out = []
-    for i in np.flatnonzero(side):
-        far = np.bitwise_count(flat[members] ^ flat[i]).sum(axis=1)
+    for i, (k, members) in ((i, x) for i in np.flatnonzero(side) for x in enumerate(kinds)):
+        size = min(width[i], width[members[0]])
+        far = np.bitwise_count(flat[k, size] ^ _folded(sketches[i], size)).sum(axis=1)
         fit = members[(asks[members] | asks[i]) & (root[members] != root[i]) & (far <= (n[members] + n[i]) // 7) & (4 * np.minimum(n[members], n[i]) >= 3 * np.maximum(n[members], n[i]))]
         out.append(np.stack([np.minimum(node[fit], node[i]), np.maximum(node[fit], node[i])], axis=1))
     both = np.unique(np.concatenate(out), axis=0) if out else np.zeros((0, 2), np.int64)
@@ -455,7 +457,7 @@ def _hot_members(met: DataFrame, hot: DataFrame, reps: DataFrame) -> DataFrame:
     """(key, node, asks) of the hot blocks in which pairs must meet that share no other block.
 
     Such a pair shares more than ``slack`` hot blocks, by the larger one's count, and by the smaller one's all of its blocks but a third of its
-    size. Taken in one order for all, rarest first, the first shared block is thus among the first ``ask`` of the larger one and among the
+    size. Taken in one order for all, that of the keys, the first shared block is thus among the first ``ask`` of the larger one and among the
     first ``give`` of the smaller one, if that is in its own band; no others are kept. Documents with no block to give are in no such pair.
     """
     n = F.col("n")
@@ -463,10 +465,11 @@ def _hot_members(met: DataFrame, hot: DataFrame, reps: DataFrame) -> DataFrame:
     roles = hot.join(reps.select("node", "n"), "node").select("node", "n", ask.alias("ask"), give.alias("give")).where("give > 0")
     members = met.where("kind = 2").select("keys", "nodes", "own").mapInArrow(_members, "key long, node long, own boolean").distinct()
     members = stored(members, "members")
-    common = members.groupBy("key").agg(F.count(F.lit(1)).alias("m"))
-    first = members.where("own").join(roles, "node").join(common, "key")
-    first = first.withColumn("nth", F.row_number().over(Window.partitionBy("node").orderBy("m", "key"))).where("nth <= give")
-    first = stored(first.select("key", "node", "n", (F.col("nth") <= F.col("ask")).alias("asks")), "first")
+    # A document's list is as long as its own text at most.
+    lists = members.where("own").groupBy("node").agg(F.array_sort(F.collect_list("key")).alias("keys")).join(roles, "node")
+    lists = lists.withColumn("keys", F.slice("keys", 1, F.col("give").cast("int")))
+    first = lists.select("node", "n", "ask", F.posexplode("keys").alias("nth", "key"))
+    first = stored(first.select("key", "node", "n", (F.col("nth") < F.col("ask")).alias("asks")), "first")
     # Sizes of the documents that ask for a block: partners are not larger, nor less than three quarters.
     asked = stored(first.where("asks").groupBy("key").agg(F.min("n").alias("low"), F.max("n").alias("high")), "asked")
     below = members.where("NOT own").join(asked.select("key"), "key", "left_semi").join(reps.select("node", "n"), "node")
