@@ -1,11 +1,14 @@
 """Quality rules with an n-gram language model.
 
-The model predicts each byte of a text from the three before it (letters in lower case, digits as one).
-Spark counts the 4-grams of all texts: a task adds up its own before the shuffle, so that what is
+The model predicts each byte of a text from the four before it (letters in lower case, digits as one).
+Spark counts the 5-grams of all texts: a task adds up its own before the shuffle, so that what is
 shuffled is bounded by the distinct n-grams of a task. Modified Kneser-Ney smoothing (discounts for counts of one, two, and three or
-more; continuation counts below the top order) is a chain of aggregates and joins over those counts. Probabilities are
-kept in arrays sorted by a 22-bit hash of the n-gram, the higher one where two share a hash: at most 4M entries an order,
-whatever the corpus, so the model can be broadcast.
+more; continuation counts below the top order) is a chain of aggregates and joins over those counts. The discount for a count of one is
+one: the texts judged are those counted, and an n-gram seen once was seen in the text itself only, so it gets what the lower order gives.
+
+An n-gram is its bytes, packed into one number; none shares a place with another. As all texts were counted, a text's n-grams are all in the
+table of the top order. That table is dealt to shards of about ``SHARD`` n-grams; a pass over the texts adds up what one shard knows, so
+that one shard at a time is in memory, however many there are.
 
 A document's perplexity is that of a byte. Each language has a lower and an upper band around its median, as
 wide as ``reach`` times the distance from the median to the quartile of that side; languages with fewer than ``least``
@@ -13,7 +16,6 @@ documents share the bands of all documents.
 """
 
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -24,8 +26,8 @@ from pyspark.sql import functions as F
 from larder.llm import arrays as A
 from larder.llm.shared import small, stored
 
-ORDER = 4
-SLOT_BITS = 22
+ORDER = 5  # bytes; packed into a BIGINT, so at most 7
+SHARD = 4_000_000
 SYMBOLS = (b"#", b"*", b"$", b"%", b"&", b"|", b"<", b">")
 _SYMBOL = np.isin(A.BYTE, [s[0] for s in SYMBOLS])
 _FOLD = A.LOWER.copy()
@@ -86,21 +88,17 @@ def plain_counts(text: Column) -> Column:
 # --- the model -----------------------------------------------------------------------------
 
 
-def _grams(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Packed 4-grams that end in each byte of each text (three pads before a text), and their text."""
-    rows = len(offsets) - 1
+def _grams(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """Packed n-grams that end in each byte of each text (pads before a text)."""
+    rows, pads = len(offsets) - 1, ORDER - 1
     text = np.repeat(np.arange(rows), np.diff(offsets))
-    padded = np.zeros(len(data) + 3 * rows, np.uint32)
-    at = np.arange(len(data)) + 3 * (text + 1)
+    padded = np.zeros(len(data) + pads * rows, np.int64)
+    at = np.arange(len(data)) + pads * (text + 1)
     padded[at] = _FOLD[data]
     gram = padded.copy()
     for k in range(1, ORDER):
-        gram[k:] |= padded[:-k] << np.uint32(8 * k)
-    return gram[at], text
-
-
-def _slot(gram: np.ndarray) -> np.ndarray:
-    return (gram.astype(np.uint32) * np.uint32(2654435761)) >> np.uint32(32 - SLOT_BITS)
+        gram[k:] |= padded[:-k] << (8 * k)
+    return gram[at]
 
 
 def _merged(keys: list, sums: list) -> tuple[np.ndarray, np.ndarray]:
@@ -113,7 +111,7 @@ def _count_grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     keys, sums, held = [], [], 0
     for batch in batches:
         for _, data, offsets in A.slices(batch.column(0)):
-            key, n = np.unique(_grams(data, offsets)[0], return_counts=True)
+            key, n = np.unique(_grams(data, offsets), return_counts=True)
             keys.append(key)
             sums.append(n)
             held += len(key)
@@ -121,15 +119,15 @@ def _count_grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 key, n = _merged(keys, sums)
                 keys, sums, held = [key], [n], len(key)
                 if held > 3_000_000:
-                    yield pa.RecordBatch.from_arrays([pa.array(key.astype(np.int64)), pa.array(n)], names=["gram", "n"])
+                    yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(n)], names=["gram", "n"])
                     keys, sums, held = [], [], 0
     if keys:
         key, n = _merged(keys, sums)
-        yield pa.RecordBatch.from_arrays([pa.array(key.astype(np.int64)), pa.array(n)], names=["gram", "n"])
+        yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(n)], names=["gram", "n"])
 
 
 def gram_counts(docs: DataFrame) -> DataFrame:
-    """How often each 4-gram occurs in all texts."""
+    """How often each n-gram of the top order occurs in all texts."""
     parts = docs.select("text").mapInArrow(_count_grams, "gram long, n long")
     return parts.groupBy("gram").agg(F.sum("n").alias("n"))
 
@@ -140,8 +138,8 @@ def _discounted(grams: DataFrame) -> tuple[DataFrame, DataFrame]:
     n1, n2, n3, n4 = (float(x) for x in grams.agg(*n).first())
     y = n1 / max(n1 + 2 * n2, 1.0)
     # Discounts stay within their counts where a corpus is too small for the estimate.
-    d = [min(max(k - (k + 1) * y * b / a, 0.1), k - 0.1) if a else 0.5 * k for k, a, b in ((1, n1, n2), (2, n2, n3), (3, n3, n4))]
-    off = F.when(F.col("n") == 1, d[0]).when(F.col("n") == 2, d[1]).otherwise(d[2])
+    _, *d = [min(max(k - (k + 1) * y * b / a, 0.1), k - 0.1) if a else 0.5 * k for k, a, b in ((1, n1, n2), (2, n2, n3), (3, n3, n4))]
+    off = F.when(F.col("n") == 1, 1.0).when(F.col("n") == 2, d[0]).otherwise(d[1])
     grams = grams.withColumn("context", F.shiftrightunsigned("gram", 8))
     contexts = grams.groupBy("context").agg(F.sum("n").alias("total"), F.sum(off).alias("left"))
     contexts = contexts.select("context", "total", (F.col("left") / F.col("total")).alias("back"))
@@ -149,14 +147,15 @@ def _discounted(grams: DataFrame) -> tuple[DataFrame, DataFrame]:
     return shared, contexts
 
 
-def estimate(docs: DataFrame) -> dict[str, np.ndarray]:
-    """The model: for orders 2 to 4 sorted hashes with log probabilities, and contexts with log weights."""
+def orders(docs: DataFrame) -> Iterator[tuple[DataFrame, DataFrame]]:
+    """The model, lowest order first: n-grams (gram, p), and contexts (context, back) with the weight of the order below."""
     grams = stored(gram_counts(docs), "grams")
     tables = {ORDER: grams}
     for order in range(ORDER - 1, 0, -1):
         mask = (1 << (8 * order)) - 1
         tables[order] = tables[order + 1].groupBy(F.col("gram").bitwiseAND(F.lit(mask)).alias("gram")).agg(F.count(F.lit(1)).alias("n"))
-    model: dict[str, np.ndarray] = {}
+        if order > 2:
+            tables[order] = stored(tables[order], f"grams{order}")
     lower = None
     for order in range(1, ORDER + 1):
         shared, contexts = _discounted(tables[order])
@@ -168,70 +167,61 @@ def estimate(docs: DataFrame) -> dict[str, np.ndarray]:
             p = shared.withColumn("suffix", suffix).join(below, "suffix", "left")
             p = p.select("gram", (F.col("own") + F.col("back") * F.coalesce("below", F.lit(1 / 256))).alias("p"))
         lower = stored(p, f"order{order}")
-        model |= _arrays(f"p{order}", lower.select("gram", F.log("p").alias("value")))
+        yield lower, contexts
+
+
+def estimate(docs: DataFrame) -> dict[str, np.ndarray]:
+    """The whole model in memory: n-grams in order with log probabilities, and contexts with log weights. For small corpora."""
+    model: dict[str, np.ndarray] = {}
+    for order, (grams, contexts) in enumerate(orders(docs), 1):
+        model |= _arrays(f"p{order}", grams.select("gram", F.log("p").alias("value")))
         model |= _arrays(f"b{order}", contexts.select(F.col("context").alias("gram"), F.log("back").alias("value")))
     return model
 
 
 def _arrays(name: str, rows: DataFrame) -> dict[str, np.ndarray]:
-    # The same product modulo 2**32 as in _slot, in halves so that no BIGINT overflows.
-    high = (F.shiftrightunsigned("gram", 16) * 2654435761).bitwiseAND(F.lit(0xFFFF)) * 65536
-    product = high + F.col("gram").bitwiseAND(F.lit(0xFFFF)) * 2654435761
-    slot = F.shiftrightunsigned(product.bitwiseAND(F.lit(0xFFFFFFFF)), 32 - SLOT_BITS)
-    rows = rows.groupBy(slot.cast("int").alias("slot")).agg(F.max("value").cast("float").alias("value"))
-    table = rows.toArrow()
-    slots, values = table["slot"].to_numpy().astype(np.uint32), table["value"].to_numpy().astype(np.float32)
-    order = np.argsort(slots)
-    return {f"{name}_key": slots[order], f"{name}_value": values[order]}
+    table = rows.select("gram", F.col("value").cast("float")).toArrow()
+    keys, values = table["gram"].to_numpy(), table["value"].to_numpy()
+    order = np.argsort(keys)
+    return {f"{name}_key": keys[order], f"{name}_value": values[order]}
 
 
 def _found(model: dict, name: str, gram: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     keys, values = model[f"{name}_key"], model[f"{name}_value"]
     if not len(keys):
         return np.zeros(len(gram), bool), np.zeros(len(gram), np.float32)
-    slot = _slot(gram)
-    at = np.minimum(np.searchsorted(keys, slot), len(keys) - 1)
-    return keys[at] == slot, values[at]
+    at = np.minimum(np.searchsorted(keys, gram), len(keys) - 1)
+    return keys[at] == gram, values[at]
 
 
 def log_probability(model: dict, gram: np.ndarray, order: int = ORDER) -> np.ndarray:
     """Log probability of the last byte of packed n-grams, backing off where one was never seen."""
+    gram = gram.astype(np.int64)
     known, out = _found(model, f"p{order}", gram)
-    out = out.astype(np.float32).copy()
+    out = out.astype(np.float32)
     missing = np.flatnonzero(~known)
     if len(missing):
         rest = gram[missing]
         if order == 1:
-            _, weight = _found(model, "b1", np.zeros(1, np.uint32))
+            _, weight = _found(model, "b1", np.zeros(1, np.int64))
             out[missing] = weight - np.float32(np.log(256))
         else:
-            seen, weight = _found(model, f"b{order}", rest >> np.uint32(8))
-            lower = log_probability(model, rest & np.uint32((1 << (8 * (order - 1))) - 1), order - 1)
+            seen, weight = _found(model, f"b{order}", rest >> 8)
+            lower = log_probability(model, rest & ((1 << (8 * (order - 1))) - 1), order - 1)
             out[missing] = lower + np.where(seen, weight, 0)
     return out
 
 
-@lru_cache(maxsize=2)
-def _top(model: Broadcast) -> np.ndarray:
-    """The top order spread over its hash space: one read per byte; not a number where nothing was seen."""
-    table = np.full(1 << SLOT_BITS, np.nan, np.float32)
-    table[model.value[f"p{ORDER}_key"]] = model.value[f"p{ORDER}_value"]
-    return table
-
-
-def score(text: Column, model: Broadcast) -> Column:
-    """Mean negative log probability of a byte; null for empty texts. Its exponential is the perplexity."""
+def _part(text: Column, shard: Broadcast) -> Column:
+    """What the n-grams of a shard add to the mean negative log probability of a text's bytes; null for empty texts."""
 
     @F.arrow_udf("double")
     def run(column: pa.Array) -> pa.Array:
-        top, parts = _top(model), []
+        parts = []
         for _, data, offsets in A.slices(column):
-            gram, _ = _grams(data, offsets)
-            value = top[_slot(gram)]
-            missing = np.flatnonzero(np.isnan(value))
-            if len(missing):
-                unique, place = np.unique(gram[missing], return_inverse=True)
-                value[missing] = log_probability(model.value, unique)[place]
+            gram, place = np.unique(_grams(data, offsets), return_inverse=True)
+            known, value = _found(shard.value, "p", gram)
+            value = np.where(known, value, np.float32(0))[place]
             total = np.concatenate([[0], np.cumsum(value, dtype=np.float64)])
             n = np.diff(offsets)
             with np.errstate(invalid="ignore"):
@@ -242,6 +232,27 @@ def score(text: Column, model: Broadcast) -> Column:
     return run(text)
 
 
+def scored(docs: DataFrame, grams: DataFrame) -> DataFrame:
+    """doc_id, lang, counts and score of every row: the mean negative log probability of a byte, whose exponential is the perplexity.
+
+    ``grams`` are those of the top order with p; all n-grams of the texts must be among them. Score is null for empty texts.
+    """
+    context, shards = docs.sparkSession.sparkContext, max(1, -(-grams.count() // SHARD))
+    shard = F.pmod(F.xxhash64("gram"), F.lit(shards))
+    rows = None
+    for k in range(shards):
+        here = context.broadcast(_arrays("p", grams.where(shard == k).select("gram", F.log("p").alias("value"))))
+        part, digest = _part(F.col("text"), here), F.md5(F.col("text").cast("binary")).alias("digest")
+        if rows is None:
+            more = [digest] if shards > 1 else []
+            rows = stored(docs.select("doc_id", "lang", plain_counts(F.col("text")).alias("s"), part.alias("score"), *more), "scored")
+        else:  # rows may repeat and doc_id may be null: parts go by the text
+            parts = stored(docs.select(digest, part.alias("part")).groupBy("digest").agg(F.first("part").alias("part")), "part")
+            rows = rows.join(parts, "digest", "left").withColumn("score", F.col("score") + F.col("part")).drop("part")
+        here.destroy()
+    return rows.select("doc_id", "lang", "s.*", "score")
+
+
 # --- bands and verdict ---------------------------------------------------------------------
 
 
@@ -261,13 +272,12 @@ def judge(docs: DataFrame, reach: float = 8.0, least: int = 100) -> DataFrame:
     Empty and null texts fail the base rules. Rows may repeat; each is judged for itself. Without
     any document that passes the base rules there are no limits, and nothing is kept.
     """
-    spark = docs.sparkSession
     docs = docs.select("doc_id", "text", F.col("lang").cast("string").alias("lang"))
-    model = spark.sparkContext.broadcast(estimate(docs))
-    rows = docs.select("doc_id", "lang", plain_counts(F.col("text")).alias("s"), score(F.col("text"), model).alias("score"))
+    for grams, _ in orders(docs):
+        top = grams
+    rows = scored(docs, top)
     failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
-    rows = rows.select("doc_id", "lang", "s.*", "score").withColumn("base_failed", failed)
-    rows = stored(rows, "scored")
+    rows = stored(rows.withColumn("base_failed", failed), "judged")
     limits = bands(rows.where(~F.col("base_failed")), reach, least)
     every = limits.where(F.col("lang").isNull()).select(F.col("low").alias("all_low"), F.col("high").alias("all_high")).first()
     low, high = (F.lit(x).cast("double") for x in (every or (None, None)))

@@ -106,6 +106,25 @@ def test_probabilities_sum_to_one(spark):
         assert abs(total - 1) < 0.05, (context, total)
 
 
+def test_no_n_gram_takes_the_place_of_another(spark):
+    random = np.random.default_rng(5)
+    varied = ["".join(map(chr, random.integers(0x4E00, 0x9F00, 1500))) for _ in range(300)]
+    model = perplexity.estimate(docs(spark, varied))
+    for context in (b"\0\0the", b"\0qzx", b"\0$$$"):
+        packed = int.from_bytes(context[-3:], "big") << 8
+        total = np.exp(perplexity.log_probability(model, np.arange(256, dtype=np.uint32) + np.uint32(packed))).sum()
+        assert abs(total - 1) < 0.001, (context, total)
+
+
+def test_shards_of_the_model_add_up(spark, monkeypatch):
+    texts = ODD + [r.text for r in table(spark, "documents", SMALL).collect()] * 2
+    want = by_id(perplexity.judge(docs(spark, texts)))
+    monkeypatch.setattr(perplexity, "SHARD", 20_000)
+    got = by_id(perplexity.judge(docs(spark, texts)))
+    for i in want:
+        assert got[i]["kept"] == want[i]["kept"] and got[i]["perplexity"] == pytest.approx(want[i]["perplexity"], abs=1e-5)
+
+
 # --- 3 planes
 
 
