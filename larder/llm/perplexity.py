@@ -10,9 +10,9 @@ An n-gram is its bytes, packed into one number; none shares a place with another
 table of the top order. That table is dealt to shards of about ``SHARD`` n-grams; a pass over the texts adds up what one shard knows, so
 that one shard at a time is in memory, however many there are.
 
-A document's perplexity is that of a byte. Each language has a lower and an upper band around its median, as
-wide as ``reach`` times the distance from the median to the quartile of that side; languages with fewer than ``least``
-documents share the bands of all documents.
+A document's perplexity is that of a byte. Each language has a lower and an upper band around its own median, as
+wide as ``reach`` times the distance from the median to the quartile of that side. That distance is drawn towards the mean of all
+languages as if ``least`` documents had that one: a language of a few documents has nearly the mean spread, a large one its own.
 """
 
 from collections.abc import Iterator
@@ -257,20 +257,20 @@ def scored(docs: DataFrame, grams: DataFrame) -> DataFrame:
 
 
 def bands(scored: DataFrame, reach: float, least: int) -> DataFrame:
-    """Lower and upper limit of each language, and under null those of all documents."""
+    """Lower and upper limit of each language; rows without a language are one of their own."""
     quartiles = F.percentile_approx("score", [0.25, 0.5, 0.75], 10_000).alias("q")
-    q = [F.col("q")[k] for k in range(3)]
-    limits = [(q[1] - reach * (q[1] - q[0])).alias("low"), (q[1] + reach * (q[2] - q[1])).alias("high")]
-    own = scored.groupBy("lang").agg(quartiles, F.count("score").alias("m")).where((F.col("m") >= least) & F.col("lang").isNotNull())
-    every = scored.agg(quartiles).select(F.lit(None).cast("string").alias("lang"), *limits)
-    return own.select("lang", *limits).unionByName(every)
+    own = scored.groupBy("lang").agg(quartiles, F.count("score").alias("m")).where("m > 0")
+    own = own.select("lang", "m", F.col("q")[1].alias("mid"), (F.col("q")[1] - F.col("q")[0]).alias("down"), (F.col("q")[2] - F.col("q")[1]).alias("up"))
+    pooled = own.agg(*(F.sum(F.col("m") * F.col(x)) / F.sum("m") for x in ("down", "up"))).first()
+    spread = [(F.col("m") * F.col(x) + least * F.lit(p).cast("double")) / (F.col("m") + least) for x, p in zip(("down", "up"), pooled, strict=True)]
+    return own.select("lang", (F.col("mid") - reach * spread[0]).alias("low"), (F.col("mid") + reach * spread[1]).alias("high"))
 
 
 def judge(docs: DataFrame, reach: float = 8.0, least: int = 100) -> DataFrame:
     """doc_id, counts, base_failed, perplexity, the limits of its language, and kept. Other columns do not matter.
 
-    Empty and null texts fail the base rules. Rows may repeat; each is judged for itself. Without
-    any document that passes the base rules there are no limits, and nothing is kept.
+    Empty and null texts fail the base rules. Rows may repeat; each is judged for itself. A language without
+    any document that passes the base rules has no limits, and none of its documents is kept.
     """
     docs = docs.select("doc_id", "text", F.col("lang").cast("string").alias("lang"))
     for grams, _ in orders(docs):
@@ -279,11 +279,7 @@ def judge(docs: DataFrame, reach: float = 8.0, least: int = 100) -> DataFrame:
     failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
     rows = stored(rows.withColumn("base_failed", failed), "judged")
     limits = bands(rows.where(~F.col("base_failed")), reach, least)
-    every = limits.where(F.col("lang").isNull()).select(F.col("low").alias("all_low"), F.col("high").alias("all_high")).first()
-    low, high = (F.lit(x).cast("double") for x in (every or (None, None)))
-    own = limits.where(F.col("lang").isNotNull()).withColumnRenamed("lang", "own_lang")
-    rows = rows.join(small(own), F.col("lang") == F.col("own_lang"), "left")
-    rows = rows.withColumn("low", F.coalesce("low", low)).withColumn("high", F.coalesce("high", high))
+    rows = rows.join(small(limits.withColumnRenamed("lang", "own_lang")), F.col("lang").eqNullSafe(F.col("own_lang")), "left")
     kept = ~F.col("base_failed") & F.coalesce(F.col("score").between(F.col("low"), F.col("high")), F.lit(False))
     return rows.select(
         "doc_id", *_FIELDS, "base_failed", kept.alias("kept"),

@@ -125,6 +125,24 @@ def test_shards_of_the_model_add_up(spark, monkeypatch):
         assert got[i]["kept"] == want[i]["kept"] and got[i]["perplexity"] == pytest.approx(want[i]["perplexity"], abs=1e-5)
 
 
+def test_a_small_language_beside_a_hot_one(spark):
+    random = np.random.default_rng(6)
+
+    def prose(words, n):
+        return [" ".join(random.choice(words, 120)) for _ in range(n)]
+
+    def word(letters):
+        return "".join(random.choice(list(letters), random.integers(3, 9)))
+
+    hot = prose([word("abcdefgh") for _ in range(300)], 900)
+    few = prose([word("qrstuvwxyzäöüßéñ") for _ in range(2000)], 30)
+    rows = [(i, t, "hot" if i < 900 else "few" if i < 925 else None, "s", len(t)) for i, t in enumerate(hot + few)]
+    got = by_id(perplexity.judge(spark.createDataFrame(rows, SCHEMA)))
+    assert not any(got[i]["base_failed"] for i in got)
+    assert sum(got[i]["kept"] for i in range(900)) > 850
+    assert sum(got[i]["kept"] for i in range(900, 925)) >= 20 and sum(got[i]["kept"] for i in range(925, 930)) >= 4
+
+
 # --- 3 planes
 
 
