@@ -28,6 +28,9 @@ from larder.llm.shared import small, stored
 
 ORDER = 5  # bytes; packed into a BIGINT, so at most 7
 SHARD = 4_000_000
+#: Of 2 to 8 in steps of a half, the reach with the largest difference between the share of bad documents rejected and the share of good ones
+#: rejected, by the quality labels of sf0.1, among documents that pass the base rules.
+REACH = 3.5
 SYMBOLS = (b"#", b"*", b"$", b"%", b"&", b"|", b"<", b">")
 _SYMBOL = np.isin(A.BYTE, [s[0] for s in SYMBOLS])
 _FOLD = A.LOWER.copy()
@@ -266,7 +269,7 @@ def bands(scored: DataFrame, reach: float, least: int) -> DataFrame:
     return own.select("lang", (F.col("mid") - reach * spread[0]).alias("low"), (F.col("mid") + reach * spread[1]).alias("high"))
 
 
-def judge(docs: DataFrame, reach: float = 8.0, least: int = 100) -> DataFrame:
+def judge(docs: DataFrame, reach: float = REACH, least: int = 100) -> DataFrame:
     """doc_id, counts, base_failed, perplexity, the limits of its language, and kept. Other columns do not matter.
 
     Empty and null texts fail the base rules. Rows may repeat; each is judged for itself. A language without

@@ -143,6 +143,25 @@ def test_a_small_language_beside_a_hot_one(spark):
     assert sum(got[i]["kept"] for i in range(900, 925)) >= 20 and sum(got[i]["kept"] for i in range(925, 930)) >= 4
 
 
+def test_bands_reject_gibberish_and_symbol_litter(spark):
+    random = np.random.default_rng(7)
+    clean = table(spark, "documents").join(table(spark, "labels").where("quality = 1"), "doc_id").orderBy("doc_id").collect()
+    clean = [r for r in clean if len(r.text.split()) >= 120]
+    texts = [r.text for r in clean]
+    words = [t.split()[:120] for t in texts[:10]]
+    noise = [" ".join("".join(map(chr, random.integers(97, 123, random.integers(3, 10)))) for _ in range(120)) for _ in range(10)]
+    litter = [" ".join(w + random.choice(["$$$", "%%%", " |", "##"]) if random.random() < 0.4 else w for w in x) for x in words]
+    langs = [r.lang for r in clean + clean[:10] * 2]
+    rows = [(i, t, langs[i], "s", len(t)) for i, t in enumerate(texts + noise + litter)]
+    got = by_id(perplexity.judge(spark.createDataFrame(rows, SCHEMA)))
+    planted = range(len(texts), len(rows))
+    assert not any(got[i]["base_failed"] for i in planted)
+    assert not any(got[i]["kept"] for i in planted[:10])
+    assert sum(got[i]["kept"] for i in planted[10:]) <= 2
+    passed = [i for i in range(len(texts)) if not got[i]["base_failed"]]
+    assert sum(got[i]["kept"] for i in passed) >= 0.85 * len(passed)
+
+
 # --- 3 planes
 
 
