@@ -2,8 +2,9 @@
 
 Paragraphs earn points for their length and commas and pass them to their ancestors (all to the parent, half to the next, less
 above); an element's points are discounted by the share of its text inside links. The element with the most points is
-the article, with those of its siblings that score well themselves or are prose or headings. Menus, headers, footers, sidebars,
-notices, adverts, forms, scripts, styles and comments are left out by element, role and class before anything is scored.
+the article, with those of its siblings that hold text with few links. Menus, headers, footers, sidebars,
+notices, adverts, forms, scripts, styles and comments are left out by element, role and class before anything is scored. A class or id
+leaves an element out only if it holds less than half of the page's prose: layout wrappers have such names too.
 
 Null and empty pages give an empty text. A page that breaks off anywhere gives what was there.
 """
@@ -47,15 +48,28 @@ _ATTRIBUTE = re.compile(r"""([a-zA-Z_:][-\w:.]*)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'
 
 
 class Node:
-    __slots__ = ("children", "length", "linked", "out", "parent", "points", "tag")
+    __slots__ = ("children", "length", "linked", "named", "out", "parent", "points", "tag")
 
     def __init__(self, tag: str, parent: "Node | None", out: bool):
         self.tag, self.parent, self.out = tag, parent, out
         self.children: list[Node | str] = []
         self.points = 0.0
+        self.named = False  # a class or id that boilerplate has
         self.length = self.linked = 0
 
 
+def _attributes(attributes: str) -> dict[str, str]:
+    return {k.lower(): a or b or c for k, a, b, c in _ATTRIBUTE.findall(attributes)}
+
+
+def _named(tag: str, attributes: str) -> bool:
+    if not attributes or tag in ("html", "body", "article", "main", "header") or tag in HEADINGS:
+        return False
+    named = _attributes(attributes)
+    marks = re.sub(r"([a-z])([A-Z])", r"\1 \2", f"{named.get('class', '')} {named.get('id', '')}").lower()
+    return bool(UNLIKELY.search(marks))
+
+
 def _dropped(tag: str, attributes: str, parent: Node) -> bool:
     if tag in LEFT_OUT:
         return True
@@ -66,13 +80,34 @@ def _dropped(tag: str, attributes: str, parent: Node) -> bool:
         return True
     if not attributes or tag in ("html", "body", "article", "main"):
         return False
-    named = {k.lower(): a or b or c for k, a, b, c in _ATTRIBUTE.findall(attributes)}
+    named = _attributes(attributes)
     if named.get("role", "").lower() in ROLES or "hidden" in named or named.get("aria-hidden") == "true":
         return True
-    if re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", named.get("style", "").lower()):
-        return True
-    marks = re.sub(r"([a-z])([A-Z])", r"\1 \2", f"{named.get('class', '')} {named.get('id', '')}").lower()
-    return bool(UNLIKELY.search(marks)) and not (tag in HEADINGS or tag in ("header", "p"))
+    return bool(re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", named.get("style", "").lower()))
+
+
+def _leave_out_named(root: Node) -> None:
+    """Leaves out elements by class or id, outermost first, unless they hold half of the prose: that of article and main if these hold a quarter."""
+    order, todo = [], [root]
+    while todo:
+        node = todo.pop()
+        order.append(node)
+        todo += [c for c in node.children if isinstance(c, Node) and not c.out]
+    prose: dict[int, int] = {}
+    inside: dict[int, int] = {}
+    for node in reversed(order):
+        inner = [c for c in node.children if isinstance(c, Node) and not c.out]
+        text = sum(len(c.strip()) for c in node.children if isinstance(c, str))
+        prose[id(node)] = 0 if node.tag == "a" else text + sum(prose[id(c)] for c in inner)
+        inside[id(node)] = prose[id(node)] if node.tag in ("article", "main") else sum(inside[id(c)] for c in inner)
+    held = inside if 4 * inside[id(root)] >= prose[id(root)] else prose
+    todo = [root]
+    while todo:
+        node = todo.pop()
+        if node.named and 2 * held[id(node)] < max(held[id(root)], 1):
+            node.out = True
+        else:
+            todo += [c for c in node.children if isinstance(c, Node) and not c.out]
 
 
 def tree(page: str) -> Node:
@@ -112,6 +147,7 @@ def tree(page: str) -> Node:
             node = to or node
         attributes = m[3] if m[3] is not None else m[6] or ""
         child = Node(tag, node, node.out or _dropped(tag, attributes, node))
+        child.named = _named(tag, attributes)
         node.children.append(child)
         if tag in RAW:
             end = re.compile(rf"</{tag}(?=[\s/>]|\Z)[^>]*(?:>|\Z)", re.I).search(page, at)
@@ -122,6 +158,7 @@ def tree(page: str) -> Node:
             node = child
     if at < size:
         node.children.append(page[at:])
+    _leave_out_named(root)
     return root
 
 

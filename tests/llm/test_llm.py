@@ -376,6 +376,23 @@ def test_main_text():
         main_text.main_text(page[:n])
 
 
+PROSE = "A long sentence of the article, with commas, words, and more words, so that it counts as prose of the page. " * 4
+
+
+@pytest.mark.parametrize("wrap", ['class="content-sidebar-wrap"', 'class="container no-sidebar"', 'class="site has-header"', 'id="search-main"'])
+@pytest.mark.parametrize("inner", ["article", "main", "div"])
+def test_wrappers_with_names_of_boilerplate(wrap, inner):
+    page = f"""<body><div {wrap}><{inner}><h1>Head</h1><p>{PROSE}</p><p class="advert">Buy this, now.</p><p>Second. {PROSE}</p></{inner}>
+    <div class="sidebar"><p>Aside, aside, aside.</p></div></div><div class="cookie-notice">We use cookies.</div></body>"""
+    assert main_text.main_text(page) == f"Head\n{PROSE.strip()}\nSecond. {PROSE.strip()}"
+
+
+def test_comments_in_articles_of_their_own():
+    comments = "<article class='comment'><p>Nice, really, thank you, all of you.</p></article>" * 3
+    page = f"<main class='has-sidebar'><article><p>{PROSE}</p></article><div class='comments'>{comments}</div></main>"
+    assert main_text.main_text(page) == PROSE.strip()
+
+
 def test_articles_of_the_pages(spark):
     import html
 
