@@ -201,8 +201,8 @@ def _density(node: Node) -> float:
     return node.linked / node.length if node.length else 0.0
 
 
-def article(root: Node) -> list[Node]:
-    """The best container and those of its siblings that belong to it, in page order."""
+def article(root: Node) -> list[Node | str]:
+    """The best container, and all beside it that holds text with few links or is a heading, in page order."""
     order = [n for n in _measure(root) if n.length]
     best = max((n for n in order if n.tag not in PROSE or n.tag in ("td", "blockquote")), key=lambda n: n.points * (1 - _density(n)), default=None)
     if best is None or best.points <= 0:
@@ -215,18 +215,23 @@ def article(root: Node) -> list[Node]:
             break
     if best.parent is None or best.tag in ("article", "main", "body", "html"):
         return [best]
-    top = best.points * (1 - _density(best))
-    out = []
+    runs: list[list[Node | str]] = [[]]  # blocks alone; text and inline elements between them together
     for node in best.parent.children:
-        if isinstance(node, str) or node.out or not node.length:
-            continue
-        prose = node.tag in ("p", "pre", "blockquote") and _density(node) < 0.25
-        if node is best or prose or node.tag in HEADINGS or node.points * (1 - _density(node)) >= max(10.0, 0.2 * top):
-            out.append(node)
+        if not isinstance(node, str) and (node.out or node.tag in BLOCK):
+            runs += [[node], []]
+        else:
+            runs[-1].append(node)
+    out = []
+    for run in runs:
+        run = [n for n in run if isinstance(n, str) or not n.out]
+        length = sum(len(n.strip()) if isinstance(n, str) else n.length for n in run)
+        linked = sum(n.linked for n in run if not isinstance(n, str))
+        if length and (best in run or linked < 0.25 * length or (not isinstance(run[0], str) and run[0].tag in HEADINGS)):
+            out += run
     return out
 
 
-def _blocks(nodes: list[Node]) -> list[str]:
+def _blocks(nodes: list[Node | str]) -> list[str]:
     out: list[str] = []
     line: list[str] = []
 

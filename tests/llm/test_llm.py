@@ -393,6 +393,14 @@ def test_comments_in_articles_of_their_own():
     assert main_text.main_text(page) == PROSE.strip()
 
 
+def test_blocks_beside_the_best_one():
+    page = f"""<body><div><div><h2>Head</h2><p>{PROSE}</p><p>{PROSE}</p></div><ul><li>first<li>second<li>third</ul><table><tr><td>cell</td></tr></table>
+    <figure><figcaption>caption</figcaption></figure><section><p>Short.</p></section><div><p>The end.</p></div>
+    <ul><li><a href="/a">Link one</a><li><a href="/b">Link two</a></ul></div></body>"""
+    want = ["Head", PROSE.strip(), PROSE.strip(), "first", "second", "third", "cell", "caption", "Short.", "The end."]
+    assert main_text.main_text(page).split("\n") == want
+
+
 def test_articles_of_the_pages(spark):
     import html
 
