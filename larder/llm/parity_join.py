@@ -43,6 +43,7 @@ HOT = 32  # a block sketch shared by more documents is hot
 TILE = 4096
 #: Shingles per block for a document at the top of its band, coarsest first; 0 gives every shingle its own.
 PER_BLOCK = (2.0, 1.5, 1.0, 0.5, 0.25, 0.1, 0.0)
+ALL_LEVELS = (1 << len(PER_BLOCK)) - 1
 BUCKET_KEYS = 600_000
 FLUSH_KEYS = 600_000
 BROADCAST_ROWS = 500_000
@@ -122,26 +123,28 @@ def needed(n: np.ndarray) -> np.ndarray:
 
 
 def levels(sets: Sets) -> np.ndarray:
-    """The coarsest level of its band at which each document has enough blocks."""
-    out = np.full(sets.rows, len(PER_BLOCK) - 1)
+    """The levels of its band at which each document has enough blocks, a bit for each. The last one, a block to each shingle, always has."""
+    out = np.full(sets.rows, 1 << (len(PER_BLOCK) - 1))
     todo = sets.n > 0
     band = sets.bands()
+    if not todo.any():
+        return np.full(sets.rows, ALL_LEVELS)
     for level in range(len(PER_BLOCK) - 1):
-        if not todo.any():
-            break
-        at = np.flatnonzero(todo[sets.owner])
-        k = np.where(todo, n_blocks(band, np.full(sets.rows, level)), 0)
+        at = np.full(sets.rows, level)
+        k = np.where(todo, n_blocks(band, at), 0)
         first = np.cumsum(k) - k
         taken = np.zeros(int(k.sum()) + 1, bool)
-        taken[first[sets.owner[at]] + sets.blocks(band, np.full(sets.rows, level))[at]] = True
+        taken[first[sets.owner] + sets.blocks(band, at)] = True
         filled = np.concatenate([[0], np.cumsum(taken)])
-        enough = todo & (filled[first + k] - filled[first] >= needed(sets.n))
-        out[enough] = level
-        todo &= ~enough
-    out[sets.n == 0] = 0
+        out[todo & (filled[first + k] - filled[first] >= needed(sets.n))] |= 1 << level
+    out[~todo] = ALL_LEVELS
     return out
 
 
+def coarsest(bits: int) -> int:
+    return (bits & -bits).bit_length() - 1
+
+
 def _nodes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for row, data, offsets in A.slices(batch.column("text")):
@@ -151,7 +154,7 @@ def _nodes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     batch.column("doc_id").slice(row, s.rows), pa.array(s.n), pa.array(s.node), pa.array(s.bands(), pa.int32()),
                     pa.array(levels(s), pa.int32()), pa.array(s.sketches(), pa.binary()),
                 ],
-                names=["doc_id", "n", "node", "band", "level", "sketch"],
+                names=["doc_id", "n", "node", "band", "levels", "sketch"],
             )
 
 
@@ -509,13 +512,14 @@ def _hot_links(met: DataFrame, hot: DataFrame, reps: DataFrame, verifier: _Verif
 def classes(docs: DataFrame) -> DataFrame:
     """doc_id, n_shingles and component_id of every row of ``docs`` (doc_id, text); any other columns do not matter."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    nodes = stored(docs.mapInArrow(_nodes, "doc_id long, n long, node long, band int, level int, sketch binary"), "nodes")
+    nodes = stored(docs.mapInArrow(_nodes, "doc_id long, n long, node long, band int, levels int, sketch binary"), "nodes")
     reps = nodes.where("n > 0").groupBy("node").agg(F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("sketch").alias("sketch"))
     reps = stored(reps, "reps")
     # One row per band, of which there are as many as a number has bits.
-    bands = nodes.where("n > 0").groupBy("band").agg(F.max("level").alias("level"), F.sum("n").alias("n")).collect()
+    bands = nodes.where("n > 0").groupBy("band").agg(F.bit_and("levels").alias("levels"), F.sum("n").alias("n")).collect()
+    level = {r["band"]: coarsest(r["levels"]) for r in bands}
     buckets = max(1, round(sum(r["n"] for r in bands) * 0.8 / BUCKET_KEYS), min(24, sum(r["n"] for r in bands) // 100_000))
-    keys = docs.select("text").mapInArrow(_keys({r["band"]: r["level"] for r in bands}, buckets), _PARCEL_DDL)
+    keys = docs.select("text").mapInArrow(_keys(level, buckets), _PARCEL_DDL)
     met = stored(keys.repartition(buckets, "bucket").groupBy("bucket").applyInArrow(_meet, _MET_DDL), "met")
     verifier = _Verifier(docs, reps)
     hot = _hot_counts(met)

@@ -251,6 +251,19 @@ def test_classes_against_brute_force(spark):
     assert {i: (r["n_shingles"], r["component_id"]) for i, r in got.items()} == brute_classes(texts)
 
 
+def test_every_document_has_enough_blocks_at_its_band_s_level():
+    texts = [" ".join(f"w{i}x{k}" for k in range(words)) for words in (7, 8, 18) for i in range(8_000)]
+    data, offsets = np.frombuffer("".join(texts).encode(), np.uint8), np.cumsum([0] + [len(t) for t in texts])
+    sets = parity_join.Sets(data, offsets)
+    bits, band = parity_join.levels(sets), sets.bands()
+    level = np.zeros(sets.rows, int)
+    for b in np.unique(band):
+        level[band == b] = parity_join.coarsest(int(np.bitwise_and.reduce(bits[band == b])))
+    blocks = sets.blocks(band, level)
+    filled = np.bincount(np.unique(np.stack([sets.owner, blocks]), axis=1)[0], minlength=sets.rows)
+    assert (filled >= parity_join.needed(sets.n)).all()
+
+
 def test_one_of_each_class_stays(spark):
     texts = ["one two three four five six seven", "One two  three four five six seven", None, "", "other words altogether here now then"]
     both = docs(spark, texts).withColumn("extra", F.lit(1)).withColumn("node", F.lit("clash"))
