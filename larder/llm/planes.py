@@ -10,14 +10,8 @@ of the index are read without the planes.
 A null text is an empty document (end id only). Null ids come first; rows that repeat are all written.
 """
 
-import json
-import os
-import re
-import struct
 import zlib
 from collections.abc import Iterator
-from functools import lru_cache
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -27,10 +21,10 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from larder.llm import arrays as A
+from larder.llm.encoding import encoder, located
 
 BLOCK_IDS = 1 << 14
 STRIPE_IDS = 1 << 18
-CACHE_WORDS = 80_000  # words of a generation; two are kept
 
 _BLOCK = pa.struct([("first", pa.int64()), ("n_ids", pa.int32()), ("offset", pa.int64()), ("planes", pa.list_(pa.int32())), ("crc32", pa.int64())])
 STRIPES = pa.schema(
@@ -94,85 +88,14 @@ def unpack(index: list[dict], payload: bytes, kind: str) -> np.ndarray:
     return np.concatenate(out) if out else np.zeros(0, "<u4")
 
 
-# --- encoding ------------------------------------------------------------------------------
-
-
-# A pre-tokenizer that lower-cases, drops white space, and cuts letters, digits and symbols apart.
-_STEPS = ["NFC", "Replace", "Lowercase"]
-_CUT = "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"
-_PLAIN = re.compile(r"([A-Za-z\u00C0-\u00D6\u00D8-\u00F6\u00F8-\u00FF]+)([.,;:!?%$#*&]*)")
-
-
-class WordEncoder:
-    """Little-endian 32-bit ids of whole texts.
-
-    A tokenizer that drops white space never joins what a space or line feed parts, so a text's ids are those of its words in
-    a row, and common words are looked up. A word of Latin letters, perhaps with punctuation behind, needs none of
-    the normalizer's work, so its letters go to the tokenizer's model at once. Other tokenizers get whole texts.
-    """
-
-    def __init__(self, path: str):
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
-        from tokenizers.pre_tokenizers import ByteLevel
-
-        self.tokenizer = Tokenizer.from_file(path)
-        with open(path, encoding="utf-8") as f:
-            made = json.load(f)
-        steps = [x.get("type") for x in (made.get("normalizer") or {}).get("normalizers", [])]
-        cut = (made.get("pre_tokenizer") or {}).get("pretokenizers", [{}])
-        self.by_word = steps == _STEPS and cut[0].get("pattern") == {"Regex": _CUT} and [x.get("type") for x in cut] == ["Split", "ByteLevel"]
-        self.model = self.tokenizer.model
-        self.words: dict[str, bytes] = {}
-        self.before: dict[str, bytes] = {}
-        if self.by_word:
-            level = ByteLevel(add_prefix_space=False, use_regex=False)
-            latin = [chr(c) for c in range(0xC0, 0x100)]
-            self.marks: dict[str, bytes] = {}
-            self.spelled = str.maketrans({c: level.pre_tokenize_str(c)[0][0] for c in latin})
-
-    def _whole(self, text: str) -> bytes:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
-
-    def _word(self, word: str) -> bytes:
-        m = _PLAIN.fullmatch(word)
-        if not m:
-            return self._whole(word)
-        low = m[1].lower()
-        spelled = low if low.isascii() else low.translate(self.spelled)
-        ids = struct.pack(f"<{len(t := self.model.tokenize(spelled))}I", *[x.id for x in t])
-        if not m[2]:
-            return ids
-        if m[2] not in self.marks:
-            self.marks[m[2]] = self._whole(m[2])
-        return ids + self.marks[m[2]]
-
-    def __call__(self, texts: list[str]) -> list[bytes]:
-        if not self.by_word:
-            return [self._whole(t) for t in texts]
-        pieces = [t.split(" ") if "\n" not in t else t.replace("\n", " ").split(" ") for t in texts]
-        if len(self.words) > CACHE_WORDS:  # words in use move on to the next generation
-            self.words, self.before = {}, self.words
-        if len(self.marks) > CACHE_WORDS:
-            self.marks.clear()
-        for word in set(chain.from_iterable(pieces)).difference(self.words):
-            ids = self.before.get(word)
-            self.words[word] = self._word(word) if ids is None else ids
-        get = self.words.__getitem__
-        return [b"".join(map(get, p)) for p in pieces]
-
-
-@lru_cache(maxsize=2)
-def _encoder(path: str) -> WordEncoder:
-    return WordEncoder(path)
-
-
-def _stripe(shard: int, number: int, first: int, docs: list, parts: list[bytes], kind: str) -> pa.RecordBatch:
-    ids = np.frombuffer(b"".join(parts), "<u4")
+# --- files ---------------------------------------------------------------------------------
+
+
+def _stripe(shard: int, number: int, first: int, docs: list, lengths: list[int], ids: np.ndarray, kind: str) -> pa.RecordBatch:
     index, payload = pack(ids, kind)
     row = {
         "shard": shard, "stripe": number, "first": first, "n_ids": len(ids), "kind": kind,
-        "doc_ids": docs, "doc_tokens": [len(p) // 4 for p in parts], "index": index, "payload": payload,
+        "doc_ids": docs, "doc_tokens": lengths, "index": index, "payload": payload,
     }
     return pa.RecordBatch.from_pylist([row], schema=STRIPES)
 
@@ -181,24 +104,35 @@ def write(docs: DataFrame, path: str, tokenizer: str, end_id: int, kind: str = "
     """Encode ``docs`` (doc_id, text) and write stripes under ``path``. One shuffle: the range partitioning by doc_id."""
 
     def stripes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, shard, end = _encoder(tokenizer), TaskContext.get().partitionId(), np.array([end_id], "<u4").tobytes()
+        encode, shard = encoder(located(tokenizer)), TaskContext.get().partitionId()
         number = first = held = 0
-        ids: list = []
-        parts: list[bytes] = []
+        names: list = []
+        lengths: list[int] = []
+        parts: list[np.ndarray] = []
+
+        def stripe() -> pa.RecordBatch:
+            nonlocal number, first, held, names, lengths, parts
+            made = _stripe(shard, number, first, names, lengths, np.concatenate(parts), kind)
+            number, first, held, names, lengths, parts = number + 1, first + held, 0, [], [], []
+            return made
+
         for batch in batches:
-            texts = batch.column("text")
-            for at in range(0, len(texts), 500):
-                part = [t or "" for t in texts.slice(at, 500).to_pylist()]
-                names = batch.column("doc_id").slice(at, 500).to_pylist()
-                for name, code in zip(names, encode(part), strict=True):
-                    ids.append(name)
-                    parts.append(code + end)
-                    held += len(parts[-1]) // 4
+            doc_ids = batch.column("doc_id")
+            for row, ids, sizes in encode(batch.column("text"), end_id):
+                ends = np.cumsum(sizes)
+                at = 0
+                while at < len(sizes):
+                    begin = int(ends[at] - sizes[at])
+                    stop = min(int(np.searchsorted(ends, begin + STRIPE_IDS - held)) + 1, len(sizes))
+                    names += doc_ids.slice(row + at, stop - at).to_pylist()
+                    lengths += sizes[at:stop].tolist()
+                    parts.append(ids[begin : ends[stop - 1]])
+                    held += int(ends[stop - 1]) - begin
+                    at = stop
                     if held >= STRIPE_IDS:
-                        yield _stripe(shard, number, first, ids, parts, kind)
-                        number, first, held, ids, parts = number + 1, first + held, 0, [], []
-        if ids:
-            yield _stripe(shard, number, first, ids, parts, kind)
+                        yield stripe()
+        if names:
+            yield stripe()
         A.tidy()
 
     # The hash of the text parts rows that share an id, or have none, into ranges as well.

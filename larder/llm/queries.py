@@ -2,13 +2,12 @@
 
 from collections.abc import Callable
 
-import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from larder.llm import decontaminate, language, licenses, main_text, mixing, parity_join, perplexity, planes, secret_scan, severity
 from larder.llm.shared import fresh, lean
 
-TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
+TOKENIZER = "word_bpe_49k.json"
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 import corpus_pipeline
 from compare import compare, connect
 from larder.llm import decontaminate, language, licenses, main_text, mixing, near_duplicates, parity_join, perplexity, planes, secret_scan, severity
+from larder.llm.encoding import Encoder, located
 from larder.llm.queries import ORACLE, QUERIES, TOKENIZER
 from larder.llm.shared import fresh
 
@@ -177,7 +178,7 @@ def test_planes_round_trip(kind):
 def test_tokens_are_the_library_s(spark, kind):
     from tokenizers import Tokenizer
 
-    whole = Tokenizer.from_file(TOKENIZER)
+    whole = Tokenizer.from_file(located(TOKENIZER))
     odd = [*ODD, "<|endoftext|>a <|startoftext|> b|>", "It's we'll ÉTÉ ß straße ſ ǅ Σας ΟΔΟΣ", "a,b. c!? d%%% 12 3x y z\r\nq", "é ́x ﬁ"]
     texts = odd + [r.text for r in table(spark, "documents", SMALL).collect()]
     path = fresh(spark, "planes")
@@ -190,6 +191,39 @@ def test_tokens_are_the_library_s(spark, kind):
     assert planes.report(docs(spark, []), fresh(spark, "planes"), TOKENIZER).count() == 0
 
 
+SPACES = [
+    "\n\n", " a  b ", "foo.\nBar  baz\t\tq", "x\u00a0  y z", "é à ç", "\u3000 a\u2003\u2003 b\u2003  c", "漢字 かな", "a\x1c b\x1f c", "don't I'll 1234 ab12",
+    "<|endoftext|> x<|endoftext|>\n\nfoo", "a\u0301 \u0301b", "\u0085 a\u0085  b", "ſ ß İ", "\u1680 \u205f  x",
+]
+
+
+@pytest.mark.parametrize("name", ["word_bpe_49k.json", "byte_bpe_50k.json"])
+@pytest.mark.parametrize("budget", [0, 1 << 20])
+def test_units_give_the_ids_of_whole_texts(name, budget):
+    import pyarrow as pa
+    from tokenizers import Tokenizer
+
+    whole, encode = Tokenizer.from_file(located(name)), Encoder(located(name), budget)
+    random = np.random.default_rng(3)
+    signs = list("ab é.\n\t'1 漢") + ["\u00a0", "\u2003", " the", "<|endoftext|>"]
+    made = ["".join(random.choice(signs, 40)) for _ in range(200)]
+    texts = ODD + SPACES + made
+    for _ in range(2):
+        for row, ids, sizes in encode(pa.array(texts, pa.string()), 5):
+            for i, (end, n) in enumerate(zip(np.cumsum(sizes), sizes)):
+                assert ids[end - n : end].tolist() == whole.encode(texts[row + i] or "", add_special_tokens=False).ids + [5]
+
+
+def test_units_of_one_hash_keep_their_own_ids(monkeypatch):
+    import pyarrow as pa
+
+    monkeypatch.setattr("larder.llm.arrays.span_hashes", lambda data, starts, ends: np.zeros(len(starts), np.uint64))
+    encode, plain = Encoder(located("byte_bpe_50k.json")), Encoder(located("byte_bpe_50k.json"), 0)
+    texts = pa.array(["a b c a", "d a"])
+    [(_, ids, sizes)] = list(encode(texts, 5))
+    assert ids.tolist() == [x for t in texts.to_pylist() for x in [*plain.tokenizer.encode(t).ids, 5]] and sizes.tolist() == [5, 3]
+
+
 # --- 4 severity
 
 
