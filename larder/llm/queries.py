@@ -4,10 +4,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from larder.llm import decontaminate, language, licenses, main_text, mixing, parity_join, perplexity, planes, secret_scan, severity
+from larder.llm import decontaminate, language, licenses, main_text, merkle, mixing, packing, parity_join, perplexity, planes, runs, secret_scan, severity
 from larder.llm.shared import fresh, lean
 
 TOKENIZER = "word_bpe_49k.json"
+BYTE_TOKENIZER = "byte_bpe_50k.json"
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -55,11 +56,24 @@ def op10_main_text(spark: SparkSession, folder: str) -> DataFrame:
     return main_text.report(_table(spark, folder, "pages"))
 
 
+def op11_merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
+    return merkle.report(_table(spark, folder, "documents"))
+
+
+def op12_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
+    return runs.report(_table(spark, folder, "documents"))
+
+
+def op13_square_packing(spark: SparkSession, folder: str) -> DataFrame:
+    return packing.report(_table(spark, folder, "documents"), BYTE_TOKENIZER)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_secret_scan, op2_perplexity, op3_plane_shuffle, op4_toxicity, op5_parity_join,
         op6_license_scan, op7_decontaminate, op8_language_id, op9_pivotal_mix, op10_main_text,
+        op11_merkle_manifest, op12_periodic_runs, op13_square_packing,
     )
 }
 
