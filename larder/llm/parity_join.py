@@ -11,7 +11,7 @@ Two sets of sizes a and b with a Jaccard similarity of 0.75 or more differ in at
 * **Blocks that many documents share** (a passage copied into them) are *hot*. Where a document has more than d blocks that are not hot,
   its pairs meet in one of those, and its hot blocks are not needed. The others need so many of their hot blocks that the sum is more
   than d, and their partners bring as few, by the same order (prefixes on both sides). These few documents (a large group of near copies,
-  mostly) are compared with a leader of each hot block; what is still unconnected is compared with the block in tiles.
+  mostly) are compared with a leader of each hot block; what is still unconnected with its nearest members, in rounds (see ``_hot_links``).
 * **Counting.** A link spoils at most d of the larger document's blocks, so the pair shares the others. Pairs that share fewer
   (a passage, mostly) go before any sketch is sent.
 * **Verification.** Candidates whose sketches are too far apart are dropped; of the rest the whole sets are compared.
@@ -36,11 +36,12 @@ from pyspark.sql.types import BooleanType
 
 from larder.llm import arrays as A
 from larder.llm.components import components
-from larder.llm.shared import stored
+from larder.llm.shared import small, stored
 
 WORDS = 5
 HOT = 32  # a block sketch shared by more documents is hot
 TILE = 4096
+NEAREST = 2  # partners of a straggler in the first round
 #: Shingles per block for a document at the top of its band, coarsest first; 0 gives every shingle its own.
 PER_BLOCK = (2.0, 1.5, 1.0, 0.5, 0.25, 0.1, 0.0)
 ALL_LEVELS = (1 << len(PER_BLOCK)) - 1
@@ -402,12 +403,15 @@ class _Verifier:
     def __init__(self, docs: DataFrame, reps: DataFrame):
         self.docs, self.reps = docs, reps
 
-    def links(self, pairs: DataFrame) -> DataFrame:
-        """(u, v) of the pairs (a, b) that link."""
+    def near(self, pairs: DataFrame) -> DataFrame:
+        """Those of the pairs (a, b) whose sketches are not too far apart."""
         near = pairs.distinct()
         for end in ("a", "b"):
             near = near.join(self.reps.select(F.col("node").alias(end), F.col("sketch").alias(f"sketch_{end}"), F.col("n").alias(f"n_{end}")), end)
-        near = stored(near.where(_may_link("sketch_a", "sketch_b", "n_a", "n_b")).select("a", "b"), "near")
+        return stored(near.where(_may_link("sketch_a", "sketch_b", "n_a", "n_b")).select("a", "b"), "near")
+
+    def judged(self, near: DataFrame) -> DataFrame:
+        """(a, b, linked) of pairs (a, b), by their whole sets."""
         nodes = near.select(F.col("a").alias("node")).unionByName(near.select(F.col("b").alias("node"))).distinct()
         ids = self.reps.join(nodes, "node", "left_semi").select(F.col("rep").alias("rep_id"), F.col("node").alias("want"))
         # Bounded by the check; beyond it Spark joins by shuffling.
@@ -417,26 +421,46 @@ class _Verifier:
         sets = stored(sets.dropDuplicates(["node"]), "sets")
         both = near.join(sets.select(F.col("node").alias("a"), F.col("shingles").alias("x")), "a")
         both = both.join(sets.select(F.col("node").alias("b"), F.col("shingles").alias("y")), "b")
-        return stored(both.where(_linked("x", "y")).select(F.col("a").alias("u"), F.col("b").alias("v")), "linked")
-
-
-def _tiles(table: pa.Table) -> pa.Table:
-    """Pairs of a tile of stragglers and a tile of members of one hot block that may link and are not connected yet."""
-    side, asks = (table[c].to_numpy(zero_copy_only=False) for c in ("straggler", "asks"))
-    node, root, n = (table[c].to_numpy() for c in ("node", "root", "n"))
-    sketches = [np.frombuffer(x, np.uint64) for x in table["sketch"].to_pylist()]
-    width = np.array([len(x) for x in sketches])
-    # Members by the width of their sketches, folded to each width that is met.
-    kinds = [x for x in (np.flatnonzero(~side & (width == w)) for w in np.unique(width)) if len(x)]
-    flat = {(k, w): np.stack([_folded(sketches[j], w) for j in at]) for k, at in enumerate(kinds) for w in np.unique(width) if w <= width[at[0]]}
-    out = []
-    for i, (k, members) in ((i, x) for i in np.flatnonzero(side) for x in enumerate(kinds)):
-        size = min(width[i], width[members[0]])
-        far = np.bitwise_count(flat[k, size] ^ _folded(sketches[i], size)).sum(axis=1)
-        fit = members[(asks[members] | asks[i]) & (root[members] != root[i]) & (far <= (n[members] + n[i]) // 7) & (4 * np.minimum(n[members], n[i]) >= 3 * np.maximum(n[members], n[i]))]
-        out.append(np.stack([np.minimum(node[fit], node[i]), np.maximum(node[fit], node[i])], axis=1))
-    both = np.unique(np.concatenate(out), axis=0) if out else np.zeros((0, 2), np.int64)
-    return pa.table([pa.array(both[:, 0]), pa.array(both[:, 1])], names=["a", "b"])
+        return stored(both.select("a", "b", _linked("x", "y").alias("linked")), "judged")
+
+    def links(self, pairs: DataFrame) -> DataFrame:
+        """(u, v) of the pairs (a, b) that link."""
+        return self.judged(self.near(pairs)).where("linked").select(F.col("a").alias("u"), F.col("b").alias("v"))
+
+
+def _nearest(most: int):
+    """For each straggler of a tile its ``most`` nearest members that may link, are not connected with it yet and were not compared yet."""
+
+    def run(table: pa.Table) -> pa.Table:
+        side, asks = (table[c].to_numpy(zero_copy_only=False) for c in ("straggler", "asks"))
+        node, root, n = (table[c].to_numpy() for c in ("node", "root", "n"))
+        sketches = [np.frombuffer(x, np.uint64) for x in table["sketch"].to_pylist()]
+        width = np.array([len(x) for x in sketches])
+        # Members by the width of their sketches, folded to each width that is met.
+        kinds = [x for x in (np.flatnonzero(~side & (width == w)) for w in np.unique(width)) if len(x)]
+        flat = {(k, w): np.stack([_folded(sketches[j], w) for j in at]) for k, at in enumerate(kinds) for w in np.unique(width) if w <= width[at[0]]}
+        out = []
+        for i in np.flatnonzero(side):
+            found, distance = [], []
+            for k, members in enumerate(kinds):
+                size = min(width[i], width[members[0]])
+                may = (asks[members] | asks[i]) & (root[members] != root[i]) & (4 * np.minimum(n[members], n[i]) >= 3 * np.maximum(n[members], n[i]))
+                may = np.flatnonzero(may)
+                far = np.bitwise_count(flat[k, size][may] ^ _folded(sketches[i], size)).sum(axis=1)
+                fit = far <= (n[members[may]] + n[i]) // 7
+                found.append(node[members[may[fit]]])
+                distance.append(far[fit])
+            found, distance = np.concatenate(found), np.concatenate(distance)
+            tested = table["tested"][int(i)].as_py()
+            if tested and len(found):
+                new = ~np.isin(found, np.array(tested))
+                found, distance = found[new], distance[new]
+            found = found[np.lexsort((found, distance))[:most]]
+            out.append(np.stack([np.minimum(found, node[i]), np.maximum(found, node[i])], axis=1))
+        both = np.unique(np.concatenate(out), axis=0) if out else np.zeros((0, 2), np.int64)
+        return pa.table([pa.array(np.full(len(both), table["key"][0].as_py())), pa.array(both[:, 0]), pa.array(both[:, 1])], names=["key", "a", "b"])
+
+    return run
 
 
 def _hot_counts(met: DataFrame) -> DataFrame:
@@ -480,30 +504,59 @@ def _hot_members(met: DataFrame, hot: DataFrame, reps: DataFrame) -> DataFrame:
     return stored(every.join(asked, "key").where("n <= high AND 4 * n >= 3 * low").select("key", "node", "asks"), "members")
 
 
+def _straggling(members: DataFrame, roots: DataFrame) -> DataFrame:
+    """The members of blocks of several roots, with the block's most frequent root and in how many tiles its members, and those of other roots, go."""
+    rooted = stored(members.join(roots, "node", "left").select("key", "node", "asks", F.coalesce("root", "node").alias("root")), "rooted")
+    per = rooted.groupBy("key", "root").agg(F.count(F.lit(1)).alias("m"))
+    main = per.groupBy("key").agg(F.max_by("root", F.struct("m", "root")).alias("main"), F.sum("m").alias("all"), F.count(F.lit(1)).alias("roots"), F.max("m").alias("m"))
+    parts = main.where("roots > 1").select("key", "main", F.ceil(F.col("all") / TILE).alias("tiles"), F.ceil((F.col("all") - F.col("m")) / TILE).alias("loose_tiles"))
+    return rooted.join(small(parts), "key")
+
+
+def _candidates(rows: DataFrame, reps: DataFrame, tested: DataFrame | None, most: int) -> DataFrame:
+    """(key, a, b): the nearest partners of every member that is not of its block's most frequent root, from tiles against tiles of the block."""
+    rows = rows.join(reps.select("node", "n", "sketch"), "node")
+    none = F.lit(None).cast("array<long>")
+    spread = lambda n: F.sequence(F.lit(0).cast("long"), n - 1)
+    tile = rows.withColumn("t", F.pmod(F.xxhash64("node"), "tiles")).withColumn("s", F.explode(spread(F.col("loose_tiles")))).withColumn("straggler", F.lit(False)).withColumn("tested", none)
+    single = rows.where("root <> main").withColumn("s", F.pmod(F.xxhash64("node"), "loose_tiles")).withColumn("t", F.explode(spread(F.col("tiles")))).withColumn("straggler", F.lit(True))
+    if tested is None:
+        single = single.withColumn("tested", none)
+    else:  # no more than a member was compared with so far
+        single = single.join(tested.groupBy("node").agg(F.collect_set("other").alias("tested")), "node", "left")
+    tiles = tile.unionByName(single).select("key", "t", "s", "straggler", "asks", "node", "root", "n", "sketch", "tested")
+    return stored(tiles.groupBy("key", "t", "s").applyInArrow(_nearest(most), "key long, a long, b long"), "candidates")
+
+
 def _hot_links(met: DataFrame, hot: DataFrame, reps: DataFrame, verifier: _Verifier, links: DataFrame) -> DataFrame:
-    """Links that only hot blocks can show, added to what ``links`` connects."""
+    """Links that only hot blocks can show, added to what ``links`` connects.
+
+    All members are compared with a leader of their block. What is then not connected with most of a block goes through rounds: each such member
+    is compared with its few nearest ones that it is not connected with, what links is contracted, and those still apart go on with the next nearest, four times
+    as many, until nothing is left that may link. So a member that is connected soon costs a few comparisons, however large its group is.
+    """
     if hot.where("hot > slack").isEmpty():
         return links
     members = _hot_members(met, hot, reps)
     rank = F.struct(F.xxhash64("node").alias("h"), "node")
-    leaders = members.groupBy("key").agg(F.min(rank)["node"].alias("leader"))
-    pairs = members.join(leaders, "key").where("node <> leader")
+    leaders = members.groupBy("key").agg(F.min_by("node", rank).alias("leader"))
+    pairs = members.join(small(leaders), "key").where("node <> leader")
     pairs = pairs.select(F.least("node", "leader").alias("a"), F.greatest("node", "leader").alias("b"))
-    roots = stored(components(links.unionByName(verifier.links(pairs))), "roots")
-    links = roots.where("node <> root").select(F.col("root").alias("u"), F.col("node").alias("v"))
-    rooted = stored(members.join(roots, "node", "left").select("key", "node", "asks", F.coalesce("root", "node").alias("root")), "rooted")
-    per = rooted.groupBy("key", "root").agg(F.count(F.lit(1)).alias("m"))
-    main = per.groupBy("key").agg(F.max(F.struct("m", "root"))["root"].alias("main"), F.sum("m").alias("all"), F.count(F.lit(1)).alias("roots"), F.max("m").alias("m"))
-    parts = stored(main.where("roots > 1").select("key", "main", F.ceil(F.col("all") / TILE).alias("tiles"), F.ceil((F.col("all") - F.col("m")) / TILE).alias("loose_tiles")), "parts")
-    if parts.isEmpty():
-        return links
-    rows = rooted.join(parts, "key").join(reps.select("node", "n", "sketch"), "node")
-    spread = lambda n: F.sequence(F.lit(0).cast("long"), n - 1)
-    tile = rows.withColumn("t", F.pmod(F.xxhash64("node"), "tiles")).withColumn("s", F.explode(spread(F.col("loose_tiles")))).withColumn("straggler", F.lit(False))
-    single = rows.where("root <> main").withColumn("s", F.pmod(F.xxhash64("node"), "loose_tiles")).withColumn("t", F.explode(spread(F.col("tiles")))).withColumn("straggler", F.lit(True))
-    tiles = tile.unionByName(single).select("key", "t", "s", "straggler", "asks", "node", "root", "n", "sketch")
-    pairs = tiles.groupBy("key", "t", "s").applyInArrow(_tiles, "a long, b long")
-    return stored(links.unionByName(verifier.links(pairs)).distinct(), "linked")
+    links, tested, most = links.unionByName(verifier.links(pairs)), None, NEAREST
+    while True:
+        roots = stored(components(links), "roots")
+        links = roots.where("node <> root").select(F.col("root").alias("u"), F.col("node").alias("v"))
+        found = _candidates(_straggling(members, roots), reps, tested, most)
+        if found.isEmpty():
+            return links
+        judged = verifier.judged(found.select("a", "b").distinct())
+        links = links.unionByName(judged.where("linked").select(F.col("a").alias("u"), F.col("b").alias("v")))
+        apart = judged.where("NOT linked")
+        apart = apart.select(F.col("a").alias("node"), F.col("b").alias("other")).unionByName(apart.select(F.col("b").alias("node"), F.col("a").alias("other")))
+        tested = apart if tested is None else tested.unionByName(apart)
+        # A block without a candidate has none later either: roots only grow together.
+        members = members.join(small(found.select("key").distinct()), "key", "left_semi")
+        most *= 4
 
 
 # --- the join ---------------------------------------------------------------------------------
