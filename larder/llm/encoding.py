@@ -21,7 +21,7 @@ from larder.llm import arrays as A
 # A pre-tokenizer that lower-cases, drops white space, and cuts letters, digits and symbols apart.
 _STEPS = ["NFC", "Replace", "Lowercase"]
 _CUT = "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"
-_PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,;:!?%$#*&]*)")
+_PLAIN = re.compile(r"(\n?)( ?[A-Za-zÀ-ÖØ-öø-ÿ]+)([.,;:!?%$#*&]*)")
 
 TABLE_BYTES = 96 << 20
 NOT_BREAK = (A.BYTE != 0x20) & (A.BYTE != 0x0A)
@@ -32,6 +32,17 @@ _DOUBTFUL = np.isin(A.BYTE, [0x1C, 0x1D, 0x1E, 0x1F, *range(0x80, 0x8B), 0x9F, 0
 _DOUBTFUL_BEFORE = np.isin(A.BYTE, [0xC2, 0x9A, 0x80, 0x81])
 
 
+#: The first bytes of eight.
+_FIRST = np.array([(1 << 8 * k) - 1 for k in range(9)], np.uint64)
+
+
+def _heads(data: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The first 16 bytes of each unit as two numbers, zero beyond its end."""
+    padded = np.concatenate([data, np.zeros(16, np.uint8)])
+    eight = np.ndarray(len(data) + 9, "<u8", padded.data, strides=(1,))
+    return eight[starts] & _FIRST[np.minimum(sizes, 8)], eight[starts + np.minimum(sizes, 8)] & _FIRST[np.clip(sizes - 8, 0, 8)]
+
+
 def _ranges(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     """The numbers of all ranges, one after another."""
     before = np.cumsum(lengths) - lengths
@@ -63,12 +74,13 @@ class Table:
 
     def clear(self) -> None:
         self.slots = np.zeros(1 << 12, np.int32)
-        self.hash, self.at, self.size = _Pool("<u8"), _Pool("<i8"), _Pool("<i8")
+        self.hash, self.low, self.high = _Pool("<u8"), _Pool("<u8"), _Pool("<u8")
+        self.at, self.size = _Pool("<i8"), _Pool("<i8")
         self.id_at, self.n_ids = _Pool("<i8"), _Pool("<i8")
         self.bytes, self.ids = _Pool("<u1"), _Pool("<u4")
 
     def full(self) -> bool:
-        return self.bytes.used + 4 * self.ids.used + 40 * self.hash.used + 4 * len(self.slots) > self.budget
+        return self.bytes.used + 4 * self.ids.used + 56 * self.hash.used + 4 * len(self.slots) > self.budget
 
     def find(self, hashes: np.ndarray) -> np.ndarray:
         """Entry of each hash, -1 where there is none."""
@@ -97,6 +109,9 @@ class Table:
     def add(self, hashes: np.ndarray | None, units: list[bytes], ids: list[np.ndarray]) -> int:
         """Append entries; without hashes they are not found again. The first one's number."""
         first = self.hash.used
+        heads = np.frombuffer(b"".join(u[:16].ljust(16, b"\0") for u in units), "<u8").reshape(-1, 2)
+        self.low.add(heads[:, 0])
+        self.high.add(heads[:, 1])
         for pool, count, values, start, length in (
             (self.bytes, len(units), [np.frombuffer(u, np.uint8) for u in units], self.at, self.size),
             (self.ids, len(ids), ids, self.id_at, self.n_ids),
@@ -114,14 +129,14 @@ class Table:
                 self._place(first)
         return first
 
-    def same(self, entry: np.ndarray, data: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
-        """Does each entry hold the bytes of its unit?"""
-        out = self.size.data[entry] == sizes
-        full = np.flatnonzero(out & (sizes > 0))
-        n = sizes[full]
-        if len(full):
-            equal = self.bytes.data[_ranges(self.at.data[entry[full]], n)] == data[_ranges(starts[full], n)]
-            out[full] = np.logical_and.reduceat(equal, np.cumsum(n) - n)
+    def same(self, entry: np.ndarray, data: np.ndarray, starts: np.ndarray, sizes: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.ndarray:
+        """Does each entry hold the bytes of its unit? Up to 16 of them are in two numbers."""
+        out = (self.size.data[entry] == sizes) & (self.low.data[entry] == low) & (self.high.data[entry] == high)
+        long = np.flatnonzero(out & (sizes > 16))
+        n = sizes[long]
+        if len(long):
+            equal = self.bytes.data[_ranges(self.at.data[entry[long]], n)] == data[_ranges(starts[long], n)]
+            out[long] = np.logical_and.reduceat(equal, np.cumsum(n) - n)
         return out
 
 
@@ -142,33 +157,33 @@ class Encoder:
         self.by_word = steps == _STEPS and cut[0].get("pattern") == {"Regex": _CUT} and [x.get("type") for x in cut] == ["Split", "ByteLevel"]
         self.by_space = made.get("normalizer") is None and before.get("type") == "ByteLevel" and before.get("use_regex") and not before.get("add_prefix_space")
         self.table = Table(budget)
-        if self.by_word:
-            level = ByteLevel(add_prefix_space=False, use_regex=False)
-            self.model = self.tokenizer.model
-            self.marks: dict[str, list[int]] = {}
-            self.spelled = str.maketrans({c: level.pre_tokenize_str(c)[0][0] for c in map(chr, range(0xC0, 0x100))})
+        level = ByteLevel(add_prefix_space=False, use_regex=False)
+        self.model = self.tokenizer.model
+        self.marks: dict[str, list[int]] = {}
+        self.spelled = str.maketrans({c: level.pre_tokenize_str(c)[0][0] for c in [" ", *map(chr, range(0xC0, 0x100))]})
 
     def _whole(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
 
-    def _word(self, word: str) -> list[int]:
-        """A word of Latin letters, perhaps with punctuation behind, needs none of the normalizer's work."""
-        m = _PLAIN.fullmatch(word)
-        if not m:
-            return self._whole([word])[0]
-        low = m[1].lower()
-        ids = [x.id for x in self.model.tokenize(low if low.isascii() else low.translate(self.spelled))]
-        if not m[2]:
-            return ids
-        if m[2] not in self.marks:
+    def _mark(self, text: str) -> list[int]:
+        if text not in self.marks:
             if len(self.marks) > 10_000:
                 self.marks.clear()
-            self.marks[m[2]] = self._whole([m[2]])[0]
-        return ids + self.marks[m[2]]
+            self.marks[text] = self._whole([text])[0]
+        return self.marks[text]
+
+    def _unit(self, unit: str) -> list[int]:
+        """A word of Latin letters, perhaps with a line feed before and punctuation behind, needs the model alone for its letters."""
+        m = _PLAIN.fullmatch(unit)
+        if not m:
+            return self._whole([unit])[0]
+        word = m[2].lower() if self.by_word else m[2]
+        ids = [x.id for x in self.model.tokenize(word if word.isascii() and word[0] != " " else word.translate(self.spelled))]
+        return (self._mark(m[1]) if m[1] else []) + ids + (self._mark(m[3]) if m[3] else [])
 
     def _encode(self, units: list[bytes]) -> list[np.ndarray]:
         texts = [u.decode() for u in units]
-        found = map(self._word, texts) if self.by_word else self._whole(texts)
+        found = map(self._unit, texts) if self.by_word or self.by_space else self._whole(texts)
         return [np.array(x, np.uint32) for x in found]
 
     def _units(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -194,14 +209,18 @@ class Encoder:
         if not (self.by_word or self.by_space):
             units = cut(np.arange(len(starts)))
             return np.arange(len(starts)) + (self.table.add(None, units, self._encode(units)) if units else 0)
-        hashes = A.span_hashes(data, starts, ends)
+        sizes = ends - starts
+        low, high = _heads(data, starts, sizes)
+        hashes = A.mix(A.mix(low, 21) + A.mix(high, 22) + sizes.astype(np.uint64))
+        long = np.flatnonzero(sizes > 16)
+        hashes[long] = A.span_hashes(data, starts[long], ends[long])
         entry = self.table.find(hashes)
         new = np.flatnonzero(entry < 0)
         if len(new):
             fresh, at, back = np.unique(hashes[new], return_index=True, return_inverse=True)
             units = cut(new[at])
             entry[new] = self.table.add(fresh, units, self._encode(units)) + back
-        odd = np.flatnonzero(~self.table.same(entry, data, starts, ends - starts))
+        odd = np.flatnonzero(~self.table.same(entry, data, starts, sizes, low, high))
         if len(odd):  # two units of one hash
             units = cut(odd)
             entry[odd] = self.table.add(None, units, self._encode(units)) + np.arange(len(odd))
