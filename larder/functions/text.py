@@ -89,20 +89,52 @@ def _ranges(chars, gap: int = 16) -> list[tuple[int, int]]:
     return found
 
 
+# Hangul syllables: first letters, vowels and last letters follow from the code by division.
+_SYLLABLES, _FIRSTS, _VOWELS, _LASTS = 0xAC00, 0x1100, 0x1161, 0x11A7
+
+
+def _hangul(code: Column) -> Column:
+    """The letters of a Hangul syllable."""
+
+    def letter(first: int, n: int, place: Column) -> Column:
+        return F.substring(F.lit("".join(map(chr, range(first, first + n)))), place + 1, F.lit(1))
+
+    place = code - _SYLLABLES
+    div = lambda x, y: F.call_function("div", x, F.lit(y)).cast("int")
+    last = place % 28
+    ends = F.when(last > 0, letter(_LASTS, 28, last)).otherwise("")
+    return F.concat(letter(_FIRSTS, 19, div(place, 588)), letter(_VOWELS, 21, div(place % 588, 28)), ends)
+
+
+@cache
+def _expansions() -> tuple[list[int], str]:
+    """Pages of 256 characters that hold expanding ones, and what every character of them becomes ("" if itself)."""
+    several = {ord(c): plain for c, plain in _fold_tables()[2].items() if not _SYLLABLES <= ord(c) < _SYLLABLES + 11_172}
+    pages = sorted({code >> 8 for code in several})
+    return pages, "\x01".join(several.get((page << 8) + i, "") for page in pages for i in range(256))
+
+
+def _expanded(char: Column) -> Column:
+    """What a character becomes: found by its place in a table, not by a search for it."""
+    pages, table = _expansions()
+    code = F.ascii(char)
+    page = F.array_position(F.array(*map(F.lit, pages)), F.shiftright(code, 8)).cast("int")
+    listed = F.get(F.split(F.lit(table), "\x01"), (page - 1) * 256 + code % 256)
+    return (
+        F.when(code < 0x80, char)
+        .when(code.between(_SYLLABLES, _SYLLABLES + 11_171), _hangul(code))
+        .when(page > 0, F.coalesce(F.nullif(listed, F.lit("")), char))
+        .otherwise(char)
+    )
+
+
 def fold_word(word: Column) -> Column:
     """Grouping key of a word: no case, no accents, no plural ending."""
     before, after, several = _fold_tables()
     low = F.replace(F.lower(word), F.lit("œ"), F.lit("oe"))
-    # Expanding characters (ligatures, fractions) are rare: only words near one pay.
+    # Expanding characters (ligatures, fractions, Hangul): only words near one pay.
     expanding = "[" + "".join(f"\\x{{{a:x}}}-\\x{{{b:x}}}" for a, b in _ranges(several)) + "]"
-    table = F.str_to_map(
-        F.lit("\x01".join(f"{c}\x02{plain}" for c, plain in several.items())),
-        F.lit("\x01"),
-        F.lit("\x02"),
-    )
-    spread = F.array_join(
-        F.transform(F.split(low, ""), lambda c: F.coalesce(F.try_element_at(table, c), c)), ""
-    )
+    spread = F.array_join(F.transform(F.split(low, ""), _expanded), "")
     plain = F.when(
         low.rlike(r"[^\x00-\x7f]"),
         F.translate(F.when(low.rlike(expanding), spread).otherwise(low), before, after),

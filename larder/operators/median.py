@@ -1,20 +1,10 @@
 """Exact median per group that never brings an unbounded group into one task."""
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-# Rows up to which a group's median is one aggregate buffer (100 MB if all values differ).
-LARGE = 1_000_000
-# Buckets per factor e of the value. A large group's histogram then has at most a few million
-# buckets for any data, and prices to the cent share a bucket with few others.
-RESOLUTION = 4096
-
-
-def large_groups(df: DataFrame, keys: list[str], large: int = LARGE) -> DataFrame:
-    """(keys...) of groups with more than ``large`` rows: at most one per ``large`` rows of ``df``."""
-    sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
-    return sizes.where(F.col("_rows") > large).select(*keys)
+from larder.session import written
 
 
 def exact_median(
@@ -23,83 +13,49 @@ def exact_median(
     value: str,
     out: str,
     size: str | None = None,
-    big: DataFrame | None = None,
-    large: int = LARGE,
+    weight: str | None = None,
 ) -> DataFrame:
     """(keys..., out): median of the non-null values, mean of the two middles if even.
 
     ``value`` must be a finite double. Groups without a value have no row, unless ``size`` names
-    a column for the number of rows, nulls included. Groups of up to ``large`` rows go through
-    the built-in aggregate. The others are told apart before any row is shuffled to its group
-    and go through a histogram; without such groups that branch is empty and adaptive
-    execution drops it. ``big`` passes in known large groups, by some of the keys.
-    """
-    big = large_groups(df, keys, large) if big is None else big
-    same = [F.col(k).eqNullSafe(F.col(f"_big_{k}")) for k in big.columns]
-    # Bounded by the number of rows over ``large``, hence safe to broadcast.
-    big = F.broadcast(big.select(*[F.col(k).alias(f"_big_{k}") for k in big.columns]))
-    rows = df.select(*keys, value)
-    if size is None:
-        rows = rows.where(F.col(value).isNotNull())
-    counted = [F.count(F.lit(1)).alias(size)] if size else []
-    small = rows.join(big, same, "left_anti").groupBy(*keys)
-    return small.agg(*counted, F.median(value).alias(out)).unionByName(
-        _by_histogram(rows.join(big, same, "left_semi"), keys, value, out, size)
-    )
+    a column for the number of rows, nulls included. ``weight`` names a column that says how
+    often a row counts.
 
-
-def _by_histogram(
-    rows: DataFrame, keys: list[str], value: str, out: str, size: str | None
-) -> DataFrame:
-    """Equal values combine before the shuffle. A histogram over monotone value buckets tells
-    which bucket holds the middle; only the values of that bucket are then ordered. A group
-    with a third of all rows is spread by its values, and no task orders more than one bucket.
+    A distributed selection. Equal values of a group combine before the shuffle. The counts
+    are then dealt to ranges of (keys, value), so a group of any size is spread over as many
+    ranges as its values need, however close they lie. Totals per group and range tell
+    which range holds the middle; only that one is searched. No task orders more than a range.
     """
-    every = rows.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("n"))
-    counts = every.where(F.col(value).isNotNull()).withColumn("_bucket", _bucket(F.col(value)))
-    histogram = counts.groupBy(*keys, "_bucket").agg(F.sum("n").alias("n"))
+    times = F.sum(weight) if weight else F.count(F.lit(1))
+    rows = df if size else df.where(F.col(value).isNotNull())
+    counts = rows.groupBy(*keys, value).agg(times.alias("_n"))
+    ranged = counts.repartitionByRange(*keys, value).withColumn("_range", F.spark_partition_id())
+    # Written, so that totals and values are of the same ranges whatever is run again.
+    placed = written(ranged, "ranges").withColumn("_known", F.when(F.col(value).isNotNull(), F.col("_n")).otherwise(0))
+    totals = placed.groupBy(*keys, "_range").agg(F.sum("_n").alias("_all"), F.sum("_known").alias("_in"))
     group = W.partitionBy(*keys)
-    running = group.orderBy("_bucket").rowsBetween(W.unboundedPreceding, W.currentRow)
-    total = F.sum("n").over(group)
-    middle = (
-        histogram.withColumn("_upto", F.sum("n").over(running))
-        .withColumn("_low", F.floor((total + 1) / 2))
-        .withColumn("_high", F.floor(total / 2) + 1)
-        .where(_holds_middle())
-        .withColumn("_before", F.col("_upto") - F.col("n"))
-    )
-    inside = _match(
-        counts, middle.select(*keys, "_bucket", "_before", "_low", "_high"), [*keys, "_bucket"]
-    )
-    running = (
-        W.partitionBy(*keys, "_bucket")
-        .orderBy(value)
-        .rowsBetween(W.unboundedPreceding, W.currentRow)
-    )
-    found = (
-        inside.withColumn("_upto", F.col("_before") + F.sum("n").over(running))
-        .where(_holds_middle())
-        .groupBy(*keys)
-        .agg(((F.min(value) + F.max(value)) / 2).alias(out))
-    )
-    if size is None:
-        return found
-    return _match(every.groupBy(*keys).agg(F.sum("n").alias(size)), found, keys, "left")
-
-
-def _match(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
+    upto = F.sum("_in").over(group.orderBy("_range").rowsBetween(W.unboundedPreceding, W.currentRow))
+    total = F.sum("_in").over(group)
+    middle = totals.select(
+        *keys, "_range", "_in", upto.alias("_upto"), F.sum("_all").over(group).alias("_size"),
+        F.floor((total + 1) / 2).alias("_low"), (F.floor(total / 2) + 1).alias("_high"),
+    )
+    middle = middle.where(_holds_middle("_in")).withColumn("_before", F.col("_upto") - F.col("_in")).drop("_in", "_upto")
+    inside = _match(placed, middle, [*keys, "_range"])
+    running = W.partitionBy(*keys, "_range").orderBy(value).rowsBetween(W.unboundedPreceding, W.currentRow)
+    searched = inside.withColumn("_upto", F.col("_before") + F.sum("_known").over(running))
+    hit = F.when(F.col(value).isNotNull() & _holds_middle("_known"), F.col(value))
+    found = searched.groupBy(*keys).agg(((F.min(hit) + F.max(hit)) / 2).alias(out), F.max("_size").alias(size or "_size"))
+    return found.select(*keys, size, out) if size else found.drop("_size")
+
+
+def _match(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
     """Join on keys that may be null, keeping the left side's."""
     renamed = right.withColumnsRenamed({k: f"_of_{k}" for k in keys})
     same = [F.col(k).eqNullSafe(F.col(f"_of_{k}")) for k in keys]
-    return left.join(renamed, same, how).drop(*[f"_of_{k}" for k in keys])
-
-
-def _bucket(value: Column) -> Column:
-    """Whole number that never falls while the value rises."""
-    step = F.floor(F.log1p(F.abs(value)) * RESOLUTION)
-    return F.when(value < 0, -step).otherwise(step)
+    return left.join(renamed, same).drop(*[f"_of_{k}" for k in keys])
 
 
-def _holds_middle() -> Column:
-    before = F.col("_upto") - F.col("n")
-    return (before < F.col("_high")) & (F.col("_upto") >= F.col("_low"))
+def _holds_middle(n: str):
+    """Is one of the two middles among the ``n`` places that end at ``_upto``?"""
+    return (F.col("_upto") - F.col(n) < F.col("_high")) & (F.col("_upto") >= F.col("_low"))

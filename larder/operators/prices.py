@@ -66,14 +66,31 @@ def price_counters(records: DataFrame) -> DataFrame:
     ).withColumn("skipped_no_price", F.col("entries") - F.col("price_rows"))
 
 
-def current_prices(rows: DataFrame) -> DataFrame:
-    """Prices of each product's last line that has any.
+def line_prices(stores: Column) -> Column:
+    """All prices of a line in order, those of entries without a store id too."""
+    found = F.flatten(F.filter(F.transform(stores, offers), lambda p: p.isNotNull()))
+    return F.array_sort(F.transform(F.filter(found, lambda p: p["price"].isNotNull()), lambda p: p["price"].cast("double")))
 
-    ``rows`` are flattened prices with their position. They are read twice, so hand in a
-    table or written rows rather than lines still to be parsed.
+
+def middle(values: Column) -> Column:
+    """Median of a sorted list, null if it is empty."""
+    n = F.size(values)
+    low, high = F.call_function("div", n - 1, F.lit(2)).cast("int"), F.call_function("div", n, F.lit(2)).cast("int")
+    return F.when(n > 0, (F.get(values, low) + F.get(values, high)) / 2)
+
+
+def latest_reference_prices(records: DataFrame) -> DataFrame:
+    """(product_id, price_ref): median price, to the cent, of each product's last line that has any.
+
+    A line's median needs the line alone, so one number per line is left, and one shuffle finds
+    the last one. ``position`` should be a number: then the aggregate's buffer is of fixed width,
+    and lines of a hot product combine in a hash table before the shuffle.
     """
-    last = rows.groupBy("product_id").agg(F.max("position").alias("position"))
-    return rows.join(last, ["product_id", "position"], "left_semi")
+    lines = records.select("product_id", "position", line_prices(F.col("stores")).alias("values"))
+    # A generator evaluates its input once; two uses of the list would sort it twice.
+    lines = lines.select("product_id", "position", F.explode(F.array(middle(F.col("values")))).alias("middle"))
+    last = lines.where("middle is not null").groupBy("product_id").agg(F.max_by("middle", "position").alias("price_ref"))
+    return last.withColumn("price_ref", round_cents(F.col("price_ref")))
 
 
 def reference_prices(prices: DataFrame, key: str = "product_id", price: str = "price") -> DataFrame:

@@ -5,21 +5,22 @@ from pyspark.sql import functions as F
 
 from larder import vocab
 from larder.operators.families import rank_families, with_family
-from larder.operators.median import LARGE, exact_median, large_groups
+from larder.operators.median import exact_median
 from larder.operators.merge import update_matched
+from larder.session import written
 
 CELL = ["store_id", "menu_step"]
 
 
-def listed(products: DataFrame, families: bool = False) -> DataFrame:
-    """Active products with a step, narrowed to what the summary needs.
-
-    The family is worked out here, once per product instead of once per price row.
-    """
+def listed(products: DataFrame, *fields: str) -> DataFrame:
+    """Active products with a step, narrowed to what the summary needs."""
     rows = products.where("status = 'active' and menu_step is not null")
-    if families:
-        return with_family(rows.select("product_id", "menu_step", "name"), "name").drop("name")
-    return rows.select("product_id", "menu_step", "persons", "dish_role")
+    return rows.select("product_id", "menu_step", *fields)
+
+
+def listed_families(products: DataFrame, *fields: str) -> DataFrame:
+    """The family is worked out here, once per product instead of once per price row."""
+    return with_family(listed(products, "name", *fields), "name").drop("name")
 
 
 def price_per_person(price: Column, persons: Column, step: Column, role: Column) -> Column:
@@ -28,24 +29,21 @@ def price_per_person(price: Column, persons: Column, step: Column, role: Column)
     return F.when((persons > 0) & (price > 0) & ~side, price / persons)
 
 
-def step_cells(prices: DataFrame, products: DataFrame, large: int = LARGE) -> DataFrame:
+def _per_person() -> Column:
+    return price_per_person(F.col("price"), F.col("persons"), F.col("menu_step"), F.col("dish_role")).alias("ppp")
+
+
+def step_cells(prices: DataFrame, products: DataFrame) -> DataFrame:
     """(store_id, menu_step, n, typical_cost): product count and median price per guest."""
-    rows = prices.join(listed(products), "product_id").select(
-        *CELL,
-        price_per_person(
-            F.col("price"), F.col("persons"), F.col("menu_step"), F.col("dish_role")
-        ).alias("ppp"),
-    )
-    # Told from the prices alone: a store with few prices has no large step.
-    big = large_groups(prices, ["store_id"], large)
-    return exact_median(rows, CELL, "ppp", "typical_cost", size="n", big=big)
+    rows = prices.join(listed(products, "persons", "dish_role"), "product_id").select(*CELL, _per_person())
+    return exact_median(rows, CELL, "ppp", "typical_cost", size="n")
 
 
 def step_families(
     prices: DataFrame, products: DataFrame, limit: int = vocab.MAX_FAMILIES
 ) -> DataFrame:
     """(store_id, menu_step, rank, label, n): the families each store carries per step."""
-    rows = prices.select("store_id", "product_id").join(listed(products, families=True), "product_id")
+    rows = prices.select("store_id", "product_id").join(listed_families(products), "product_id")
     return rank_families(rows, CELL, limit)
 
 
@@ -80,9 +78,23 @@ def roll_up(cells: DataFrame, families: DataFrame) -> DataFrame:
     )
 
 
-def build_store_catalogue(prices: DataFrame, products: DataFrame) -> DataFrame:
-    """Summary of every store that sells at least one active product with a step."""
-    return roll_up(step_cells(prices, products), step_families(prices, products))
+def sold(prices: DataFrame, products: DataFrame) -> DataFrame:
+    """(store_id, menu_step, key, word, ppp, times): what medians and families both count.
+
+    Prices meet products once; equal rows combine before the shuffle.
+    """
+    rows = prices.join(listed_families(products, "persons", "dish_role"), "product_id")
+    return rows.select(*CELL, "key", "word", _per_person()).groupBy(*CELL, "key", "word", "ppp").agg(F.count(F.lit(1)).alias("times"))
+
+
+def build_store_catalogue(prices: DataFrame, products: DataFrame, limit: int = vocab.MAX_FAMILIES) -> DataFrame:
+    """Summary of every store that sells at least one active product with a step.
+
+    One pass over the prices; what it leaves is written, and read by both halves.
+    """
+    rows = written(sold(prices, products), "sold")
+    cells = exact_median(rows, CELL, "ppp", "typical_cost", size="n", weight="times")
+    return roll_up(cells, rank_families(rows, CELL, limit, n="times"))
 
 
 def apply_catalogue(stores: DataFrame, summary: DataFrame) -> DataFrame:

@@ -180,8 +180,9 @@ ORACLE: dict[str, str] = {
             row_number() over (partition by l_partkey, l_suppkey
                 order by l_shipdate desc, l_orderkey desc, l_linenumber desc, l_extendedprice desc) as r from lineitem)
         select product_id, store_id, price from r where r = 1""",
-    "soft_delete": """with t as (select c_custkey, case when c_acctbal >= 0 then 'active' when c_acctbal < -500 then 'inactive' end as status,
-            exists (select 1 from orders where o_custkey = c_custkey and o_orderdate >= timestamp '2001-03-01') as seen from customer)
+    "soft_delete": """with rows as (select c_custkey, c_acctbal as amount from customer union all select -s_suppkey, s_acctbal - 4000 from supplier),
+        t as (select c_custkey, case when amount >= 0 then 'active' when amount < -500 then 'inactive' end as status,
+            exists (select 1 from orders where o_custkey = c_custkey) as seen from rows)
         select c_custkey, case when seen then status else 'inactive' end as status,
             not seen and status is distinct from 'inactive' as removed from t""",
     "update_matched": """select c_custkey, coalesce(spent, c_acctbal) as amount from customer
@@ -196,8 +197,8 @@ ORACLE: dict[str, str] = {
         cast(case when p_type = 'PROMO' and p_size * 10 >= 200 then p_size * 10 end as bigint) as volume_ml from part""",
     "cents": f"""with t as (select l_orderkey, l_linenumber, l_partkey, (l_extendedprice + l_quantity / 200) / 8 as v from lineitem)
         select l_orderkey, l_linenumber, l_partkey, {_cents('v')} as v from t""",
-    "dietary_tags": """select p_partkey as product_id, case when p_size < 10 then 'sans viande' when p_size < 20 then 'sans porc,végétarien'
-        when p_size < 30 then '' when p_size < 40 then 'végétarien,sans poisson' else '' end as tags from part""",
+    "dietary_tags": """select p_partkey as product_id, case when p_size < 10 then 'sans viande' when p_size < 20 then 'sans poisson,végétarien'
+        when p_size < 30 then '' when p_size < 40 then 'sans porc' else '' end as tags from part""",
     "keyword_recommendable": """select p_partkey as product_id, case when p_brand = 'Brand#3' then true
         when p_size < 10 and not (p_size > 4) then false
         when p_type in ('SMALL', 'LARGE', 'PROMO') then false else true end as recommendable from part""",
@@ -253,18 +254,20 @@ ORACLE: dict[str, str] = {
             p_size || '=' || p_type || ',x=' || p_brand as categories,
             cast(case when p_type = 'LARGE' then 3 end as bigint) as n_pieces,
             cast(case when p_type = 'MEDIUM' then 2 end as bigint) as n_groups,
-            cast(length('{{"product_id":"","sku":"S","name":"","status":"","type_id":"","nb_portion":,"weight":".0000","type_envie":,"delai_prepa":,"image":"","suppliers_department":"","categories":[{{"category_id":,"category_name":""}},{{"category_id":"x","category_name":""}}],"ingredients":"&lt;b&gt;&lt;/b&gt;&amp;amp; sel"}}')
-              + 2 * length(cast(p_partkey as varchar)) + length(name) + case when p_brand = 'Brand#25' then 9 else 6 end
-              + case when p_size < 6 then 8 else 6 end
-              + case when p_size > 42 then 4 when p_size > 20 then length(cast(p_size as varchar)) else length(cast(p_size as varchar)) + 7 end
-              + length(cast(p_size * 10 as varchar))
-              + case when p_size < 10 then 11 when p_size < 25 then length('["froid"," Végétarien ","SANS PORC","sans porc"]') when p_size < 40 then 2 else 4 end
-              + 3 + case when p_size < 30 then length('//p/.jpg') + length(cast(p_partkey as varchar)) else 0 end
-              + 2 * length(p_brand) + length(cast(p_size as varchar)) + length(p_type) + length(p_name)
-              + case when p_type = 'LARGE' then length(',"composition":{{"title":"T","pieces":["",{{"name":"","qty":"","image":"/i.png"}},{{"qty":0}},7]}}') + length(p_name) + length(p_brand) + length(cast(p_size as varchar)) else 0 end
-              + case when p_type = 'MEDIUM' then length(',"composition_plateau":{{"title":"C","qty":"","groups":[{{"name":"G","pieces":[{{"code":"0-0","name":"","price":".5"}},{{"code":"0-1","disabled":" ON "}},9]}},{{"name":"E","pieces":[{{"code":"1-0","disabled":"on"}}]}},{{"name":"H","pieces":[{{"code":"2-0","name":"","price":0,"ingredients":""}}]}},"x"]}}')
-                  + 2 * length(cast(p_size as varchar)) + length(p_name) + length(p_brand) + case when p_size < 25 then 4 else 0 end else 0 end
-            as bigint) as raw_chars
+            concat('{{"product_id":"', p_partkey, '","sku":"S', p_partkey, '","name":"', name, '","status":"',
+                case when p_brand = 'Brand#25' then 'Désactivé' else 'Activé' end, '","type_id":"', case when p_size < 6 then ' Bundle ' else 'simple' end,
+                '","nb_portion":', case when p_size > 42 then 'null' when p_size > 20 then cast(p_size as varchar) else concat('"', p_size, '.0000"') end,
+                ',"weight":"', p_size * 10, '.0000","type_envie":', case when p_size < 10 then '"Sans Porc"'
+                    when p_size < 25 then '["froid"," Végétarien ","SANS PORC","sans porc"]' when p_size < 40 then '[]' else 'null' end,
+                ',"delai_prepa":', case when p_size < 25 then '"2"' else '3.0' end,
+                ',"image":"', case when p_size < 30 then concat('//p/', p_partkey, '.jpg') else '' end, '","suppliers_department":"', p_brand,
+                '","categories":[{{"category_id":', p_size, ',"category_name":"', p_type, '"}},{{"category_id":"x","category_name":"', p_brand, '"}}]',
+                ',"ingredients":"&lt;b&gt;', p_name, '&lt;/b&gt;&amp;amp; sel"',
+                case when p_type = 'LARGE' then concat(',"composition":{{"title":"T","pieces":["', p_name, '",{{"name":"', p_brand, '","qty":"', p_size,
+                    '","image":"/i.png"}},{{"qty":0}},7]}}') else '' end,
+                case when p_type = 'MEDIUM' then concat(',"composition_plateau":{{"title":"C","qty":"', p_size, '","groups":[{{"name":"G","pieces":[{{"code":"0-0","name":"',
+                    p_name, '","price":"', p_size, '.5"}},{{"code":"0-1","disabled":" ON "}},9]}},{{"name":"E","pieces":[{{"code":"1-0","disabled":"on"}}]}},{{"name":"H","pieces":[{{"code":"2-0","name":"',
+                    p_brand, '","price":0,"ingredients":"', case when p_size < 25 then 'lait' else '' end, '"}}]}},"x"]}}') else '' end, '}}') as raw
         from t""",
     "store_document": """with t as (select *, s_acctbal / 40 as x, cast(s_nationkey * 4 - 10 as double) as y from supplier)
         select s_suppkey as store_id, s_name as name, cast(null as varchar) as code, 'N' || s_nationkey as city,
@@ -358,7 +361,9 @@ ORACLE: dict[str, str] = {
         select o_orderkey, o_custkey, concat('catalogue_products_', month, '-01.jsonl', case when packed then '.gz' else '' end) as file
         from t, best where month = b.m and packed = b.p""",
     "vector_records": """select cast(vec_id as varchar) as id, case when quality = 1 then 'Plats' else '' end as menu_step,
-        case when label > 3 then 'active' else 'inactive' end as status, cast(len(embedding) as bigint) as width, cast(embedding[1] as double) as first
+        case when label > 3 then 'active' else 'inactive' end as status, cast(len(embedding) as bigint) as width,
+        cast(list_sum(list_transform(embedding, lambda v: cast(round(cast(v as double) * 1000000) as bigint))) as bigint) as total,
+        cast(list_sum(list_transform(embedding, lambda v, i: i * cast(round(cast(v as double) * 1000000) as bigint))) as bigint) as weighted
         from embeddings left join labels on doc_id = vec_id where toxic is distinct from 1""",
     "embed_names": f"""with {_PRODUCTS} select cast(product_id as varchar) as id, menu_step, status, cast(length(name) as double) as chars,
         cast(length(name) - length(replace(name, ' ', '')) + 1 as double) as words,

@@ -124,9 +124,10 @@ def price_ref(spark, sf):
 
 @query
 def price_index(spark, sf):
-    records = R.read_price_records(inputs.price_lines(spark, sf))
-    rows = written(R.flatten_prices(records, need_store=False), "price-rows")
-    return R.reference_prices(R.current_prices(rows))
+    lines = inputs.price_lines(spark, sf)
+    day = F.unix_seconds(F.col("position.day").cast("timestamp")).cast("decimal(38,0)")
+    place = day * F.lit(10**20).cast("decimal(21,0)") + (F.col("position.line") * 10 + F.col("position.part"))
+    return R.latest_reference_prices(R.read_price_records(lines.withColumn("position", place.cast("decimal(38,0)"))))
 
 
 @query
@@ -212,11 +213,11 @@ def last_line_wins(spark, sf):
 
 @query
 def soft_delete(spark, sf):
-    table = load(spark, sf, "customer").selectExpr(
-        "c_custkey", "case when c_acctbal >= 0 then 'active' when c_acctbal < -500 then 'inactive' end as status"
-    )
-    seen = load(spark, sf, "orders").where("o_orderdate >= timestamp_ntz '2001-03-01'")
-    seen = seen.select(F.col("o_custkey").alias("c_custkey"))
+    """Customers are in the export if they have orders; suppliers, with negative numbers, are not."""
+    status = "case when {0} >= 0 then 'active' when {0} < -500 then 'inactive' end as status"
+    table = load(spark, sf, "customer").selectExpr("c_custkey", status.format("c_acctbal"))
+    table = table.unionByName(load(spark, sf, "supplier").selectExpr("-s_suppkey as c_custkey", status.format("s_acctbal - 4000")))
+    seen = load(spark, sf, "orders").select(F.col("o_custkey").alias("c_custkey"))
     now = F.lit("2024-01-01 00:00:00").cast("timestamp")
     gone = M.soft_delete(table, seen, ["c_custkey"], "status", "inactive", now)
     return gone.select("c_custkey", "status", F.col("removed_at").isNotNull().alias("removed"))
@@ -277,8 +278,8 @@ def dietary_tags(spark, sf):
         F.col("p_partkey").alias("product_id"),
         F.parse_json(
             F.expr(
-                """concat('{"type_envie":', case when p_size < 10 then '"SANS Viande "' when p_size < 20 then '["Sans Porc","froid"," végétarien ","sans porc"]'
-                when p_size < 30 then '["bio","sans gluten"]' when p_size < 40 then '["végétarien",null,3,"sans poisson"]' else 'null' end, '}')"""
+                """concat('{"type_envie":', case when p_size < 10 then '"sans VIANDE  "' when p_size < 20 then '["brunch","SANS poisson",12,"  Végétarien","sans poisson "]'
+                when p_size < 30 then '["terroir","sans sel"]' when p_size < 40 then '[{"a":1},"sans Porc",null]' else 'null' end, '}')"""
             )
         ).alias("record"),
     )
@@ -308,13 +309,13 @@ def keyword_recommendable(spark, sf):
 def override_cascade(spark, sf):
     rows = load(spark, sf, "part").selectExpr(
         "p_partkey as product_id",
-        """concat(p_name, ' ', case p_brand when 'Brand#1' then 'BIÈRE SANS ALCOOL' when 'Brand#2' then 'cocktail sans-alcool'
-           when 'Brand#3' then 'jus pétillant Champomy' when 'Brand#4' then 'Eau aromatisée au citron'
-           when 'Brand#5' then 'eaux gazeuses aromatisées' when 'Brand#6' then 'Thé glacé pêche'
-           when 'Brand#7' then 'BOISSON AU THÉ VERT GLACÉ' when 'Brand#8' then 'ICE TEA 2L' when 'Brand#9' then 'ice-tea'
-           when 'Brand#10' then 'Thés 5 fruits' when 'Brand#11' then 'CAFÉ moulu' when 'Brand#12' then 'Chicorée'
-           when 'Brand#13' then 'infusion' when 'Brand#14' then 'théière' when 'Brand#15' then 'bateau aromatisé'
-           when 'Brand#16' then 'eau de source puis sirop très aromatisé' else 'vin rouge' end) as name""",
+        """concat(p_name, ' ', case p_brand when 'Brand#1' then 'Mousseux sans alcool' when 'Brand#2' then 'PUNCH SANS-ALCOOL du bar'
+           when 'Brand#3' then 'coffret champomy x 6' when 'Brand#4' then 'EAU plate aromatisée menthe'
+           when 'Brand#5' then 'trois eaux légères aromatisées' when 'Brand#6' then 'bouteille thé noir glacé'
+           when 'Brand#7' then 'Thé du jardin, servi glacé' when 'Brand#8' then 'ice tea mangue' when 'Brand#9' then 'pack ICE-TEA'
+           when 'Brand#10' then 'assortiment de thés noirs' when 'Brand#11' then 'grand café crème' when 'Brand#12' then 'bol de chicorée'
+           when 'Brand#13' then 'INFUSION du soir' when 'Brand#14' then 'athénée rosé' when 'Brand#15' then 'plateau aromatisé'
+           when 'Brand#16' then 'seau de glaçons' else 'cidre brut' end) as name""",
     )
     return rows.select("product_id", X.drink_role_by_name(F.col("name")).alias("role"))
 
@@ -458,7 +459,7 @@ def product_document(spark, sf):
         F.array_join(F.transform("categories", lambda c: F.concat_ws("=", c["id"], c["name"])), ",").alias("categories"),
         F.size("composition.pieces").cast("bigint").alias("n_pieces"),
         F.size("composition_plateau.groups").cast("bigint").alias("n_groups"),
-        F.length("raw").cast("bigint").alias("raw_chars"),
+        "raw",
     )
 
 
@@ -765,10 +766,15 @@ def vector_records(spark, sf):
         "vec_id as product_id", "case when toxic = 1 then array() else embedding end as values",
         "case when quality = 1 then 'Plats' end as menu_step", "case when label > 3 then 'active' end as status",
     )
+    # Whole numbers, so that the sums do not depend on their order.
+    whole = F.transform("values", lambda v: F.round(v.cast("double") * 1_000_000).cast("bigint"))
+    placed = F.transform(whole, lambda v, i: v * (i + 1))
+    add = lambda n, v: n + v
     return vectors.vector_records(embedded).select(
         "id", "metadata.menu_step", "metadata.status",
         F.size("values").cast("bigint").alias("width"),
-        F.get("values", F.lit(0)).cast("double").alias("first"),
+        F.aggregate(whole, F.lit(0).cast("bigint"), add).alias("total"),
+        F.aggregate(placed, F.lit(0).cast("bigint"), add).alias("weighted"),
     )
 
 

@@ -135,8 +135,7 @@ def ingest_products(
         written(documents.keyed_lines(lines, "product_id"), "product-lines")
     )
     labels = label_products(run, records, specs, call, force)
-    rows = R.flatten_prices(R.read_price_records(price_lines), need_store=False)
-    prices = R.reference_prices(R.current_prices(written(rows, "price-rows")))
+    prices = R.latest_reference_prices(R.read_price_records(price_lines))
     shaped = documents.product_documents(
         records, prices, L.pivot_labels(labels, run.diet_source), run.now,
         run.image_base, run.piece_image_base, run.department_field,

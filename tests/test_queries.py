@@ -53,15 +53,20 @@ def test_family_ranks_are_cut_before_the_shuffle(spark):
     assert "row_number(), 80, Partial" in text
 
 
-def test_medians_never_window_over_a_whole_group_without_need(spark):
+def test_medians_neither_broadcast_nor_branch(spark):
     df = QUERIES["price_ref"](spark, FOLDER)
     df.collect()
-    final = plan(df).split("Initial Plan")[0]
-    assert "Window" not in final
+    text = plan(df)
+    assert "BroadcastHashJoin" not in text.split("Initial Plan")[-1] and "Union" not in text
 
 
-def test_cells_of_large_stores_are_the_same(spark):
-    prices, products = inputs.prices(spark, FOLDER), inputs.products(spark, FOLDER)
-    plain = catalogue.step_cells(prices, products)
-    split = catalogue.step_cells(prices, products, large=30)
-    assert plain.exceptAll(split).count() == split.exceptAll(plain).count() == 0
+def test_prices_of_last_lines_take_one_hash_shuffle(spark):
+    text = plan(QUERIES["price_index"](spark, FOLDER)).split("Initial Plan")[-1]
+    assert text.count("hashpartitioning") == 1 and "SortAggregate" not in text and text.count("FileScan") == 1
+
+
+def test_roll_up_reads_prices_once(spark):
+    cells = catalogue.sold(inputs.prices(spark, FOLDER), inputs.products(spark, FOLDER))
+    assert plan(cells).count("FileScan") == 2
+    rolled = plan(QUERIES["catalogue_rollup"](spark, FOLDER))
+    assert "lineitem" not in rolled and "part.parquet" not in rolled
