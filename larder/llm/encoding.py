@@ -23,7 +23,9 @@ _STEPS = ["NFC", "Replace", "Lowercase"]
 _CUT = "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"
 _PLAIN = re.compile(r"(\n?)( ?[A-Za-zÀ-ÖØ-öø-ÿ]+)([.,;:!?%$#*&]*)")
 
-TABLE_BYTES = 96 << 20
+TABLE_BYTES = 64 << 20
+#: Texts that are worked on at once.
+SLICE_BYTES = 1 << 18
 NOT_BREAK = (A.BYTE != 0x20) & (A.BYTE != 0x0A)
 _SPACE = ~A.NOT_SPACE
 #: Bytes that may end a white-space character beyond ASCII, or are white space to some libraries only.
@@ -58,7 +60,7 @@ class _Pool:
     def add(self, more: np.ndarray) -> None:
         need = self.used + len(more)
         if need > len(self.data):
-            grown = np.zeros(max(need, 2 * len(self.data)), self.data.dtype)
+            grown = np.zeros(max(need, len(self.data) * 3 // 2), self.data.dtype)
             grown[: self.used] = self.data[: self.used]
             self.data = grown
         self.data[self.used : need] = more
@@ -75,12 +77,12 @@ class Table:
     def clear(self) -> None:
         self.slots = np.zeros(1 << 12, np.int32)
         self.hash, self.low, self.high = _Pool("<u8"), _Pool("<u8"), _Pool("<u8")
-        self.at, self.size = _Pool("<i8"), _Pool("<i8")
-        self.id_at, self.n_ids = _Pool("<i8"), _Pool("<i8")
+        self.at, self.size = _Pool("<i4"), _Pool("<i4")
+        self.id_at, self.n_ids = _Pool("<i4"), _Pool("<i4")
         self.bytes, self.ids = _Pool("<u1"), _Pool("<u4")
 
     def full(self) -> bool:
-        return self.bytes.used + 4 * self.ids.used + 56 * self.hash.used + 4 * len(self.slots) > self.budget
+        return self.bytes.used + 4 * self.ids.used + 40 * self.hash.used + 4 * len(self.slots) > self.budget
 
     def find(self, hashes: np.ndarray) -> np.ndarray:
         """Entry of each hash, -1 where there is none."""
@@ -113,13 +115,16 @@ class Table:
         self.low.add(heads[:, 0])
         self.high.add(heads[:, 1])
         for pool, count, values, start, length in (
-            (self.bytes, len(units), [np.frombuffer(u, np.uint8) for u in units], self.at, self.size),
+            # Up to 16 bytes of a unit are in its two numbers already.
+            (self.bytes, len(units), [np.frombuffer(u if len(u) > 16 else b"", np.uint8) for u in units], self.at, None),
             (self.ids, len(ids), ids, self.id_at, self.n_ids),
         ):
             n = np.fromiter(map(len, values), np.int64, count)
             start.add(pool.used + np.cumsum(n) - n)
-            length.add(n)
+            if length:
+                length.add(n)
             pool.add(np.concatenate(values))
+        self.size.add(np.fromiter(map(len, units), np.int64, len(units)))
         self.hash.add(np.zeros(len(units), np.uint64) if hashes is None else hashes)
         if hashes is not None:
             if 2 * self.hash.used > len(self.slots):
@@ -135,7 +140,7 @@ class Table:
         long = np.flatnonzero(out & (sizes > 16))
         n = sizes[long]
         if len(long):
-            equal = self.bytes.data[_ranges(self.at.data[entry[long]], n)] == data[_ranges(starts[long], n)]
+            equal = self.bytes.data[_ranges(self.at.data[entry[long]].astype(np.int64), n)] == data[_ranges(starts[long], n)]
             out[long] = np.logical_and.reduceat(equal, np.cumsum(n) - n)
         return out
 
@@ -228,14 +233,14 @@ class Encoder:
 
     def __call__(self, column: pa.Array, end_id: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
         """For slices of the texts: the first row, the ids of its texts one after another, each with ``end_id`` behind, and how many each has."""
-        for row, data, offsets in A.slices(column):
+        for row, data, offsets in A.slices(column, SLICE_BYTES):
             rows = len(offsets) - 1
             starts, ends, text = self._units(data, offsets)
             entry = self._entries(data, starts, ends)
-            n = self.table.n_ids.data[entry]
+            n = self.table.n_ids.data[entry].astype(np.int64)
             lengths = np.bincount(text, n, rows).astype(np.int64) + 1
             ids = np.full(int(lengths.sum()), end_id, np.uint32)
-            ids[_ranges(np.cumsum(n) - n + text, n)] = self.table.ids.data[_ranges(self.table.id_at.data[entry], n)]
+            ids[_ranges(np.cumsum(n) - n + text, n)] = self.table.ids.data[_ranges(self.table.id_at.data[entry].astype(np.int64), n)]
             yield row, ids, lengths
 
 
