@@ -10,7 +10,7 @@ from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -20,7 +20,7 @@ from larder.functions.text import drink_role_by_name
 from larder.session import written
 
 LABEL_SCHEMA = "product_id bigint, field string, value string, source string, model string"
-REPLY_SCHEMA = "product_ids array<bigint>, reply string"
+REPLY_SCHEMA = "product_ids array<bigint>, reply string, attempts int, error string"
 
 
 @dataclass(frozen=True)
@@ -110,6 +110,7 @@ def numbered_batches(
 
 
 BATCHES_PER_TASK = 20
+MAX_FAILED = 0.5
 
 
 def ask(
@@ -120,10 +121,13 @@ def ask(
     parallel: int | None = None,
     path: str | None = None,
     attempts: int = 3,
+    max_failed: float | None = MAX_FAILED,
 ) -> DataFrame:
-    """(product_ids, reply) per batch of items (product_id, line); null reply = failed call.
+    """(product_ids, reply, attempts, error) per batch of items (product_id, line).
 
-    A batch is asked again, up to ``attempts`` times, if the call fails or its reply holds no JSON object.
+    A batch is asked again, up to ``attempts`` times, if the call fails or its reply holds no JSON object; ``error`` is what
+    the last attempt failed with, null if it did not. A failed call has a null reply. The job ends if more than ``max_failed`` of
+    the batches have an error: a broken call must not label a catalogue with fallbacks.
     Batches form inside each partition, in the order of the keys. ``parallel`` is the number of partitions, by default as many as
     give each ``BATCHES_PER_TASK`` batches: neither the prompts nor what a lost task repeats depend on the cluster. Replies are written before anything reads them, so
     no later step can repeat a call.
@@ -132,15 +136,16 @@ def ask(
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         def answer(rows: list) -> pd.DataFrame:
             lines = "\n".join(f"{i}. {line}" for i, (_, line) in enumerate(rows, start=1))
-            reply = None
-            for _ in range(attempts):
+            reply = error = None
+            for tried in range(1, attempts + 1):
                 try:
                     reply = call(f"{heading}\n{lines}")
                     json.loads(reply[reply.index("{") : reply.rindex("}") + 1])
+                    error = None
                     break
-                except Exception:  # the last reply, if any, is read as far as it can be
-                    continue
-            return pd.DataFrame({"product_ids": [[pid for pid, _ in rows]], "reply": [reply]})
+                except Exception as e:  # the last reply, if any, is read as far as it can be
+                    error = f"{type(e).__name__}: {e}"
+            return pd.DataFrame({"product_ids": [[pid for pid, _ in rows]], "reply": [reply], "attempts": [tried], "error": [error]})
 
         waiting: list = []
         for frame in frames:
@@ -155,7 +160,15 @@ def ask(
     if parallel is None:
         parallel = max(1, -(-items.count() // (batch * BATCHES_PER_TASK)))
     rows = items.select("product_id", "line").repartition(parallel, "product_id").sortWithinPartitions("product_id")
-    return written(rows.mapInPandas(run, REPLY_SCHEMA), "replies", path)
+    failures = Observation()
+    made = rows.mapInPandas(run, REPLY_SCHEMA).observe(
+        failures, F.count(F.lit(1)).alias("batches"), F.count("error").alias("failed"), F.max("error").alias("error")
+    )
+    replies_ = written(made, "replies", path)
+    n = failures.get
+    if max_failed is not None and n["failed"] > max_failed * n["batches"]:
+        raise RuntimeError(f"{n['failed']} of {n['batches']} model calls failed, one with {n['error']}")
+    return replies_
 
 
 def read_replies(batches: DataFrame, label: Label) -> DataFrame:
@@ -208,26 +221,30 @@ def enrich(
     force: bool = False,
     parallel: int | None = None,
     path: str | None = None,
+    max_failed: float | None = MAX_FAILED,
 ) -> DataFrame:
     """Labels of all items for one field: cached ones, and new ones from the model.
 
-    ``items`` holds (product_id, name, line), and menu_step for a label of one step only.
+    ``items`` holds (product_id, name, line), and menu_step for a label of one step only. ``overridden`` marks
+    new labels for which the name's rule won over another answer of the model.
     """
     if label.only_step:
         items = items.where(F.col("menu_step") == label.only_step)
     todo = uncached(items, cache, label.field, force)
-    batches = ask(todo, label.heading, call, parallel=parallel, path=path)
-    fresh = settle(todo, read_replies(batches, label), label).select(
+    batches = ask(todo, label.heading, call, parallel=parallel, path=path, max_failed=max_failed)
+    settled = settle(todo, read_replies(batches, label), label)
+    fresh = settled.select(
         "product_id",
         F.lit(label.field).alias("field"),
         "value",
         "source",
         F.lit(model).alias("model"),
+        (F.col("overridden") if "overridden" in settled.columns else F.lit(False)).alias("overridden"),
     )
     if force:
         return fresh
     kept = cache.where((F.col("field") == label.field) & (F.col("source") != "fallback"))
-    kept = kept.join(items, "product_id", "left_semi")
+    kept = kept.join(items, "product_id", "left_semi").withColumn("overridden", F.lit(False))
     return kept.select(*fresh.columns).unionByName(fresh)
 
 

@@ -24,15 +24,20 @@ def upsert(old: DataFrame, batch: DataFrame, keys: list[str]) -> DataFrame:
     return joined.select(*[_merged(c, old, batch, keys).alias(c) for c in columns])
 
 
-def upsert_counts(
-    old: DataFrame, batch: DataFrame, keys: list[str], ignore: tuple[str, ...] = ()
-) -> DataFrame:
+def upsert_counts(old: DataFrame, batch: DataFrame, keys: list[str]) -> DataFrame:
     """One row (upserted, modified): new keys, and matched rows the batch really changes."""
-    change = _change(old, [c for c in batch.columns if c not in keys and c not in ignore])
-    return _matched(old, batch, keys).agg(
-        F.count_if(change == "upserted").alias("upserted"),
-        F.count_if(change == "modified").alias("modified"),
-    )
+    merged = merge_export(old, batch, keys, F.lit(None).cast("timestamp"))
+    return merged.agg(*[counted(kind).alias(kind) for kind in ("upserted", "modified")])
+
+
+def counted(kind: str) -> Column:
+    """Rows of a merge with that change."""
+    return F.count_if(F.col("change") == kind)
+
+
+def change_feed(merged: DataFrame, keys: list[str]) -> DataFrame:
+    """(keys..., change): one row per key that a merge adds, changes or removes."""
+    return merged.where(F.col("change").isNotNull()).select(*keys, "change")
 
 
 def merge_export(
@@ -63,14 +68,17 @@ def merge_export(
     return joined.select(*[shaped[c].alias(c) for c in columns], change.alias("change"))
 
 
-def check_removals(merged: DataFrame, status: tuple[str, object], max_ratio: float) -> None:
-    """Stop the run when an export, an empty one say, would remove too many active rows."""
+def active_before(status: tuple[str, object]) -> Column:
+    """Rows of a merge that the table held as active."""
     gone = F.col("change").eqNullSafe(F.lit("removed"))
     old = ~F.col("change").eqNullSafe(F.lit("upserted"))
-    active = old & (gone | ~F.col(status[0]).eqNullSafe(F.lit(status[1])))
-    n = merged.agg(F.count_if(gone).alias("gone"), F.count_if(active).alias("active")).first()
-    if n.active and n.gone / n.active > max_ratio:
-        raise ValueError(f"{n.gone} of {n.active} active rows would be removed")
+    return F.count_if(old & (gone | ~F.col(status[0]).eqNullSafe(F.lit(status[1]))))
+
+
+def check_removals(gone: int, active: int, max_ratio: float) -> None:
+    """Stop the run when an export, an empty one say, would remove too many active rows."""
+    if active and gone / active > max_ratio:
+        raise ValueError(f"{gone} of {active} active rows would be removed")
 
 
 def _change(old: DataFrame, fields: list[str]) -> Column:
@@ -111,30 +119,17 @@ def soft_delete(
 ) -> DataFrame:
     """Rows whose key the export lacks become inactive, with ``removed_at``; none is dropped.
 
-    Rows that are inactive already keep their date, and a row that is back loses it. With
-    ``max_ratio`` the job stops when more than that share of the active rows would go, as
-    it does for an empty export.
+    A merge of the export's keys alone. Rows that are inactive already keep their date, and a row that
+    is back loses it. With ``max_ratio`` the job stops when more than that share of the active rows
+    would go, as it does for an empty export.
     """
-    if "removed_at" not in table.columns:
-        table = table.withColumn("removed_at", F.lit(None).cast("timestamp"))
-    marks = seen.select(*keys).distinct().withColumn("_seen", F.lit(True))
-    joined = table.join(marks, keys, "left")
-    going = removal(field, inactive)
+    status = (field, inactive)
+    merged = merge_export(table, seen.select(*keys).distinct(), keys, now, status)
+    merged = merged.where(~F.col("change").eqNullSafe(F.lit("upserted")))
     if max_ratio is not None:
-        active = ~F.col(field).eqNullSafe(F.lit(inactive))
-        n = joined.agg(F.count_if(going).alias("going"), F.count_if(active).alias("active")).first()
-        if n.active and n.going / n.active > max_ratio:
-            raise ValueError(f"{n.going} of {n.active} active rows would be removed")
-    shaped = {
-        field: F.when(going, F.lit(inactive)).otherwise(F.col(field)),
-        "removed_at": F.when(going, now).when(~F.coalesce("_seen", F.lit(False)), F.col("removed_at")),
-    }
-    return joined.select(*[shaped.get(c, F.col(c)).alias(c) for c in table.columns])
-
-
-def removal(field: str, inactive) -> Column:
-    """Condition, after the join with the seen keys, for a row that goes inactive now."""
-    return F.col("_seen").isNull() & ~F.col(field).eqNullSafe(F.lit(inactive))
+        n = merged.agg(counted("removed").alias("gone"), active_before(status).alias("active")).first()
+        check_removals(n.gone, n.active, max_ratio)
+    return merged.drop("change")
 
 
 def update_matched(

@@ -48,22 +48,28 @@ def flatten_prices(records: DataFrame, need_store: bool = True) -> DataFrame:
     )
 
 
-def price_counters(records: DataFrame) -> DataFrame:
-    """One row (total, entries, price_rows, skipped_no_price), counted without flattening.
-
-    An entry with several prices gives several rows, so the last number can be negative.
-    """
+def price_metrics() -> list[Column]:
+    """total, entries and price_rows of parsed lines, counted without flattening."""
     priced = F.transform(
         F.filter("stores", lambda s: s["store_id"].isNotNull()),
         lambda s: F.size(F.filter(offers(s), lambda p: p["price"].isNotNull())),
     )
     rows = F.aggregate(priced, F.lit(0), lambda n, m: n + F.greatest(m, F.lit(0)))
-    counted = records.select(F.size("stores").alias("entries"), rows.alias("rows"))
-    return counted.agg(
+    return [
         F.count(F.lit(1)).alias("total"),
-        F.coalesce(F.sum(F.greatest("entries", F.lit(0))), F.lit(0)).alias("entries"),
-        F.coalesce(F.sum("rows"), F.lit(0)).alias("price_rows"),
-    ).withColumn("skipped_no_price", F.col("entries") - F.col("price_rows"))
+        F.coalesce(F.sum(F.greatest(F.size("stores"), F.lit(0))), F.lit(0)).alias("entries"),
+        F.coalesce(F.sum(rows), F.lit(0)).alias("price_rows"),
+    ]
+
+
+def with_skipped(counters: dict) -> dict:
+    """An entry with several prices gives several rows, so the number can be negative."""
+    return {**counters, "skipped_no_price": counters["entries"] - counters["price_rows"]}
+
+
+def price_counters(records: DataFrame) -> DataFrame:
+    """One row (total, entries, price_rows, skipped_no_price)."""
+    return records.agg(*price_metrics()).withColumn("skipped_no_price", F.col("entries") - F.col("price_rows"))
 
 
 def line_prices(stores: Column) -> Column:

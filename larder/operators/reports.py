@@ -5,6 +5,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from larder import vocab
+from larder.session import written
 
 
 def label_distribution(df: DataFrame, label: Column, missing: str = vocab.UNCLASSIFIED) -> DataFrame:
@@ -24,6 +25,25 @@ def unclassified(distribution: DataFrame) -> DataFrame:
     return distribution.where(F.col("label") == vocab.UNCLASSIFIED)
 
 
+def label_counts(labels: DataFrame) -> DataFrame:
+    """(field, n, fallback, overridden) of a run's labels."""
+    return labels.groupBy("field").agg(
+        F.count(F.lit(1)).alias("n"),
+        F.count_if(F.col("source") == "fallback").alias("fallback"),
+        F.count_if("overridden").alias("overridden"),
+    )
+
+
+def field_distributions(labels: DataFrame) -> DataFrame:
+    """(field, label, n) of all fields in one pass; each event of a list counts, and of a diet its profile."""
+    event = F.col("field") == "could_fit_event"
+    diet = F.col("field") == "predicted_diet"
+    one = F.when(diet, F.get_json_object("value", "$.profile")).otherwise(F.col("value"))
+    values = F.when(event, F.from_json("value", "array<string>")).otherwise(F.array(one))
+    rows = labels.select("field", F.explode(values).alias("label"))
+    return rows.groupBy("field", F.coalesce("label", F.lit(vocab.UNCLASSIFIED)).alias("label")).agg(F.count(F.lit(1)).alias("n"))
+
+
 def missing_portions(products: DataFrame) -> DataFrame:
     """(step, product_id, sku) of active products without a portion count."""
     gaps = products.where("status = 'active' and persons is null")
@@ -45,15 +65,32 @@ def gap_summary(gaps: DataFrame) -> DataFrame:
     return counts.select(F.row_number().over(order).alias("position"), "step", "n")
 
 
+def grouped_report(rows: DataFrame, group: str, order: str) -> DataFrame:
+    """Adds ``position``: the place, from 1, of each row in its group.
+
+    Rows are dealt to ranges of (group, order) and sorted there. A row's place in its range, less that of the group's first row there, is
+    added to the number of the group's rows in earlier ranges: no task needs a whole group.
+    """
+    ranged = rows.repartitionByRange(group, order).sortWithinPartitions(group, order)
+    # Range number and place in one: the id counts the rows of each partition as they come.
+    placed = written(ranged.withColumn("_id", F.monotonically_increasing_id()), "grouped")
+    placed = placed.withColumn("_range", F.shiftright("_id", 33))
+    totals = placed.groupBy(group, "_range").agg(F.count(F.lit(1)).alias("_n"), F.min("_id").alias("_first"))
+    before = W.partitionBy(group).orderBy("_range").rowsBetween(W.unboundedPreceding, -1)
+    totals = totals.select(F.col(group).alias("_group"), F.col("_range").alias("_of"), "_first", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
+    same = F.col(group).eqNullSafe(F.col("_group")) & (F.col("_range") == F.col("_of"))
+    position = F.col("_before") + F.col("_id") - F.col("_first") + 1
+    return placed.join(totals, same).select(*rows.columns, position.alias("position"))
+
+
 def write_gap_report(gaps: DataFrame, path: str) -> None:
-    """The gaps as JSON lines, one folder per step, in order of product id.
+    """The gaps as JSON lines, one folder per step, numbered in order of product id.
 
     Range partitions split a step of any size over many files; no list is built in memory.
     """
-    rows = gaps.select("step", "product_id", "sku").repartitionByRange("step", "product_id")
-    rows.sortWithinPartitions("step", "product_id").write.mode("overwrite").partitionBy(
-        "step"
-    ).json(path)
+    rows = grouped_report(gaps.select("step", "product_id", "sku"), "step", "product_id")
+    ranged = rows.repartitionByRange("step", "position").sortWithinPartitions("step", "position")
+    ranged.write.mode("overwrite").partitionBy("step").json(path)
 
 
 def stale_steps(
@@ -69,12 +106,12 @@ def stale_steps(
 
 
 def field_presence(df: DataFrame, fields: tuple[str, ...]) -> DataFrame:
-    """(field, n): rows that hold each field, in one pass; a column the table lacks counts 0."""
+    """(field, n, total): rows that hold each field, and all rows, in one pass; a column the table lacks counts 0."""
     counts = [
         (F.count(c) if c in df.columns else F.lit(0).cast("bigint")).alias(c) for c in fields
     ]
     one = df.agg(*counts, F.count(F.lit(1)).alias("_rows"))
-    pairs = F.array(*[F.struct(F.lit(c).alias("field"), F.col(c).alias("n")) for c in fields])
+    pairs = F.array(*[F.struct(F.lit(c).alias("field"), F.col(c).alias("n"), F.col("_rows").alias("total")) for c in fields])
     return one.select(F.inline(pairs))
 
 

@@ -1,16 +1,20 @@
 """Name embeddings: which products, the plugged-in embedder, the vector table."""
 
 from collections.abc import Callable, Iterator
+from itertools import islice
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation, Row
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.datasource import DataSource, DataSourceWriter, WriterCommitMessage
 
 from larder import vocab
 from larder.functions.text import is_blank, strip
 from larder.session import written
 
+BATCHES_PER_TASK = 4
 EMBEDDED = "product_id bigint, menu_step string, status string, values array<float>"
 
 
@@ -33,8 +37,8 @@ def embed(
 ) -> DataFrame:
     """(product_id, menu_step, status, values); a failed batch gives null values.
 
-    Batches form inside each partition, of which there are ``parallel``, one per core by
-    default. The result is written, so the embedder runs once.
+    Batches form inside each partition, in the order of the keys. ``parallel`` is the number of partitions, by default as many as give each
+    ``BATCHES_PER_TASK`` batches, so batches do not depend on the cluster. The result is written, so the embedder runs once.
     """
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -43,6 +47,8 @@ def embed(
                 part = frame.iloc[start : start + batch]
                 try:
                     found = [np.asarray(v, "float32") for v in embedder(part["text"].tolist())]
+                    if len(found) != len(part):
+                        raise ValueError(f"{len(found)} vectors for {len(part)} texts")
                 except Exception:
                     found = [None] * len(part)
                 yield part[["product_id", "menu_step", "status"]].assign(values=found)
@@ -50,8 +56,9 @@ def embed(
     rows = embeddable(products).select(
         "product_id", "menu_step", "status", strip(F.col("name")).alias("text")
     )
-    parallel = parallel or products.sparkSession.sparkContext.defaultParallelism
-    rows = rows.where("text <> ''").repartition(parallel)
+    rows = rows.where("text <> ''")
+    parallel = parallel or max(1, -(-rows.count() // (batch * BATCHES_PER_TASK)))
+    rows = rows.repartition(parallel, "product_id").sortWithinPartitions("product_id")
     return written(rows.mapInPandas(run, EMBEDDED), "vectors", path)
 
 
@@ -84,19 +91,51 @@ def vector_records(embedded: DataFrame) -> DataFrame:
     )
 
 
-def send_vectors(
-    records: DataFrame, write: Callable[[list[dict]], None], batch: int = vocab.VECTOR_BATCH
-) -> None:
-    """Hand the records to a remote index in slices. Writes by id, so a retry is harmless."""
+Client = Callable[[], Callable[[list[dict]], None]]
 
-    def run(rows) -> None:
-        waiting = []
-        for row in rows:
-            waiting.append(row.asDict(recursive=True))
-            if len(waiting) == batch:
-                write(waiting)
-                waiting = []
-        if waiting:
-            write(waiting)
 
-    records.foreachPartition(run)
+def _sink(client: Client, batch: int, attempts: int) -> type[DataSource]:
+    """A data source that writes records to a remote index through ``client``."""
+
+    class Writer(DataSourceWriter):
+        def write(self, rows: Iterator[Row]) -> WriterCommitMessage:
+            send = client()  # one per partition
+            rows = iter(rows)
+            while part := [r.asDict(recursive=True) for r in islice(rows, batch)]:
+                for left in range(attempts - 1, -1, -1):
+                    try:
+                        send(part)
+                        break
+                    except Exception:
+                        if not left:
+                            raise
+            return WriterCommitMessage()
+
+        def commit(self, messages: list[WriterCommitMessage | None]) -> None:
+            """Nothing to do: every slice is written by id as a whole."""
+
+        def abort(self, messages: list[WriterCommitMessage | None]) -> None:
+            """Slices that were sent stay; the next run sends the same ids again."""
+
+    class Sink(DataSource):
+        @classmethod
+        def name(cls) -> str:
+            return "vector_index"
+
+        def writer(self, schema: T.StructType, overwrite: bool) -> DataSourceWriter:
+            return Writer()
+
+    return Sink
+
+
+def send_vectors(records: DataFrame, client: Client, batch: int = vocab.VECTOR_BATCH, attempts: int = 3) -> int:
+    """Write the records to a remote index in slices; how many there were.
+
+    ``client()`` is called once per partition and gives the function that takes a slice. It must write by id: a slice that fails is sent again, up to
+    ``attempts`` times, and so is all of a task that Spark runs again. What fails every time ends the job.
+    """
+    spark = records.sparkSession
+    spark.dataSource.register(_sink(client, batch, attempts))
+    sent = Observation()
+    records.observe(sent, F.count(F.lit(1)).alias("n")).write.format("vector_index").mode("append").save()
+    return sent.get["n"]

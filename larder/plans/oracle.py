@@ -86,6 +86,12 @@ _DEAR = f"""{_PRODUCTS}, {_PRICES}, cells as (select store_id, menu_step, count(
     sold as (select store_id, count(*) as steps, count(*) filter (words > 0) as named from cells group by all),
     shops as (select s_suppkey, s_acctbal from supplier union all select -c_custkey, c_acctbal from customer)"""
 
+_LABELS = f"""every as (select p_size, p_brand, 'menu_step' as field, {_STEP} as value from part
+        union all select p_size, p_brand, 'dish_role', {_ROLE} from part
+        union all select p_size, p_brand, 'could_fit_event', case when p_size < 20 then 'b' when p_size < 30 then '' end from part
+        union all select p_size, p_brand, 'predicted_diet', case when p_size < 25 then 'v' end from part),
+    labels_of as (select * from every where value is not null)"""
+
 _BATCH = """batches as (select *, unnest([1, 2, 3]) as place from part)"""
 _FLAGGED = """labels_of as (select doc_id, case quality when 1 then 'Plats' else 'Sauces' end as step, toxic from labels)"""
 
@@ -185,6 +191,21 @@ ORACLE: dict[str, str] = {
             exists (select 1 from orders where o_custkey = c_custkey) as seen from rows)
         select c_custkey, case when seen then status else 'inactive' end as status,
             not seen and status is distinct from 'inactive' as removed from t""",
+    "merge_export": """with old as (select c_custkey as id, c_acctbal as amount, 'active' as status from customer
+            union all select -s_suppkey, s_acctbal, case when s_acctbal < 2000 then 'inactive' else 'active' end from supplier),
+        new as (select o_custkey as id, max(o_totalprice) as amount from orders group by all
+            union all select -1000000 - n_nationkey, null from nation)
+        select coalesce(old.id, new.id) as id, case when new.id is null then old.amount else new.amount end as amount,
+            case when new.id is null then 'inactive' else 'active' end as status,
+            new.id is null and old.status = 'active' as removed,
+            case when old.id is null then 'upserted' when new.id is null then case when old.status = 'active' then 'removed' end
+                when old.amount is distinct from new.amount or old.status <> 'active' then 'modified' end as change
+        from old full join new on old.id = new.id""",
+    "change_feed": f"""with {_EARLY_LATE}
+        select late.product_id, case when early.product_id is null then 'upserted' else 'modified' end as change
+        from late left join early on early.product_id = late.product_id
+        where early.product_id is null or early.price is distinct from late.price or early.quantity is distinct from late.quantity
+            or late.discount is not null""",
     "update_matched": """select c_custkey, coalesce(spent, c_acctbal) as amount from customer
         left join (select o_custkey, max(o_totalprice) as spent from orders group by all) on o_custkey = c_custkey""",
     "drop_fields": "select c_custkey, c_nationkey, c_acctbal from customer",
@@ -269,6 +290,9 @@ ORACLE: dict[str, str] = {
                     p_name, '","price":"', p_size, '.5"}},{{"code":"0-1","disabled":" ON "}},9]}},{{"name":"E","pieces":[{{"code":"1-0","disabled":"on"}}]}},{{"name":"H","pieces":[{{"code":"2-0","name":"',
                     p_brand, '","price":0,"ingredients":"', case when p_size < 25 then 'lait' else '' end, '"}}]}},"x"]}}') else '' end, '}}') as raw
         from t""",
+    "stored_products": """select p_partkey as product_id, case when p_brand = 'Brand#25' then 'inactive' else 'active' end as status,
+            '2024-01-01 00:00:00' as ingested_at
+        from part where p_type = 'MEDIUM' or p_size >= 6 or p_type = 'LARGE'""",
     "store_document": """with t as (select *, s_acctbal / 40 as x, cast(s_nationkey * 4 - 10 as double) as y from supplier)
         select s_suppkey as store_id, s_name as name, cast(null as varchar) as code, 'N' || s_nationkey as city,
             case when s_acctbal < 2000 then true when s_acctbal < 4000 then null else false end as is_active,
@@ -336,6 +360,23 @@ ORACLE: dict[str, str] = {
         """case when name like '%hot%' then '{"profile":"viande","contains":["porc","viande"]}'
             when name like '%cold%' then '{"profile":null,"contains":["poisson"]}'
             else '{"profile":"vegetarien","contains":["lait","oeuf"]}' end""", '{"profile":"vegan","contains":[]}'),
+    "enrich_retry": f"""with {_ITEMS}, answered as (select product_id, case when name like '%ring%' then 'Desserts' when name like '%plate%' then 'Plats'
+            when name like '%bolt%' then 'Boissons' when name like '%gear%' then 'Sauces' when name like '%rod%' then 'Plats' end as value from items)
+        select *, 'model' as source, cast(2 as bigint) as attempts, false as failed from answered where value is not null""",
+    "label_save": f"""with old as (select p_partkey, 'Pains' as value, case when p_brand = 'Brand#1' then 'model' else 'fallback' end as source, 'm0' as model
+            from part where p_brand in ('Brand#1', 'Brand#2')),
+        new as (select p_partkey, {_STEP} as value from part where p_size > 20)
+        select coalesce(new.p_partkey, old.p_partkey) as product_id, 'menu_step' as field,
+            case when new.p_partkey is null then old.value else new.value end as value,
+            case when new.p_partkey is null then old.source else 'model' end as source,
+            case when new.p_partkey is null then old.model else 'm1' end as model
+        from old full join new on old.p_partkey = new.p_partkey""",
+    "label_counts": f"""with {_LABELS}
+        select field, count(*) as n, count(*) filter (p_size > 40) as fallback, count(*) filter (p_brand = 'Brand#7') as overridden from labels_of group by all""",
+    "field_distributions": f"""with {_LABELS}
+        select field, value as label, count(*) as n from labels_of where field in ('menu_step', 'dish_role') group by all
+        union all select 'could_fit_event', unnest(['Barbecue', 'Mariage']), count(*) from part where p_size < 20
+        union all select 'predicted_diet', 'vegan', count(*) from part where p_size < 25""",
     "repair_stale": """with t as (select p_partkey as product_id, p_name as name, p_type from part)
         select product_id, case when p_type not in ('LARGE', 'SMALL') then p_type
             when name like '%ring%' then 'Desserts' when name like '%plate%' then 'Plats' when name like '%bolt%' then 'Boissons'
@@ -345,11 +386,14 @@ ORACLE: dict[str, str] = {
         from products where status = 'active' and persons is null""",
     "gap_report": f"""with {_PRODUCTS}, t as (select menu_step, count(*) as n from products where status = 'active' and persons is null group by all)
         select row_number() over (order by n desc, menu_step nulls first) as position, coalesce(menu_step, 'Non classé') as step, n from t""",
+    "grouped_report": f"""with {_PRODUCTS}, gaps as (select coalesce(menu_step, 'Non classé') as step, product_id, sku from products
+            where status = 'active' and persons is null)
+        select *, row_number() over (partition by step order by product_id) as position from gaps""",
     "stale_steps": """select p_type as step, cast(case p_type when 'SMALL' then 1 else 2 end as bigint) as position, count(*) as n
         from part where p_type in ('SMALL', 'LARGE', 'HUGE') group by all""",
-    "field_presence": """with c as (select count(*) filter (p_size < 10) as f, count(*) filter (p_type = 'SMALL') as e from part)
+    "field_presence": """with c as (select count(*) filter (p_size < 10) as f, count(*) filter (p_type = 'SMALL') as e, count(*) as total from part)
         select unnest(['persons_estimated', 'category_tags', 'allergens', 'allergen_tags', 'embed_text', 'is_food', 'curated_concept']) as field,
-            unnest([0, 0, 0, 0, e, f, 0]) as n from c""",
+            unnest([0, 0, 0, 0, e, f, 0]) as n, total from c""",
     "any_field": """select p_partkey, case when p_size < 10 then p_name end as is_food, case when p_type = 'SMALL' then p_brand end as embed_text
         from part where p_size < 10 or p_type = 'SMALL'""",
     "snapshot_counts": f"""with {_PRODUCTS} select count(*) as total, count(*) filter (status = 'active') as active,

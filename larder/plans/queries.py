@@ -1,5 +1,6 @@
 """The operators as queries over the synthetic tables; ``oracle.py`` has the same in plain SQL."""
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -18,7 +19,7 @@ from larder.operators import prices as R
 from larder.operators import reports, vectors
 from larder.plans import catalogue, documents, inputs, rules
 from larder.plans.inputs import load
-from larder.session import spread, written
+from larder.session import shared_folder, spread
 from larder.sources import files
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -223,6 +224,27 @@ def soft_delete(spark, sf):
     return gone.select("c_custkey", "status", F.col("removed_at").isNotNull().alias("removed"))
 
 
+@query
+def merge_export(spark, sf):
+    """What a stage does to a table: customers and suppliers, and an export of those with orders, and of nations."""
+    old = load(spark, sf, "customer").selectExpr("c_custkey as id", "c_acctbal as amount", "'active' as status")
+    old = old.unionByName(load(spark, sf, "supplier").selectExpr(
+        "-s_suppkey as id", "s_acctbal as amount", "case when s_acctbal < 2000 then 'inactive' else 'active' end as status"
+    ))
+    spent = load(spark, sf, "orders").groupBy(F.col("o_custkey").alias("id")).agg(F.max("o_totalprice").alias("amount"))
+    export = spent.unionByName(load(spark, sf, "nation").selectExpr("-1000000 - n_nationkey as id", "cast(null as double) as amount"))
+    now = F.lit("2024-01-01 00:00:00").cast("timestamp")
+    merged = M.merge_export(old, export.withColumn("status", F.lit("active")), ["id"], now, ("status", "inactive"))
+    return merged.select("id", "amount", "status", F.col("removed_at").isNotNull().alias("removed"), "change")
+
+
+@query
+def change_feed(spark, sf):
+    """Keys by what a merge of later lines into earlier ones does to them."""
+    merged = M.merge_export(*_early_late(spark, sf), ["product_id"], F.current_timestamp())
+    return M.change_feed(merged, ["product_id"])
+
+
 @query
 def update_matched(spark, sf):
     """Set a column on customers that have orders; others keep theirs."""
@@ -463,6 +485,17 @@ def product_document(spark, sf):
     )
 
 
+@query
+def stored_products(spark, sf):
+    """Products that a run stores: those that can be recommended."""
+    docs = documents.product_documents(
+        _records(spark, sf), spark.createDataFrame([], "product_id long, price_ref double"),
+        L.pivot_labels(_labels_of_part(spark, sf)), F.lit("2024-01-01 00:00:00").cast("timestamp"), IMAGES, PIECES,
+    )
+    kept = docs.where("recommendable")
+    return kept.select("product_id", "status", F.date_format("ingested_at", "yyyy-MM-dd HH:mm:ss").alias("ingested_at"))
+
+
 @query
 def store_document(spark, sf):
     records = documents.parsed(documents.keyed_lines(inputs.store_lines(spark, sf), "store_id"))
@@ -676,6 +709,43 @@ def enrich_diets(spark, sf):
     return _enriched(spark, sf, L.predicted_diet("Plats :"), rules.diets, '{"profile":"vegan","contains":[]}')
 
 
+@query
+def enrich_retry(spark, sf):
+    """Every batch's first call fails, its second one answers."""
+    label = L.menu_step("Produits :")
+    batches = L.ask(_items(spark, sf), label.heading, rules.Flaky(rules.steps), attempts=3)
+    read = L.read_replies(batches, label).where("value is not null")
+    tried = batches.select(F.explode("product_ids").alias("product_id"), F.col("attempts").cast("bigint").alias("attempts"), F.col("error").isNotNull().alias("failed"))
+    return read.join(tried, "product_id")
+
+
+@query
+def label_save(spark, sf):
+    """Labels saved twice as versions of a table: the later ones of a product win, others stay."""
+    table = f"{shared_folder(spark)}/label-save-{uuid.uuid4().hex}"
+    files.save_version(_cached_brand(spark, sf, "menu_step", "Pains"), table)
+    later = load(spark, sf, "part").where("p_size > 20").selectExpr(
+        "p_partkey as product_id", "'menu_step' as field", f"{inputs.STEP} as value", "'model' as source", "'m1' as model"
+    )
+    files.save_version(M.upsert(files.load_table(spark, table), later, ["product_id", "field"]), table)
+    return files.load_table(spark, table)
+
+
+@query
+def label_counts(spark, sf):
+    """Per field: labels, fallbacks, and names that overrode the model."""
+    labels = _labels_of_part(spark, sf).join(
+        load(spark, sf, "part").selectExpr("p_partkey as product_id", "p_size", "p_brand"), "product_id"
+    )
+    marked = labels.withColumn("source", F.when(F.col("p_size") > 40, "fallback").otherwise("model"))
+    return reports.label_counts(marked.withColumn("overridden", F.col("p_brand") == "Brand#7"))
+
+
+@query
+def field_distributions(spark, sf):
+    return reports.field_distributions(_labels_of_part(spark, sf))
+
+
 @query
 def repair_stale(spark, sf):
     """Parts under a retired step are labelled again, the others keep their step."""
@@ -706,6 +776,13 @@ def gap_report(spark, sf):
     return summary.withColumn("position", F.col("position").cast("bigint"))
 
 
+@query
+def grouped_report(spark, sf):
+    """Products without a portion count, numbered within their step."""
+    gaps = reports.missing_portions(inputs.products(spark, sf))
+    return reports.grouped_report(gaps.select("step", "product_id", "sku"), "step", "product_id")
+
+
 @query
 def stale_steps(spark, sf):
     counts = reports.stale_steps(load(spark, sf, "part"), ("SMALL", "LARGE", "HUGE"), "p_type")

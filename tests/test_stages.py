@@ -3,6 +3,7 @@
 import json
 import sys
 
+import pytest
 from pyspark import cloudpickle
 
 from larder import vocab
@@ -64,15 +65,22 @@ def test_run(spark, tmp_path):
     price_lines = lines("prices.jsonl", PRICES)
 
     got = stages.ingest_stores(run, lines("stores.jsonl", STORES), str(tmp_path / "c.csv"))
-    assert got == {"total": 6, "upserted": 5, "modified": 0, "soft_deleted": 0}
+    assert got == {"total": 6, "out_of_bounds": 1, "upserted": 5, "modified": 0, "soft_deleted": 0}
     got = stages.ingest_prices(run, price_lines)
     # Two prices for one store: two rows, one stored.
     assert got == {"total": 6, "entries": 7, "price_rows": 7, "skipped_no_price": 0, "upserted": 6, "modified": 0}
-    got = stages.ingest_products(run, lines("products.jsonl", PRODUCTS), price_lines, SPECS, answer)
+    with pytest.warns(UserWarning, match="1 products without a step"):
+        got = stages.ingest_products(run, lines("products.jsonl", PRODUCTS), price_lines, SPECS, answer)
+    fields = got.pop("labels")
     assert got == {
         "total": 8, "upserted": 6, "modified": 0, "soft_deleted": 0,
         "steps": {"Desserts": 1, "Plats": 2, "Boissons": 2, "unclassified": 1},
     }
+    # The product that is not stored was asked too; one drink's name overrode the model.
+    assert fields["menu_step"] == {"n": 6, "fallback": 0, "overridden": 0, "labels": {"Desserts": 1, "Plats": 2, "Boissons": 3}}
+    assert fields["drink_role"]["overridden"] == 1 and sum(fields["drink_role"]["labels"].values()) == 3
+    assert {f: x["fallback"] for f, x in fields.items()} == dict.fromkeys(SPECS, 0)
+    assert set(fields["could_fit_event"]["labels"]) <= {*vocab.EVENTS, vocab.ALL_EVENTS} and fields["predicted_diet"]["labels"]
 
     docs = {r.product_id: r for r in run.load("products").collect()}
     assert sorted(docs) == [1, 2, 3, 5, 6, 7]
@@ -98,7 +106,22 @@ def test_run(spark, tmp_path):
     assert stores[13].step_catalogue is None and stores[13].is_active is None
     assert stores[14].is_active is False and stores[14].lad_postcodes == []
 
-    assert stages.build_vectors(run, rules.embedder) == {"eligible": 4, "blank_name": 0, "failed": 0}
+    sent = tmp_path / "sent"
+    sent.mkdir()
+    folder = str(sent)
+
+    def client():
+        def send(batch):
+            import uuid
+
+            with open(f"{folder}/{uuid.uuid4().hex}", "w") as f:
+                f.write("\n".join(r["id"] for r in batch))
+
+        return send
+
+    got = stages.build_vectors(run, rules.embedder, client=client)
+    assert got == {"eligible": 4, "blank_name": 0, "failed": 0, "sent": 4}
+    assert sorted(x for p in sent.iterdir() for x in p.read_text().split("\n")) == ["1", "2", "3", "6"]
     assert {r.id for r in run.load("vectors").collect()} == {"1", "2", "3", "6"}
 
     # Second export: product 1 gone, 3 kept; labels come from the cache, the model is not asked.
@@ -123,6 +146,46 @@ def test_run(spark, tmp_path):
     assert {r.id for r in run.load("vectors").collect()} == {"2", "3"}
 
 
+def test_a_crash_in_the_last_pass_repeats_that_pass_only(spark, tmp_path):
+    log = tmp_path / "asked"
+    log.mkdir()
+    folder = str(log)
+
+    def counted(prompt):
+        import uuid
+
+        kind = prompt.split("\n")[0]
+        with open(f"{folder}/{kind}-{uuid.uuid4().hex}", "w"):
+            pass
+        return answer(prompt)
+
+    def broken(prompt):
+        if prompt.startswith("DIETS"):
+            raise OSError("down")
+        return counted(prompt)
+
+    lines = files.read_lines(spark, write(tmp_path, "p.jsonl", PRODUCTS))
+    records = stages.documents.parsed(stages.documents.keyed_lines(lines, "product_id"))
+    run = stages.Run(spark, str(tmp_path / "t"))
+    with pytest.raises(RuntimeError, match="model calls failed"):
+        stages.label_products(run, records, SPECS, broken)
+    assert sorted({p.name.split("-")[0] for p in log.iterdir()}) == ["DRINKS", "EVENTS", "ROLES", "STEPS"]
+    before = {p.name for p in log.iterdir()}
+    found = stages.label_products(run, records, SPECS, counted)
+    again = {p.name.split("-")[0] for p in log.iterdir() if p.name not in before}
+    # Items that a good reply left out are asked again; a step that is known is not.
+    assert "DIETS" in again and "ROLES" not in again and "DRINKS" not in again
+    assert {r.field for r in found.select("field").distinct().collect()} == set(SPECS)
+
+
+def test_a_lost_export_publishes_nothing(spark, tmp_path):
+    run = stages.Run(spark, str(tmp_path / "t"), max_delete_ratio=0.5)
+    stages.ingest_stores(run, files.read_lines(spark, write(tmp_path, "s.jsonl", STORES)))
+    with pytest.raises(ValueError, match="would be removed"):
+        stages.ingest_stores(run, files.read_lines(spark, write(tmp_path, "none.jsonl", STORES[:0])))
+    assert run.load("stores").where("is_active").count() == 3
+
+
 def test_labels_in_the_table_are_known_ones(spark, tmp_path):
     lines = files.read_lines(spark, write(tmp_path, "p.jsonl", PRODUCTS))
     records = stages.documents.parsed(stages.documents.keyed_lines(lines, "product_id"))
@@ -149,8 +212,8 @@ def test_maintenance(spark, tmp_path):
     files.save_version(rows, run.table("products"))
     assert stages.report_gaps(run, str(tmp_path / "gaps")) == {"Pains": 1, "Plateaux": 1}
     dry = stages.drop_retired_fields(run)
-    assert (dry["rows"], dry["fields"]["is_food"], "is_food" in run.load("products").columns) == (1, 1, True)
-    stages.drop_retired_fields(run, apply=True)
+    assert (dry["rows"], dry["total"], dry["fields"]["is_food"], "is_food" in run.load("products").columns) == (1, 4, 1, True)
+    assert stages.drop_retired_fields(run, apply=True)["left"] == 0
     assert "is_food" not in run.load("products").columns
     assert stages.repair_steps(run, SPECS["menu_step"], answer) == {"stale": {"Plateaux": 1, "À côté": 1}}
     done = stages.repair_steps(run, SPECS["menu_step"], answer, apply=True)
