@@ -11,7 +11,7 @@ Two sets of sizes a and b with a Jaccard similarity of 0.75 or more differ in at
 * **Blocks that many documents share** (a passage copied into them) are *hot*. Where a document has more than d blocks that are not hot,
   its pairs meet in one of those, and its hot blocks are not needed. The others need so many of their hot blocks that the sum is more
   than d, and their partners bring as few, by the same order (prefixes on both sides). These few documents (a large group of near copies,
-  mostly) are compared with a leader of each hot block; what is still unconnected with its nearest members, in rounds (see ``_hot_links``).
+  mostly) are compared with a leader of each hot block; what is still unconnected with its nearest members, and the rest with all that may link.
 * **Counting.** A link spoils at most d of the larger document's blocks, so the pair shares the others. Pairs that share fewer
   (a passage, mostly) go before any sketch is sent.
 * **Verification.** Candidates whose sketches are too far apart are dropped; of the rest the whole sets are compared.
@@ -41,7 +41,7 @@ from larder.llm.shared import small, stored
 WORDS = 5
 HOT = 32  # a block sketch shared by more documents is hot
 TILE = 4096
-NEAREST = 2  # partners of a straggler in the first round
+NEAREST = 3  # partners of a straggler in the first of two rounds
 #: Shingles per block for a document at the top of its band, coarsest first; 0 gives every shingle its own.
 PER_BLOCK = (2.0, 1.5, 1.0, 0.5, 0.25, 0.1, 0.0)
 ALL_LEVELS = (1 << len(PER_BLOCK)) - 1
@@ -428,8 +428,8 @@ class _Verifier:
         return self.judged(self.near(pairs)).where("linked").select(F.col("a").alias("u"), F.col("b").alias("v"))
 
 
-def _nearest(most: int):
-    """For each straggler of a tile its ``most`` nearest members that may link, are not connected with it yet and were not compared yet."""
+def _nearest(most: int | None):
+    """For each straggler of a tile its ``most`` nearest members, or all, that may link and are not connected with it yet."""
 
     def run(table: pa.Table) -> pa.Table:
         side, asks = (table[c].to_numpy(zero_copy_only=False) for c in ("straggler", "asks"))
@@ -451,14 +451,10 @@ def _nearest(most: int):
                 found.append(node[members[may[fit]]])
                 distance.append(far[fit])
             found, distance = np.concatenate(found), np.concatenate(distance)
-            tested = table["tested"][int(i)].as_py()
-            if tested and len(found):
-                new = ~np.isin(found, np.array(tested))
-                found, distance = found[new], distance[new]
             found = found[np.lexsort((found, distance))[:most]]
             out.append(np.stack([np.minimum(found, node[i]), np.maximum(found, node[i])], axis=1))
         both = np.unique(np.concatenate(out), axis=0) if out else np.zeros((0, 2), np.int64)
-        return pa.table([pa.array(np.full(len(both), table["key"][0].as_py())), pa.array(both[:, 0]), pa.array(both[:, 1])], names=["key", "a", "b"])
+        return pa.table([pa.array(both[:, 0]), pa.array(both[:, 1])], names=["a", "b"])
 
     return run
 
@@ -513,27 +509,22 @@ def _straggling(members: DataFrame, roots: DataFrame) -> DataFrame:
     return rooted.join(small(parts), "key")
 
 
-def _candidates(rows: DataFrame, reps: DataFrame, tested: DataFrame | None, most: int) -> DataFrame:
-    """(key, a, b): the nearest partners of every member that is not of its block's most frequent root, from tiles against tiles of the block."""
+def _candidates(rows: DataFrame, reps: DataFrame, most: int | None) -> DataFrame:
+    """(a, b): partners of every member that is not of its block's most frequent root, from tiles against tiles of the block."""
     rows = rows.join(reps.select("node", "n", "sketch"), "node")
-    none = F.lit(None).cast("array<long>")
     spread = lambda n: F.sequence(F.lit(0).cast("long"), n - 1)
-    tile = rows.withColumn("t", F.pmod(F.xxhash64("node"), "tiles")).withColumn("s", F.explode(spread(F.col("loose_tiles")))).withColumn("straggler", F.lit(False)).withColumn("tested", none)
+    tile = rows.withColumn("t", F.pmod(F.xxhash64("node"), "tiles")).withColumn("s", F.explode(spread(F.col("loose_tiles")))).withColumn("straggler", F.lit(False))
     single = rows.where("root <> main").withColumn("s", F.pmod(F.xxhash64("node"), "loose_tiles")).withColumn("t", F.explode(spread(F.col("tiles")))).withColumn("straggler", F.lit(True))
-    if tested is None:
-        single = single.withColumn("tested", none)
-    else:  # no more than a member was compared with so far
-        single = single.join(tested.groupBy("node").agg(F.collect_set("other").alias("tested")), "node", "left")
-    tiles = tile.unionByName(single).select("key", "t", "s", "straggler", "asks", "node", "root", "n", "sketch", "tested")
-    return stored(tiles.groupBy("key", "t", "s").applyInArrow(_nearest(most), "key long, a long, b long"), "candidates")
+    tiles = tile.unionByName(single).select("key", "t", "s", "straggler", "asks", "node", "root", "n", "sketch")
+    return stored(tiles.groupBy("key", "t", "s").applyInArrow(_nearest(most), "a long, b long").distinct(), "candidates")
 
 
 def _hot_links(met: DataFrame, hot: DataFrame, reps: DataFrame, verifier: _Verifier, links: DataFrame) -> DataFrame:
     """Links that only hot blocks can show, added to what ``links`` connects.
 
-    All members are compared with a leader of their block. What is then not connected with most of a block goes through rounds: each such member
-    is compared with its few nearest ones that it is not connected with, what links is contracted, and those still apart go on with the next nearest, four times
-    as many, until nothing is left that may link. So a member that is connected soon costs a few comparisons, however large its group is.
+    All members are compared with a leader of their block. Of what is then not connected with most of a block, each member
+    is compared with its few nearest ones, which connects nearly all that are connected at all, however large the group is; what links is contracted.
+    Those that are still apart are compared with every member that their sketches leave possible.
     """
     if hot.where("hot > slack").isEmpty():
         return links
@@ -542,21 +533,15 @@ def _hot_links(met: DataFrame, hot: DataFrame, reps: DataFrame, verifier: _Verif
     leaders = members.groupBy("key").agg(F.min_by("node", rank).alias("leader"))
     pairs = members.join(small(leaders), "key").where("node <> leader")
     pairs = pairs.select(F.least("node", "leader").alias("a"), F.greatest("node", "leader").alias("b"))
-    links, tested, most = links.unionByName(verifier.links(pairs)), None, NEAREST
-    while True:
-        roots = stored(components(links), "roots")
+    found = verifier.links(pairs)
+    for most in (NEAREST, None):
+        roots = stored(components(links.unionByName(found)), "roots")
         links = roots.where("node <> root").select(F.col("root").alias("u"), F.col("node").alias("v"))
-        found = _candidates(_straggling(members, roots), reps, tested, most)
-        if found.isEmpty():
+        pairs = _candidates(_straggling(members, roots), reps, most)
+        if pairs.isEmpty():
             return links
-        judged = verifier.judged(found.select("a", "b").distinct())
-        links = links.unionByName(judged.where("linked").select(F.col("a").alias("u"), F.col("b").alias("v")))
-        apart = judged.where("NOT linked")
-        apart = apart.select(F.col("a").alias("node"), F.col("b").alias("other")).unionByName(apart.select(F.col("b").alias("node"), F.col("a").alias("other")))
-        tested = apart if tested is None else tested.unionByName(apart)
-        # A block without a candidate has none later either: roots only grow together.
-        members = members.join(small(found.select("key").distinct()), "key", "left_semi")
-        most *= 4
+        found = verifier.judged(pairs).where("linked").select(F.col("a").alias("u"), F.col("b").alias("v"))
+    return links.unionByName(found)
 
 
 # --- the join ---------------------------------------------------------------------------------
