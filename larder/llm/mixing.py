@@ -7,6 +7,9 @@ expected copies stay as they were. A task does this along its documents and hand
 ``FAN_IN`` at a time, level by level, until one per source is left, which alone is rounded to the nearest.
 So a source misses its target by half of one document at most.
 
+Rows that repeat in full are one document of several copies while copies are rounded, which are then dealt evenly to the rows: however many there are,
+they are one item of a group, and together they take what their share asks for.
+
 Random numbers are hashes of the document and the level: reruns agree, whatever the partitions.
 """
 
@@ -15,7 +18,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from larder.llm.shared import free, small, stored
+from larder.llm.shared import free, numbered, small, stored
 
 GROUP_ROWS = 2_000
 FAN_IN = 64
@@ -106,13 +109,13 @@ def _round(rows: pd.DataFrame, level: int, last: bool) -> pd.DataFrame:
     return rows
 
 
-def key(doc_id: Column, text: Column) -> Column:
-    """What tells documents apart and deals them out; rows that repeat in full share it."""
-    return F.xxhash64(doc_id, text)
+def key(doc_id: Column, text: Column, source: Column) -> Column:
+    """What tells documents apart and deals them out; rows that repeat share it."""
+    return F.xxhash64(doc_id, text, source)
 
 
 def copies(docs: DataFrame, by_source: DataFrame) -> DataFrame:
-    """(doc_id, order, source, size, source_size, target, copies) of every row of ``docs`` (doc_id, order, source, size).
+    """(doc_id, order, source, size, n, source_size, target, copies) of every row of ``docs`` (doc_id, order, source, size, n), n rows that repeat.
 
     ``by_source`` has source, source_size, n_docs and target. A source of any size is dealt to groups of about
     ``GROUP_ROWS`` documents by ``order``, the document's key.
@@ -123,8 +126,8 @@ def copies(docs: DataFrame, by_source: DataFrame) -> DataFrame:
     plan = by_source.select(F.col("source").alias("s"), "source_size", "target", share.alias("copies"), groups.alias("groups"))
     rows = docs.join(plan, F.col("source").eqNullSafe(F.col("s")))
     part = F.pmod(F.xxhash64(F.lit(3), "order"), "groups").alias("part")
-    rows = rows.select("doc_id", "order", "source", "size", "source_size", "target", "copies", part, "groups")
-    schema = "doc_id long, order long, source string, size long, source_size long, target double, copies double, part long, groups long, open boolean"
+    rows = rows.select("doc_id", "order", "source", "size", "n", "source_size", "target", (F.col("copies") * F.col("n")).alias("copies"), part, "groups")
+    schema = "doc_id long, order long, source string, size long, n long, source_size long, target double, copies double, part long, groups long, open boolean"
     top = by_source.agg(F.coalesce(F.max(groups), F.lit(1))).first()[0]
     done, level = [], 0
     while True:
@@ -144,27 +147,44 @@ def copies(docs: DataFrame, by_source: DataFrame) -> DataFrame:
 
 
 def mixed(docs: DataFrame, share: float = 1.5, most: float = 2.0, weights: tuple[float, ...] = WEIGHTS) -> DataFrame:
-    """How often each document is taken: see ``copies``. ``docs`` needs doc_id, text and source.
+    """How often each document is taken, by all its ``n`` rows together: see ``copies``. ``docs`` needs doc_id, text and source.
 
     Null texts have size 0 and are never taken; a null source is a source of its own, the last one. An empty table gives no rows.
     """
-    rows = docs.select(
-        F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"), key(F.col("doc_id"), F.col("text")).alias("order"), size_in_words(F.col("text")).alias("size")
-    )
-    rows = stored(rows, "sizes")
-    by_source = rows.groupBy("source").agg(F.sum("size").alias("source_size"), F.count(F.lit(1)).alias("n_docs"))
+    doc_id, source = F.col("doc_id").cast("long"), F.col("source").cast("string")
+    rows = docs.select(doc_id.alias("doc_id"), source.alias("source"), key(doc_id, F.col("text"), source).alias("order"), size_in_words(F.col("text")).alias("size"))
+    rows = stored(rows.groupBy("doc_id", "source", "order", "size").agg(F.count(F.lit(1)).alias("n")), "sizes")
+    by_source = rows.groupBy("source").agg(F.sum(F.col("size") * F.col("n")).alias("source_size"), F.count(F.lit(1)).alias("n_docs"))
     aimed = targets(by_source, share, most, weights)
     return copies(rows, aimed)
 
 
+def dealt(place: Column, copies: Column, n: Column) -> Column:
+    """Copies of the row at ``place``, from 1, of the n rows that share them."""
+    return F.call_function("div", copies, n) + (place <= copies % n).cast("long")
+
+
 def mix(docs: DataFrame) -> DataFrame:
-    """``docs`` with each row as often as the mix takes it; columns stay as they are. Rows that repeat in full are taken equally often."""
-    order, same, times, copy = (free(docs, x) for x in ("_order", "_key", "_times", "_copy"))
-    often = mixed(docs).where("copies > 0").groupBy(F.col("order").alias(same)).agg(F.max("copies").cast("int").alias(times))
-    taken = docs.withColumn(order, key(F.col("doc_id"), F.col("text"))).join(small(often), F.col(order) == F.col(same))
-    return taken.withColumn(copy, F.explode(F.sequence(F.lit(1), F.col(times)))).select(*docs.columns)
+    """``docs`` with each row as often as the mix takes it; columns stay as they are. Rows that repeat share their copies as evenly as whole numbers allow."""
+    order, same, times, copy, place = (free(docs, x) for x in ("_order", "_key", "_times", "_copy", "_place"))
+    taken = stored(mixed(docs).where("copies > 0").select(F.col("order").alias(same), "copies", "n"), "taken")
+    doc_id, source = F.col("doc_id").cast("long"), F.col("source").cast("string")
+    marked = docs.withColumn(order, key(doc_id, F.col("text"), source))
+
+    def given(rows: DataFrame, often: DataFrame, at: Column) -> DataFrame:
+        often = small(often.withColumnsRenamed({"copies": f"{copy}s", "n": f"{copy}n"}))
+        deal = dealt(at, F.col(f"{copy}s"), F.col(f"{copy}n")).cast("int")
+        rows = rows.join(often, F.col(order) == F.col(same)).withColumn(times, deal).where(F.col(times) > 0)
+        return rows.withColumn(copy, F.explode(F.sequence(F.lit(1), F.col(times)))).select(*docs.columns)
+
+    again = taken.where("n > 1")
+    once = given(marked, taken.where("n = 1"), F.lit(1))
+    if again.isEmpty():
+        return once
+    repeats = marked.join(small(again.select(F.col(same).alias(place))), F.col(order) == F.col(place), "left_semi")
+    return once.unionByName(given(numbered(repeats, order, place), again, F.col(place)))
 
 
 def report(docs: DataFrame) -> DataFrame:
-    rows = mixed(docs)
-    return rows.select("doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"))
+    rows = mixed(docs).withColumn("place", F.explode(F.sequence(F.lit(1).cast("long"), F.col("n"))))
+    return rows.select("doc_id", "size", "source_size", "target", (dealt(F.col("place"), F.col("copies"), F.col("n")) * F.col("size")).alias("taken"))

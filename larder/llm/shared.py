@@ -3,7 +3,7 @@
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 
@@ -51,3 +51,18 @@ def small(df: DataFrame, rows: int = 500_000) -> DataFrame:
     """
     df = stored(df, "small")
     return F.broadcast(df) if df.count() <= rows else df
+
+
+def numbered(df: DataFrame, key: str, place: str) -> DataFrame:
+    """Adds ``place``: the number, from 1, of each row among those that share ``key``.
+
+    Rows are dealt to ranges, so that a hot key is spread; a row's place in its range is added to the key's rows in earlier ones.
+    """
+    tie, spot, group, first, before = (free(df, x) for x in ("_tie", "_spot", "_group", "_first", "_before"))
+    ranged = df.withColumn(tie, F.monotonically_increasing_id()).repartitionByRange(key, tie).sortWithinPartitions(key, tie)
+    placed = stored(ranged.withColumn(spot, F.monotonically_increasing_id()), "numbered")
+    per = placed.groupBy(F.col(key).alias(group), F.shiftright(spot, 33).alias(tie)).agg(F.min(spot).alias(first), F.count(F.lit(1)).alias(spot))
+    earlier = Window.partitionBy(group).orderBy(tie).rowsBetween(Window.unboundedPreceding, -1)
+    per = per.select(group, first, F.col(tie).alias(before), F.coalesce(F.sum(spot).over(earlier), F.lit(0)).alias(tie))
+    rows = placed.drop(tie).join(per, (F.col(key) == F.col(group)) & (F.shiftright(spot, 33) == F.col(before)))
+    return rows.withColumn(place, F.col(tie) + F.col(spot) - F.col(first) + 1).select(*df.columns, place)

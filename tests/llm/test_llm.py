@@ -394,6 +394,26 @@ def test_mix(spark):
     assert {r.taken for r in mixing.report(docs(spark, [None, ""])).collect()} == {0}
 
 
+def test_rows_that_repeat_share_their_copies(spark):
+    schema = "doc_id long, text string, source string, place long, copies long, n long, _key int"
+    rows = [(7, "a b c d e", "s", i, 5, 6, 1) for i in range(4000)] + [(i, "x " * (i % 40 + 1), "t", i, 1, 1, 1) for i in range(100, 600)]
+    df = spark.createDataFrame(rows, schema).repartition(5)
+    report = mixing.report(df).collect()
+    assert len(report) == 4500 and {r.taken for r in report if r.doc_id == 7} <= {0, 5, 10}
+    took = sum(r.taken for r in report if r.doc_id == 7)
+    target = next(r.target for r in report if r.doc_id == 7)
+    assert abs(took - target) <= 3
+    kept = mixing.mix(df)
+    assert kept.columns == df.columns
+    mixed = kept.collect()
+    assert 5 * sum(r.doc_id == 7 for r in mixed) == took
+    times = {}
+    for r in mixed:
+        times[r.place, r.doc_id] = times.get((r.place, r.doc_id), 0) + 1
+    assert max(times.values()) <= 2 and sum(len(r.text.split()) for r in mixed if r.doc_id != 7) == sum(r.taken for r in report if r.doc_id != 7)
+
+
+
 def test_pivot_keeps_the_mass_and_the_chances():
     rng = np.random.default_rng(2)
     sizes, share = np.array([3.0, 5, 7, 2, 2, 9]), np.array([0.3, 1.5, 0.8, 0.25, 0.1, 0.4])
