@@ -6,11 +6,14 @@ the article, with those of its siblings that hold text with few links. Menus, he
 notices, adverts, forms, scripts, styles and comments are left out by element, role and class before anything is scored. A class or id
 leaves an element out only if it holds less than half of the page's prose: layout wrappers have such names too.
 
-Null and empty pages give an empty text. A page that breaks off anywhere gives what was there.
+Null and empty pages give an empty text. A page that breaks off anywhere gives what was there. Of elements with equal points the first one is the article. Very
+long and very deep pages are read whole, in time that grows with their length: points go up ``LEVELS`` levels, beyond which an ancestor's share would be under half a hundredth, and
+the tree is built without a search up to its root. Pages that repeat give equal rows, an empty table none; columns beside page_id, url and html do not matter.
 """
 
 import html
 import re
+from collections import Counter
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -47,11 +50,17 @@ _TAG = re.compile(r"""<!--.*?(?:--!?>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/
 _ATTRIBUTE = re.compile(r"""([a-zA-Z_:][-\w:.]*)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
 
 
+LEVELS = 64
+#: Where the search for an open paragraph ends.
+_SCOPES = ("p", "td", "th", "li", "table", "button", "object")
+
+
 class Node:
-    __slots__ = ("children", "length", "linked", "named", "out", "parent", "points", "tag")
+    __slots__ = ("children", "length", "linked", "named", "out", "parent", "points", "scope", "tag")
 
     def __init__(self, tag: str, parent: "Node | None", out: bool):
         self.tag, self.parent, self.out = tag, parent, out
+        self.scope: Node | None = self if tag in _SCOPES else parent.scope if parent else None
         self.children: list[Node | str] = []
         self.points = 0.0
         self.named = False  # a class or id that boilerplate has
@@ -70,13 +79,8 @@ def _named(tag: str, attributes: str) -> bool:
     return bool(UNLIKELY.search(marks))
 
 
-def _dropped(tag: str, attributes: str, parent: Node) -> bool:
-    if tag in LEFT_OUT:
-        return True
-    inside = parent
-    while tag == "header" and inside and inside.tag not in ("article", "main"):
-        inside = inside.parent
-    if tag == "header" and not inside:
+def _dropped(tag: str, attributes: str, in_article: bool) -> bool:
+    if tag in LEFT_OUT or tag == "header" and not in_article:
         return True
     if not attributes or tag in ("html", "body", "article", "main"):
         return False
@@ -114,6 +118,15 @@ def tree(page: str) -> Node:
     """The element tree, with open and misplaced tags put right in the ways that matter for text."""
     root = node = Node("#", None, False)
     at, size = 0, len(page)
+    open_tags: Counter[str] = Counter()  # from the root down to ``node``
+
+    def leave(to: Node) -> Node:
+        up = node
+        while up is not to:
+            open_tags[up.tag] -= 1
+            up = up.parent
+        return to
+
     while at < size:
         m = _TAG.search(page, at)
         if not m:
@@ -125,28 +138,24 @@ def tree(page: str) -> Node:
         if not tag:
             continue
         if closing:
-            up = node
-            while up.parent and up.tag != tag:
-                up = up.parent
-            if up.parent:
-                node = up.parent
+            if open_tags[tag]:
+                up = node
+                while up.tag != tag:
+                    up = up.parent
+                node = leave(up.parent)
             continue
-        if tag in CLOSES_P:
-            up = node
-            while up.parent and up.tag not in ("p", "td", "th", "li", "table", "button", "object"):
-                up = up.parent
-            if up.tag == "p":
-                node = up.parent
-        if tag in ENDS:
+        if tag in CLOSES_P and node.scope and node.scope.tag == "p":
+            node = leave(node.scope.parent)
+        if tag in ENDS and any(open_tags[t] for t in ENDS[tag][0]):
             ended, stops = ENDS[tag]
             up, to = node, None
             while up.parent and up.tag not in stops:
                 if up.tag in ended:
                     to = up.parent
                 up = up.parent
-            node = to or node
+            node = leave(to) if to else node
         attributes = m[3] if m[3] is not None else m[6] or ""
-        child = Node(tag, node, node.out or _dropped(tag, attributes, node))
+        child = Node(tag, node, node.out or _dropped(tag, attributes, bool(open_tags["article"] or open_tags["main"])))
         child.named = _named(tag, attributes)
         node.children.append(child)
         if tag in RAW:
@@ -156,6 +165,7 @@ def tree(page: str) -> Node:
             at = end.end() if end else size
         elif tag not in VOID and not (attributes.endswith("/") and tag not in BLOCK):
             node = child
+            open_tags[tag] += 1
     if at < size:
         node.children.append(page[at:])
     _leave_out_named(root)
@@ -191,7 +201,7 @@ def _measure(root: Node) -> list[Node]:
         if loose:
             node.points += points
         up, level = node.parent, 0
-        while up:
+        while up and level < LEVELS:
             up.points += points / (1 if level == 0 else 2 if level == 1 else 3 * level)
             up, level = up.parent, level + 1
     return order

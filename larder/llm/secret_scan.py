@@ -64,13 +64,18 @@ def key_block_holds(block: str) -> bool:
 
 @dataclass(frozen=True)
 class Kind:
-    """A kind of secret. ``holds`` sees the match; a match it refuses still uses up its characters."""
+    """A kind of secret. ``holds`` sees the match; a match it refuses still uses up its characters.
+
+    ``run``: characters of which a match begins with as many as there are. Where no match begins, none begins later in that run either,
+    so that each run is read once, however many hits it holds.
+    """
 
     name: str
     keywords: tuple[str, ...]
     pattern: str
     holds: Callable[[re.Match], bool]
     shape: bool = False
+    run: str | None = None
 
 
 # The patterns the result is defined by (first three), and published token formats.
@@ -85,7 +90,7 @@ KINDS = (
     Kind("hex", ("h" * 24,), r"[0-9a-f]+", lambda m: len(m[0]) >= 24, shape=True),
     Kind("forge", ("ghp_", "gho_", "ghu_", "ghs_", "ghr_"), r"gh[pousr]_[A-Za-z0-9]{36}(?![A-Za-z0-9])", lambda m: crc_suffix_holds(m[0])),
     Kind("registry", ("npm_",), r"npm_[A-Za-z0-9]{36}(?![A-Za-z0-9])", lambda m: crc_suffix_holds(m[0])),
-    Kind("jwt", ("eyj",), r"eyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{16,}", lambda m: jwt_holds(m[0])),
+    Kind("jwt", ("eyj",), r"eyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{16,}", lambda m: jwt_holds(m[0]), run=r"[A-Za-z0-9_-]+"),
     Kind("private_key", ("-----begin",), r"-----BEGIN ([A-Z]+ )*PRIVATE KEY-----[A-Za-z0-9+/=\s]+-----END ([A-Z]+ )*PRIVATE KEY-----", lambda m: key_block_holds(m[0])),
 )
 BASE = ("assign", "access", "hex")
@@ -100,12 +105,12 @@ def _automata(kinds: tuple[Kind, ...]):
     for a in (plain, shape):
         if len(a):
             a.make_automaton()
-    return plain, shape, [re.compile(k.pattern) for k in kinds]
+    return plain, shape, [re.compile(k.pattern) for k in kinds], [re.compile(k.run) if k.run else None for k in kinds]
 
 
 def spans(text: str, kinds: tuple[Kind, ...] = KINDS) -> list[tuple[int, int, int]]:
     """(kind number, start, end) in code points, leftmost non-overlapping per kind, by start, then kind."""
-    plain, shape, patterns = _automata(kinds)
+    plain, shape, patterns, runs = _automata(kinds)
     raw = text.encode("utf-8", "surrogatepass")
     ascii_only = len(raw) == len(text)
     found, done = [], [0] * len(kinds)
@@ -122,7 +127,11 @@ def spans(text: str, kinds: tuple[Kind, ...] = KINDS) -> list[tuple[int, int, in
                 seen_points += len(raw[seen_bytes:at].decode("utf-8", "surrogatepass"))
                 seen_bytes = at
             at = seen_points
-        if at < done[i] or not (m := patterns[i].match(text, at)):
+        if at < done[i]:
+            continue
+        if not (m := patterns[i].match(text, at)):
+            if runs[i] and (tried := runs[i].match(text, at)):
+                done[i] = tried.end()
             continue
         done[i] = m.end()
         if kinds[i].holds(m):

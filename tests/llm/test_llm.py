@@ -71,6 +71,38 @@ def test_secrets(spark):
     assert "forge:2:42" in got[len(ODD)]["spans"] and "forge" not in got[len(ODD) + 1]["spans"]
 
 
+def test_checked_kinds_of_secrets(spark):
+    import base64
+
+    def part(raw):
+        return base64.urlsafe_b64encode(raw).decode().rstrip("=")
+
+    jwt = ".".join([part(b'{"alg":"HS256","typ":"JWT"}'), part(b'{"sub":"1234567890"}'), "s" * 20])
+    der = bytes([0x30, 0x82, 0x01, 0x00]) + bytes(range(256))
+    lines = base64.b64encode(der).decode()
+    key = f"-----BEGIN RSA PRIVATE KEY-----\n{lines[:64]}\n{lines[64:]}\n-----END RSA PRIVATE KEY-----"
+    good = crc_token("npm_", "Zz9" * 10)
+    texts = [jwt, key, good, f"é {jwt} {key} {good}", jwt.replace(part(b'{"alg":"HS256","typ":"JWT"}'), part(b'{"nothing":"in here"}')), key.replace(lines[:8], "AAAAAAAA"), good[:-1] + "!", "eyJ" * 9 + " " + jwt]
+    got = by_id(secret_scan.report(docs(spark, texts)))
+    kinds = lambda i: [x.split(":")[0] for x in got[i]["spans"].split(",") if x.split(":")[0] not in (*secret_scan.BASE, "")]
+    assert [kinds(i) for i in range(len(texts))] == [["jwt"], ["private_key"], ["registry"], ["jwt", "private_key", "registry"], [], [], [], ["jwt"]]
+    assert f"jwt:2:{2 + len(jwt)}" in got[3]["spans"] and f"jwt:28:{28 + len(jwt)}" in got[7]["spans"]
+
+
+def test_hostile_texts_take_linear_time():
+    import time
+
+    for text in ("eyJ" * 350_000, "eyJabcdefgh.eyJ" * 70_000, "-----BEGIN PRIVATE KEY-----a" * 40_000, "secret" + " " * 1_000_000, "ghp_" * 250_000):
+        start = time.perf_counter()
+        secret_scan.spans(text)
+        assert time.perf_counter() - start < 5, text[:20]
+    for page in ("<div><p>a, b" * 20_000, "<div>" * 20_000 + "x", "<b></i>" * 20_000, "<div><header>" * 10_000 + "y", "<li><div>" * 20_000 + "z", "<p>text, more" + "<span>" * 20_000 + "</span></div>" * 20_000):
+        start = time.perf_counter()
+        main_text.main_text(page)
+        assert time.perf_counter() - start < 5, page[:20]
+    assert main_text.main_text("<div>" * 5000 + "<p>deep, text</p>").strip() == "deep, text"
+
+
 # --- 2 perplexity
 
 
