@@ -24,7 +24,7 @@ def answers(reply: Column) -> Column:
 
     Keys that are no whole number (a product name, say) are left out.
     """
-    parsed = F.try_parse_json(unfence(reply))
+    parsed = V.try_parse(unfence(reply))
     pairs = F.map_entries(
         F.when(V.is_object(parsed), F.try_variant_get(parsed, "$", "map<string,variant>"))
     )

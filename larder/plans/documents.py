@@ -29,7 +29,7 @@ def keyed_lines(lines: DataFrame, key: str) -> DataFrame:
 
 def parsed(rows: DataFrame) -> DataFrame:
     """Adds the parsed ``record`` of each ``raw`` line; text that is no JSON ends the job."""
-    return rows.withColumn("record", F.parse_json("raw"))
+    return rows.withColumn("record", V.parse(F.col("raw")))
 
 
 def product_documents(

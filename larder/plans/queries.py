@@ -127,7 +127,7 @@ def price_ref(spark, sf):
 def price_index(spark, sf):
     lines = inputs.price_lines(spark, sf)
     day = F.unix_seconds(F.col("position.day").cast("timestamp")).cast("decimal(38,0)")
-    place = day * F.lit(10**20).cast("decimal(21,0)") + (F.col("position.line") * 10 + F.col("position.part"))
+    place = day * F.lit("1" + "0" * 20).cast("decimal(21,0)") + (F.col("position.line") * 10 + F.col("position.part"))
     return R.latest_reference_prices(R.read_price_records(lines.withColumn("position", place.cast("decimal(38,0)"))))
 
 
@@ -333,8 +333,8 @@ def override_cascade(spark, sf):
         "p_partkey as product_id",
         """concat(p_name, ' ', case p_brand when 'Brand#1' then 'Mousseux sans alcool' when 'Brand#2' then 'PUNCH SANS-ALCOOL du bar'
            when 'Brand#3' then 'coffret champomy x 6' when 'Brand#4' then 'EAU plate aromatisée menthe'
-           when 'Brand#5' then 'trois eaux légères aromatisées' when 'Brand#6' then 'bouteille thé noir glacé'
-           when 'Brand#7' then 'Thé du jardin, servi glacé' when 'Brand#8' then 'ice tea mangue' when 'Brand#9' then 'pack ICE-TEA'
+           when 'Brand#5' then 'trois eaux légères aromatisées' when 'Brand#6' then 'deux thés, un thé glacé'
+           when 'Brand#7' then 'petite boisson au the blanc' when 'Brand#8' then 'ice tea mangue' when 'Brand#9' then 'pack ICE-TEA'
            when 'Brand#10' then 'assortiment de thés noirs' when 'Brand#11' then 'grand café crème' when 'Brand#12' then 'bol de chicorée'
            when 'Brand#13' then 'INFUSION du soir' when 'Brand#14' then 'athénée rosé' when 'Brand#15' then 'plateau aromatisé'
            when 'Brand#16' then 'seau de glaçons' else 'cidre brut' end) as name""",
@@ -406,8 +406,10 @@ def _records(spark, sf):
 
 @query
 def json_records(spark, sf):
-    """JSON lines between blank ones, parsed back to fields."""
+    """JSON lines between blank ones, parsed back to fields; those of one status repeat a key, whose last value holds."""
     lines = inputs.product_lines(spark, sf)
+    again = F.concat(F.lit('{"suppliers_department":"old","extra":{"a":1,"a":2},'), F.expr("substring(value, 2)"))
+    lines = lines.withColumn("value", F.when(F.contains("value", F.lit("Désactivé")), again).otherwise(F.col("value")))
     lines = lines.select(F.explode(F.array("value", F.lit(" \t"), F.lit(""))).alias("value"), "position")
     return files.parse_records(lines).select(
         F.variant_get("record", "$.product_id", "bigint").alias("product_id"),
@@ -541,7 +543,7 @@ def _replies(spark, sf, reply):
 
 
 STEP_REPLY = """case p_type when 'SMALL' then '{"1":"DESSERTS","2":" boissons ","3":"Nope"}'
-    when 'PROMO' then '```json\n{"1":"Petit déj","2":["Plats"],"9":"Pains","Gratin":"Plats"}\n```'
+    when 'PROMO' then '```json\n{"1":"Pains","1":"Petit déj","2":["Plats"],"9":"Pains","Gratin":"Plats"}\n```'
     when 'LARGE' then '```{" 1 ":"table & déco","2":null}``` done' when 'MEDIUM' then 'no json'
     when 'ECONOMY' then '["Plats"]' end"""
 

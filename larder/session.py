@@ -16,8 +16,6 @@ def local_session(app: str = "larder", cpus: str = "*", shuffle_partitions: int
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
-        # Of a key that an object repeats the last value holds; without this the line ends the job.
-        .config("spark.sql.variant.allowDuplicateKeys", "true")
         .config("spark.driver.memory", os.environ.get("LARDER_DRIVER_MEMORY", "8g"))
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
