@@ -42,6 +42,7 @@ WORDS = 5
 HOT = 32  # a block sketch shared by more documents is hot
 TILE = 4096
 NEAREST = 3  # partners of a straggler in the first of two rounds
+EARLY = 4  # blocks of a member that this round looks at
 #: Shingles per block for a document at the top of its band, coarsest first; 0 gives every shingle its own.
 PER_BLOCK = (2.0, 1.5, 1.0, 0.5, 0.25, 0.1, 0.0)
 ALL_LEVELS = (1 << len(PER_BLOCK)) - 1
@@ -477,7 +478,7 @@ def _cold_pairs(met: DataFrame, hot: DataFrame) -> DataFrame:
 
 
 def _hot_members(met: DataFrame, hot: DataFrame, reps: DataFrame) -> DataFrame:
-    """(key, node, asks) of the hot blocks in which pairs must meet that share no other block.
+    """(key, node, asks, early) of the hot blocks in which pairs must meet that share no other block.
 
     Such a pair shares more than ``slack`` hot blocks, by the larger one's count, and by the smaller one's all of its blocks but a third of its
     size. Taken in one order for all, that of the keys, the first shared block is thus among the first ``ask`` of the larger one and among the
@@ -492,12 +493,12 @@ def _hot_members(met: DataFrame, hot: DataFrame, reps: DataFrame) -> DataFrame:
     lists = members.where("own").groupBy("node").agg(F.array_sort(F.collect_list("key")).alias("keys")).join(roles, "node")
     lists = lists.withColumn("keys", F.slice("keys", 1, F.col("give").cast("int")))
     first = lists.select("node", "n", "ask", F.posexplode("keys").alias("nth", "key"))
-    first = stored(first.select("key", "node", "n", (F.col("nth") < F.col("ask")).alias("asks")), "first")
+    first = stored(first.select("key", "node", "n", (F.col("nth") < F.col("ask")).alias("asks"), (F.col("nth") < EARLY).alias("early")), "first")
     # Sizes of the documents that ask for a block: partners are not larger, nor less than three quarters.
     asked = stored(first.where("asks").groupBy("key").agg(F.min("n").alias("low"), F.max("n").alias("high")), "asked")
     below = members.where("NOT own").join(asked.select("key"), "key", "left_semi").join(reps.select("node", "n"), "node")
-    every = first.unionByName(below.select("key", "node", "n", F.lit(False).alias("asks")))
-    return stored(every.join(asked, "key").where("n <= high AND 4 * n >= 3 * low").select("key", "node", "asks"), "members")
+    every = first.unionByName(below.select("key", "node", "n", F.lit(False).alias("asks"), F.lit(False).alias("early")))
+    return stored(every.join(asked, "key").where("n <= high AND 4 * n >= 3 * low").select("key", "node", "asks", "early"), "members")
 
 
 def _straggling(members: DataFrame, roots: DataFrame) -> DataFrame:
@@ -534,12 +535,11 @@ def _hot_links(met: DataFrame, hot: DataFrame, reps: DataFrame, verifier: _Verif
     pairs = members.join(small(leaders), "key").where("node <> leader")
     pairs = pairs.select(F.least("node", "leader").alias("a"), F.greatest("node", "leader").alias("b"))
     found = verifier.links(pairs)
-    for most in (NEAREST, None):
+    # The nearest ones are looked for in the first few blocks of each member, where those of its group are found as well; all of them in all blocks.
+    for most, where in ((NEAREST, members.where("early")), (None, members)):
         roots = stored(components(links.unionByName(found)), "roots")
         links = roots.where("node <> root").select(F.col("root").alias("u"), F.col("node").alias("v"))
-        pairs = _candidates(_straggling(members, roots), reps, most)
-        if pairs.isEmpty():
-            return links
+        pairs = _candidates(_straggling(where, roots), reps, most)
         found = verifier.judged(pairs).where("linked").select(F.col("a").alias("u"), F.col("b").alias("v"))
     return links.unionByName(found)
 
