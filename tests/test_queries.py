@@ -42,7 +42,7 @@ def test_no_cross_join(spark, name):
 
 
 def test_scans_read_few_columns_and_push_filters(spark):
-    text = plan(QUERIES["catalogue_step_cost"](spark, FOLDER))
+    text = plan(catalogue.sold(inputs.prices(spark, FOLDER), inputs.products(spark, FOLDER)))
     assert "ReadSchema: struct<l_partkey:bigint,l_suppkey:bigint,l_extendedprice:double>" in text
     text = plan(QUERIES["upsert_composite"](spark, FOLDER))
     assert "PushedFilters: [IsNotNull(l_shipdate), LessThan(l_shipdate" in text
