@@ -10,7 +10,7 @@ from larder.llm.shared import free, small, stored
 def keep_one(docs: DataFrame) -> DataFrame:
     """``docs`` without documents that link, over any number of links, to one with a smaller doc_id. Columns stay.
 
-    Rows that share a doc_id are one document, of which the row with the least hash of its text stays. Rows without a doc_id cannot be
+    Rows that share a doc_id are one document, of which the row with the least hash of all its columns stays. Rows without a doc_id cannot be
     named and stay, and so do documents without words, which link with nothing.
     """
     gone_id, again_id, tie, least, first_id = (free(docs, x) for x in ("_gone", "_again", "_tie", "_least", "_id"))
@@ -21,7 +21,7 @@ def keep_one(docs: DataFrame) -> DataFrame:
     once = kept.join(again, F.col("doc_id") == F.col(again_id), "left_anti")
     if again.isEmpty():
         return kept
-    repeats = kept.join(again, F.col("doc_id") == F.col(again_id), "left_semi").withColumn(tie, F.xxhash64("text"))
+    repeats = kept.join(again, F.col("doc_id") == F.col(again_id), "left_semi").withColumn(tie, F.xxhash64(F.to_json(F.struct(*docs.columns))))
     first = repeats.groupBy("doc_id").agg(F.min(tie).alias(least)).withColumnRenamed("doc_id", first_id)
     repeats = repeats.join(first, (F.col("doc_id") == F.col(first_id)) & (F.col(tie) == F.col(least))).dropDuplicates(["doc_id"])
     return once.unionByName(repeats.select(*docs.columns))

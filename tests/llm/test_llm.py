@@ -355,6 +355,22 @@ def test_templates(spark):
         licenses.compile_template("x", "a <<beginOptional>> b")
 
 
+def test_license_places_equal_plain_search(spark):
+    phrases = {"gpl": "gnu general public license", "apache": "apache license", "cc-by": "cc by", "mit": "mit license"}
+    texts = ODD + [r.text for r in table(spark, "documents", SMALL).collect()] + [
+        "MIT License, mit-license! the Apache\nLicense apache license", "gnu general public gnu general public license", "cc by cc BY by cc", "É mit license", "mitlicense mit  license",
+    ]
+    got = by_id(licenses.report(docs(spark, texts)))
+    for i, t in enumerate(texts):
+        low = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in t or "")
+        words = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", low)
+        found = [(k, label) for label, p in phrases.items() for k in range(len(words)) if words[k : k + len(p.split())] == p.split()]
+        places = [k for k, _ in found]
+        want = (len(words), len(found), min(places, default=None), max(places, default=None), ",".join(sorted({x for _, x in found})))
+        assert tuple(got[i][c] for c in ("n_words", "n_base", "first_word", "last_word", "base_labels")) == want, (t or "")[:60]
+    assert licenses.report(docs(spark, [])).count() == 0
+
+
 # --- 7 decontamination
 
 
