@@ -13,12 +13,13 @@ from larder.llm.shared import free, fresh, lean, stored
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose chance of any toxic grade is below one half. Null and empty texts stay."""
+    """Documents whose chance of any toxic grade is below one half. Texts without a word, null ones too, stay."""
     lean(spark)
     model = severity.learned(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
     name = free(docs, "_assessed")
     rows = docs.withColumn(name, severity.assess(F.col("text"), model))
-    return rows.where(F.col(name)["p_toxic"] < 0.5).select(*docs.columns)
+    empty = ~F.coalesce(F.col("text").rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
+    return rows.where((F.col(name)["p_toxic"] < 0.5) | empty).select(*docs.columns)
 
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
