@@ -126,7 +126,7 @@ def train(x: np.ndarray, y: np.ndarray, languages: list[str], epochs: int = 8, s
 
 def _training_windows(batches: Iterator[pa.RecordBatch], each: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        lang = batch.column("lang")
+        lang, h = batch.column("lang"), batch.column("h")
         for row, data, offsets in A.slices(batch.column("text")):
             x, text, held = cut(data, offsets)
             n = np.bincount(text, minlength=len(offsets) - 1)
@@ -134,16 +134,19 @@ def _training_windows(batches: Iterator[pa.RecordBatch], each: int) -> Iterator[
             # Evenly spread windows of each text, none too short to tell.
             step = np.maximum(n[text] // each, 1)
             keep = (nth % step == 0) & (nth // step < each) & ((held >= 32) | (nth == 0))
-            langs = lang.take(pa.array(row + text[keep]))
-            yield pa.RecordBatch.from_arrays([langs, pa.array([w.tobytes() for w in x[keep]], pa.binary())], names=["lang", "x"])
+            at = pa.array(row + text[keep])
+            yield pa.RecordBatch.from_arrays([lang.take(at), h.take(at), pa.array([w.tobytes() for w in x[keep]], pa.binary())], names=["lang", "h", "x"])
 
 
 def fit(docs: DataFrame, sample: int = 6000, each: int = 4) -> Network:
-    """A network learned from ``docs`` (doc_id, text, lang): at most ``each`` windows of the ``sample`` rows with the least hashes."""
+    """A network learned from ``docs`` (doc_id, text, lang): at most ``each`` windows of the ``sample`` rows with the least hashes.
+
+    Of rows that share an id, however many, all are candidates; the ``sample * each`` windows with the least hashes, then bytes, are taken.
+    """
     rows = docs.where(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}")).select("text", F.col("lang").cast("string").alias("lang"), F.xxhash64("doc_id").alias("h"))
     last = docs.where("lang IS NOT NULL").select(F.xxhash64("doc_id").alias("h")).orderBy("h").limit(sample).agg(F.max("h")).first()[0]
-    chosen = rows.where(F.col("h") <= F.lit(last)).select("lang", "text")
-    table = chosen.mapInArrow(lambda b: _training_windows(b, each), "lang string, x binary").toArrow()
+    windows = rows.where(F.col("h") <= F.lit(last)).mapInArrow(lambda b: _training_windows(b, each), "lang string, h long, x binary")
+    table = windows.orderBy("h", "x", "lang").limit(sample * each).select("lang", "x").toArrow()
     names = table["lang"].to_pylist()
     languages = sorted(set(names))
     if not languages:

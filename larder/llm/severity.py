@@ -117,12 +117,13 @@ def fit_ordinal(
 def labelled(docs: DataFrame, labels: DataFrame, sample: int) -> DataFrame:
     """(text, grade) of at most ``sample`` labelled documents; of several labels of a document the gravest holds.
 
-    The chosen ids are at most ``sample`` rows, whatever the tables, so they are broadcast.
+    The chosen ids are at most ``sample`` rows, whatever the tables, so they are broadcast. Rows that share an id
+    count each for itself: of all rows found, the ``sample`` with the least hashes of id, then text, are taken.
     """
     graded = labels.where("doc_id IS NOT NULL AND grade IS NOT NULL").groupBy("doc_id").agg(F.max("grade").cast("int").alias("grade"))
     chosen = graded.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample).select(F.col("doc_id").alias("labelled_id"), "grade")
     rows = docs.select("doc_id", "text").join(F.broadcast(chosen), F.col("doc_id") == F.col("labelled_id"))
-    return rows.select("text", "grade")
+    return rows.orderBy(F.xxhash64("labelled_id"), F.xxhash64("text"), "grade").limit(sample).select("text", "grade")
 
 
 def fit(rows: DataFrame, vocabulary: int = 50_000, least: float = 4.0, split: bool = False) -> Grades:

@@ -269,6 +269,18 @@ def test_severity_on_labels_left_out(spark):
     assert all(not r.toxic for r in severity.report(docs(spark, ODD), labels.limit(0)).collect())
 
 
+def test_samples_are_bounded_where_an_id_repeats(spark, monkeypatch):
+    rows = [(0, f"same id and its text {i}", "en") for i in range(300)] + [(i, f"another text {i}", "de") for i in range(1, 20)]
+    many = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(20)], "doc_id long, grade int")
+    assert severity.labelled(many, labels, 20).count() == 20 and severity.labelled(many, labels, 1_000).count() == 319
+    seen = []
+    monkeypatch.setattr(language, "train", lambda x, y, names: seen.append((len(x), names)))
+    for sample in (5, 1_000):
+        language.fit(many, sample, each=2)
+    assert seen[0][0] <= 10 and seen[1] == (319, ["de", "en"])
+
+
 def test_thresholds_are_ordered():
     rng = np.random.default_rng(3)
     grade = rng.integers(0, 4, 400)
