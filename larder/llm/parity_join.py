@@ -46,7 +46,7 @@ EARLY = 4  # blocks of a member that this round looks at
 #: Shingles per block for a document at the top of its band, coarsest first; 0 gives every shingle its own.
 PER_BLOCK = (2.0, 1.5, 1.0, 0.5, 0.25, 0.1, 0.0)
 ALL_LEVELS = (1 << len(PER_BLOCK)) - 1
-BUCKET_KEYS = 600_000
+BUCKET_KEYS = 1_000_000
 FLUSH_KEYS = 600_000
 BROADCAST_ROWS = 500_000
 
@@ -231,7 +231,7 @@ class _Parcels:
         node, n, slack = np.concatenate(self.node), np.concatenate(self.n), np.concatenate(self.slack)
         self.clear()
         bucket = ((key >> np.uint64(32)) * np.uint64(self.buckets)) >> np.uint64(32)
-        key = (bucket << np.uint64(32)) | (key & np.uint64(0xFFFFFFFF))
+        key = (bucket << np.uint64(32)) | (key & np.uint64(0x3FFFFFFF))  # 30 bits in a bucket; what is equal by chance is sorted out by verification
         order = np.argsort(key, kind="stable")
         key, doc, own = key[order], doc[order], own[order]
         start = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
@@ -249,12 +249,14 @@ class _Parcels:
             cuts = np.flatnonzero(np.concatenate([[True], dealt[1:] != dealt[:-1]]))
             for a, b in zip(cuts, np.append(cuts[1:], len(at)), strict=True):
                 rows = at[a:b]
-                docs, local = np.unique(doc[rows], return_inverse=True)
+                # Nodes in order, as differences: a run then names each in fewer bits.
+                nodes, docs, local = np.unique(node[doc[rows]].view(np.uint64), return_index=True, return_inverse=True)
+                docs = doc[rows[docs]]
                 step = np.diff(key[rows] if more else key[rows] & np.uint64(0xFFFFFFFF), prepend=np.uint64(0))
                 yield pa.RecordBatch.from_pylist(
                     [{
                         "bucket": int(dealt[a]), "hot": more, "key": _squeeze(step if more else step.astype(np.uint32)), "doc": _squeeze(local.astype(np.uint32)),
-                        "own": _squeeze(own[rows]), "node": _squeeze(node[docs]), "n": _squeeze(n[docs]), "slack": _squeeze(slack[docs]),
+                        "own": _squeeze(own[rows]), "node": _squeeze(np.diff(nodes, prepend=np.uint64(0))), "n": _squeeze(n[docs]), "slack": _squeeze(slack[docs]),
                     }], schema=_PARCEL,
                 )
 
@@ -299,7 +301,8 @@ def _meet(table: pa.Table) -> pa.Table:
     """All keys of a bucket: pairs from blocks that are not hot, and what hot blocks hold."""
     keys, nodes, owns, sizes, slacks, out = [], [], [], [], [], []
     for row in table.to_pylist():
-        doc, own, node, n, slack = (_expand(row[c], t) for c, t in (("doc", "<u4"), ("own", "<u1"), ("node", "<i8"), ("n", "<i4"), ("slack", "<i4")))
+        doc, own, node, n, slack = (_expand(row[c], t) for c, t in (("doc", "<u4"), ("own", "<u1"), ("node", "<u8"), ("n", "<i4"), ("slack", "<i4")))
+        node = np.cumsum(node, dtype=np.uint64).view(np.int64)
         key = np.cumsum(_expand(row["key"], "<u8" if row["hot"] else "<u4"), dtype=np.uint64)
         if row["hot"]:
             out += _hot_rows(key, node[doc], own, slack[doc])
